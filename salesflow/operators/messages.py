@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonfmt import parse_json_permissive, row_to_json
 from ..schemas import CORRUPT_COLUMN, SALE_EVENT
+from .parallelism import spread
 
 QUARANTINE_REASONS = ("empty_message", "malformed")
 
@@ -18,8 +19,9 @@ QUARANTINE_REASONS = ("empty_message", "malformed")
 def encode_messages(df: DataFrame, key: str | None = "tienda_id", columns: list[str] | None = None) -> DataFrame:
     """(key, value) text per row: key = the key column as text ('' when NULL), value = JSON.
 
-    Rows keep their partitioning; a broker assigns partitions by key, so no shuffle here.
+    A broker assigns partitions by key, so rows are not grouped by key here.
     """
+    df = spread(df)
     key_col = F.coalesce(F.col(key).cast("string"), F.lit("")) if key else F.lit(None).cast("string")
     return df.select(key_col.alias("key"), row_to_json(df, columns).alias("value"))
 
@@ -34,9 +36,14 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
     Output: ``raw`` (the text), ``data`` (the parsed struct, NULL for NULL/blank values) and
     ``reason`` (NULL for a good row, else why it is quarantined).
+
+    The parse sits in a one-element ``explode``: filters on its result cannot be pushed below
+    it, so each message is parsed once (a plain projection would be re-parsed inside every
+    pushed-down filter and again in the final projection).
     """
     text = F.col("value").cast("string")
-    parsed = messages.select(text.alias("raw"), parse_json_permissive(text, SALE_EVENT).alias("data"))
+    parsed = spread(messages).select(
+        text.alias("raw"), F.explode(F.array(parse_json_permissive(text, SALE_EVENT))).alias("data"))
     reason = (F.when(F.col("data").isNull(), F.lit("empty_message"))
               .when(F.col(f"data.{CORRUPT_COLUMN}").isNotNull(), F.lit("malformed")))
     return parsed.withColumn("reason", reason)

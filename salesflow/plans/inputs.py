@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.jsonfmt import TIMESTAMP_TEXT_FORMAT
+from ..functions.jsonfmt import json_write_options
 from ..operators.messages import encode_messages
 from ..sources.files import write_csv
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
@@ -41,12 +41,11 @@ def damaged_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     store = F.col("user_id") % 100 + 1
     amount = F.when(F.col("event_type") == "error", -F.col("value")).otherwise(F.col("value"))
-    fecha = F.date_format("ts", TIMESTAMP_TEXT_FORMAT)
 
     def as_json(monto):
         return F.to_json(F.struct(F.col("event_id").alias("id"), store.alias("tienda_id"),
-                                  monto.alias("monto"), fecha.alias("fecha")),
-                         {"ignoreNullFields": "false"})
+                                  monto.alias("monto"), F.col("ts").alias("fecha")),
+                         json_write_options())
 
     value = (F.when(k == 0, F.lit("not json"))
              .when(k == 1, F.lit(None).cast("string"))
@@ -67,8 +66,7 @@ def damaged_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("id_transaccion"),
         (F.col("o_custkey") % 100 + 1).cast("string").alias("tienda_id"),
         F.when(bad_amount, F.lit("pending")).otherwise(F.col("o_totalprice").cast("string")).alias("monto"),
-        F.when(bad_date, F.lit("sin fecha"))
-         .otherwise(F.date_format("o_orderdate", TIMESTAMP_TEXT_FORMAT)).alias("fecha"),
+        F.when(bad_date, F.lit("sin fecha")).otherwise(F.col("o_orderdate").cast("string")).alias("fecha"),
     )
 
 

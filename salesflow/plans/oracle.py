@@ -99,7 +99,7 @@ def _bronze_rejects() -> str:
     return ("SELECT CAST(o_orderkey AS VARCHAR) AS id_transaccion, "
             "CAST(o_custkey % 100 + 1 AS VARCHAR) AS tienda_id, "
             f"CASE WHEN {bad_amount} THEN 'pending' ELSE CAST(o_totalprice AS VARCHAR) END AS monto, "
-            f"CASE WHEN {bad_date} THEN 'sin fecha' ELSE strftime(o_orderdate, {TS_TEXT}) END AS fecha, "
+            f"CASE WHEN {bad_date} THEN 'sin fecha' ELSE CAST(o_orderdate AS VARCHAR) END AS fecha, "
             f"concat_ws(',', CASE WHEN {bad_amount} THEN 'monto' END, CASE WHEN {bad_date} THEN 'fecha' END) "
             f"AS failed_columns FROM orders WHERE {bad_amount} OR {bad_date}")
 

@@ -17,9 +17,7 @@ def csv_scan(spark: SparkSession, path: str, infer_schema: bool = False,
     ``schema`` given: no inference pass. ``infer_schema=True``: one extra pass over the files
     to guess types (avoid on large inputs). Otherwise every column is text.
     """
-    reader = (spark.read.option("header", True)
-              .option("timestampFormat", TIMESTAMP_TEXT_FORMAT + "XXX")
-              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]"))
+    reader = spark.read.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)
     else:

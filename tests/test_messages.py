@@ -1,0 +1,83 @@
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from salesflow.operators import messages
+from salesflow.schemas import MESSAGE
+from salesflow.session import scratch_path
+from salesflow.streaming import sinks, sources
+
+
+def test_encode_keeps_nulls_and_empty_key(spark):
+    df = spark.createDataFrame([(1, 5, None), (2, None, 3.5)], "id bigint, tienda_id int, monto double")
+    rows = {r["value"]: r["key"] for r in messages.encode_messages(df).collect()}
+    assert rows == {'{"id":1,"tienda_id":5,"monto":null}': "5", '{"id":2,"tienda_id":null,"monto":3.5}': ""}
+
+
+def test_encode_timestamps_full_microseconds(spark):
+    df = spark.createDataFrame([(1, 1, dt.datetime(2024, 1, 1, 0, 0, 7, 179500))],
+                               "id bigint, tienda_id int, fecha timestamp_ntz")
+    value = messages.encode_messages(df).first()["value"]
+    assert json.loads(value)["fecha"] == "2024-01-01 00:00:07.179500"
+
+
+CASES = [
+    ('{"id": 0, "tienda_id": 5, "producto_id": 9, "monto": 12.5, "fecha": "2020-01-01 00:00:00"}', None),
+    ("not json", "malformed"),
+    (None, "empty_message"),
+    ("", "empty_message"),
+    (" ", "empty_message"),
+    ("[]", "malformed"),
+    ('[{"tienda_id":"1"},{"tienda_id":"2"}]', "malformed"),
+    ('{"id_transaccion":7,"tienda_id":1,"monto":"12","fecha":"2020-01-01T00:00:05"}', "malformed"),
+    ('{"tienda_id":1,"monto":1,"fecha":"bad"}', "malformed"),
+    ('{"id_transaccion":"8","tienda_id":"2","monto":2.5,"fecha":"2020-01-01T00:00:05"}', None),
+]
+
+
+def msgs(spark):
+    return spark.createDataFrame([(None, v) for v in [c[0] for c in CASES]], "key string, value string")
+
+
+def test_decode_routes_every_fixture(spark):
+    parsed = {r["raw"]: r["reason"] for r in messages.parse_messages(msgs(spark)).collect()}
+    assert parsed == {raw: reason for raw, reason in CASES}
+    good = {r["id_transaccion"]: r for r in messages.decode_messages(msgs(spark)).collect()}
+    assert set(good) == {"0", "8"}  # the producer's `id` fills the id
+    assert good["0"]["tienda_id"] == "5" and good["0"]["producto_id"] == "9"
+    assert good["0"]["fecha"] == dt.datetime(2020, 1, 1) and good["8"]["fecha"] == dt.datetime(2020, 1, 1, 0, 0, 5)
+    _, bad = messages.split_quarantine(msgs(spark))
+    partial = {r["raw"]: r for r in bad.collect()}[CASES[7][0]]
+    assert (partial["id_transaccion"], partial["tienda_id"], partial["monto"]) == ("7", "1", None)
+
+
+def test_decode_parses_once(spark):
+    plan = messages.decode_messages(msgs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_batch_and_stream_decode_agree(spark):
+    path = scratch_path(spark, "msg-test")
+    messages.as_binary_messages(msgs(spark)).write.parquet(f"{path}/topic")
+    stream = sources.message_file_stream(spark, f"{path}/topic", files_per_batch=1)
+    q = sinks.append_to_parquet(messages.decode_messages(stream), f"{path}/out", f"{path}/ckpt",
+                                {"availableNow": True})
+    sinks.run_to_completion(q, 120)
+    streamed = sorted(tuple(r) for r in spark.read.parquet(f"{path}/out").collect())
+    batch = sorted(tuple(r) for r in messages.decode_messages(msgs(spark)).collect())
+    assert streamed == batch
+
+
+def test_infer_and_parse_json_column(spark):
+    from salesflow.functions.jsonfmt import infer_json_schema
+    df = spark.createDataFrame([(1, '{"k": 1}'), (2, '{"k": 2, "s": "x"}'), (3, None)], "id int, props string")
+    ddl = infer_json_schema(df, "props")
+    out = messages.parse_json_column(df, "props", ddl, keep=["id"])
+    assert out.columns == ["id", "k", "s"]
+    assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, 1, None), (2, 2, "x"), (3, None, None)]
+
+
+def test_message_schema_shape():
+    assert [f.name for f in MESSAGE.fields] == ["key", "value"]
+    assert F is not None
