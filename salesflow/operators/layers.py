@@ -76,9 +76,14 @@ def write_layer(df: DataFrame, path: str, contract: ModelContract | None = None,
     """Materialise a layer at ``path`` (replacing what was there), optionally as a named table.
 
     With ``partition_by`` the files are laid out by those columns so readers prune folders.
+    The rows are first rebalanced on those columns: without it every task writes one file
+    per partition value it holds (tasks x values small files); with it, adaptive execution
+    sizes the output partitions and splits a hot value (a busy month) over several tasks.
     """
     if contract is not None:
         df = with_comments(df, contract)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt).option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,26 +25,73 @@ def duplicate_keys(df: DataFrame, keys: list[str] | str) -> DataFrame:
             .filter(F.col("n_records") > 1))
 
 
+REPORT_SCHEMA = "model string, column_name string, test string, failures bigint"
+
+
 def dq_report(df: DataFrame, contract: ModelContract) -> DataFrame:
     """One row per declared test: (model, column_name, test, failures).
 
-    ``not_null`` failures = rows with NULL, all columns counted in one pass.
-    ``unique`` failures = distinct non-NULL values occurring more than once.
+    ``not_null`` failures = rows with NULL; ``unique`` failures = distinct non-NULL values that
+    occur more than once (NULL is left to ``not_null``). With at most one ``unique`` column the
+    whole report is one pass over the data: rows are grouped by that column (partial counts per
+    task, so a hot key costs nothing extra) and the NULL counts ride along per group.
     """
-    parts = []
-    nn = contract.tested("not_null")
-    if nn:
-        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in nn])
-        parts.append(counts.unpivot([], nn, "column_name", "failures")
-                     .select(F.lit("not_null").alias("test"), "column_name", "failures"))
-    for c in contract.tested("unique"):
-        parts.append(duplicate_keys(df, c)
-                     .agg(F.count(F.lit(1)).alias("failures"))
-                     .select(F.lit("unique").alias("test"), F.lit(c).alias("column_name"), "failures"))
-    if not parts:
+    nn, uq = contract.tested("not_null"), contract.tested("unique")
+    if not nn and not uq:
         raise ValueError(f"contract {contract.name!r} declares no tests")
-    return (reduce(DataFrame.unionByName, parts)
-            .select(F.lit(contract.name).alias("model"), "column_name", "test", "failures"))
+    if len(uq) > 1:
+        parts = [_not_null_counts(df, nn)] if nn else []
+        parts += [_unique_counts(df, c) for c in uq]
+        report = reduce(DataFrame.unionByName, parts)
+    elif uq:
+        report = _one_pass(df, nn, uq[0])
+    else:
+        report = _not_null_counts(df, nn)
+    return report.select(F.lit(contract.name).alias("model"), "column_name", "test", "failures")
+
+
+def _not_null_counts(df: DataFrame, nn: list[str]) -> DataFrame:
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in nn])
+    return (counts.unpivot([], nn, "column_name", "failures")
+            .select(F.lit("not_null").alias("test"), "column_name", "failures"))
+
+
+def _unique_counts(df: DataFrame, col: str) -> DataFrame:
+    return (duplicate_keys(df, col).agg(F.count(F.lit(1)).alias("failures"))
+            .select(F.lit("unique").alias("test"), F.lit(col).alias("column_name"), "failures"))
+
+
+def _one_pass(df: DataFrame, nn: list[str], key: str) -> DataFrame:
+    others = [c for c in nn if c != key]
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"),
+                                  *[F.count_if(F.col(c).isNull()).alias(c) for c in others])
+    k = F.col(key)
+    sums = per_key.agg(
+        F.count_if(k.isNotNull() & (F.col("_rows") > 1)).alias("_unique"),
+        F.coalesce(F.sum(F.when(k.isNull(), F.col("_rows"))), F.lit(0)).alias("_key_nulls"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in others])
+    cells = [F.struct(F.lit("unique").alias("test"), F.lit(key).alias("column_name"),
+                      F.col("_unique").alias("failures"))]
+    cells += [F.struct(F.lit("not_null").alias("test"), F.lit(c).alias("column_name"),
+                       (F.col("_key_nulls") if c == key else F.col(c)).alias("failures")) for c in nn]
+    return sums.select(F.inline(F.array(*cells)))
+
+
+def observe_not_null(df: DataFrame, contract: ModelContract) -> tuple[DataFrame, Observation]:
+    """Attach the contract's NULL counts to ``df`` as observed metrics: they are computed by
+    whatever action runs on ``df`` next (e.g. the layer write), with no extra pass."""
+    nn = contract.tested("not_null")
+    if not nn or contract.tested("unique"):
+        raise ValueError("only not_null contracts can be observed during a write")
+    obs = Observation(f"dq_{contract.name}_{uuid.uuid4().hex[:8]}")
+    return df.observe(obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in nn]), obs
+
+
+def observed_report(spark, obs: Observation, contract: ModelContract) -> DataFrame:
+    """The report of ``observe_not_null`` once the action has run (one row per test)."""
+    metrics = obs.get
+    rows = [(contract.name, c, "not_null", int(metrics[c])) for c in contract.tested("not_null")]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def require_clean(report: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Gated medallion build: bronze -> silver -> test -> gold -> test.
 
-Each layer is written once and read back, so its tests and the next layer read stored files
-instead of recomputing the upstream plan, and the lineage is cut at every layer edge. A failing
-test raises before the next layer is written.
+Each layer is written once and read back, so the next layer reads stored files instead of
+recomputing the upstream plan, and the lineage is cut at every layer edge. Silver's tests
+(NULL counts) are observed during its own write; gold (one row per store) is tested on the
+written table. A failing test raises before the next layer is written.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.layers import SILVER_PARTITIONS, to_gold, to_silver, write_layer
-from ..operators.quality import dq_report, require_clean
+from ..operators.quality import dq_report, observe_not_null, observed_report, require_clean
 from ..schemas import GOLD_CONTRACT, SILVER_CONTRACT
 
 
@@ -29,12 +30,15 @@ class LayerPaths:
 
 def build_silver(spark: SparkSession, bronze: DataFrame, paths: LayerPaths,
                  partitioned: bool = True, gate: bool = True) -> DataFrame:
-    write_layer(to_silver(bronze), paths.silver, SILVER_CONTRACT,
-                partition_by=SILVER_PARTITIONS if partitioned else None)
-    silver = spark.read.parquet(paths.silver)
+    """Write silver; its NULL counts are observed during that same write (no second pass)."""
+    silver = to_silver(bronze)
+    obs = None
     if gate:
-        require_clean(dq_report(silver, SILVER_CONTRACT))
-    return silver
+        silver, obs = observe_not_null(silver, SILVER_CONTRACT)
+    write_layer(silver, paths.silver, SILVER_CONTRACT, partition_by=SILVER_PARTITIONS if partitioned else None)
+    if gate:
+        require_clean(observed_report(spark, obs, SILVER_CONTRACT))
+    return spark.read.parquet(paths.silver)
 
 
 def build_gold(spark: SparkSession, silver: DataFrame, paths: LayerPaths, gate: bool = True) -> DataFrame:
