@@ -54,12 +54,15 @@ def to_silver(bronze: DataFrame) -> DataFrame:
 
 
 def to_gold(silver: DataFrame, scale: int = 2) -> DataFrame:
-    """Per store: exact total, number of sales with an id, exact mean amount; ordered by store."""
+    """Per store: exact total, number of sales with an id, exact mean amount.
+
+    No global order: the result stays hash-partitioned by store, so a join or regroup on the
+    store downstream needs no new shuffle. Sort where order is the point (reports, previews).
+    """
     return (silver.groupBy("tienda_id")
             .agg(exact_sum("monto", scale).alias("monto_total_ventas"),
                  F.count("venta_id").alias("numero_de_transacciones"),
-                 exact_avg("monto", scale).alias("monto_promedio_por_transaccion"))
-            .orderBy("tienda_id"))
+                 exact_avg("monto", scale).alias("monto_promedio_por_transaccion")))
 
 
 def with_comments(df: DataFrame, contract: ModelContract) -> DataFrame:

@@ -42,7 +42,8 @@ def build_silver(spark: SparkSession, bronze: DataFrame, paths: LayerPaths,
 
 
 def build_gold(spark: SparkSession, silver: DataFrame, paths: LayerPaths, gate: bool = True) -> DataFrame:
-    write_layer(to_gold(silver), paths.gold, GOLD_CONTRACT)
+    # Files clustered by store (tight min/max statistics per file), without a global sort.
+    write_layer(to_gold(silver).sortWithinPartitions("tienda_id"), paths.gold, GOLD_CONTRACT)
     gold = spark.read.parquet(paths.gold)
     if gate:
         require_clean(dq_report(gold, GOLD_CONTRACT))

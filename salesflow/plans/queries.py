@@ -102,7 +102,7 @@ def silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers.to_gold(layers.to_silver(sales_from_events(spark, sf_dir)))
+    return layers.to_gold(layers.to_silver(sales_from_events(spark, sf_dir))).orderBy("tienda_id")
 
 
 def materialize_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
