@@ -14,14 +14,20 @@ def csv_scan(spark: SparkSession, path: str, infer_schema: bool = False,
              schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header line.
 
-    ``schema`` given: no inference pass. ``infer_schema=True``: one extra pass over the files
-    to guess types (avoid on large inputs). Otherwise every column is text.
+    ``schema`` given: no inference pass. ``infer_schema=True``: one extra pass over the files to
+    guess types (avoid on large inputs); guessed timestamps are read as TIMESTAMP_NTZ, since
+    CSV text carries no zone, so the values do not depend on the session's time zone.
+    Otherwise every column is text.
     """
     reader = spark.read.option("header", True)
+    if schema is None and infer_schema:
+        guessed = reader.option("inferSchema", True).csv(path).schema
+        schema = T.StructType([
+            T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType) else f.dataType,
+                          f.nullable)
+            for f in guessed.fields])
     if schema is not None:
         reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", infer_schema)
     return reader.csv(path)
 
 
