@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_timestamp, date_parts
 from ..functions.money import exact_avg, exact_sum
-from ..schemas import BRONZE_SALES, GOLD_CONTRACT, SILVER_CONTRACT, ModelContract
+from ..schemas import BRONZE_SALES, ModelContract
 
 
 def _typed(df: DataFrame) -> dict[str, F.Column]:
@@ -98,4 +98,3 @@ def write_layer(df: DataFrame, path: str, contract: ModelContract | None = None,
 
 
 SILVER_PARTITIONS = ["anio_venta", "mes_venta"]
-LAYER_CONTRACTS = {"silver": SILVER_CONTRACT, "gold": GOLD_CONTRACT}

@@ -17,7 +17,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, keys: list[str] | N
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        have = df.rdd.getNumPartitions()
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    except NotImplementedError:  # a remote (Connect) session has no RDD view: leave it to Spark
+        return df
+    if have >= target:
         return df
     return df.repartition(target, *(keys or df.columns))

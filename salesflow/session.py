@@ -36,10 +36,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this must be set (a folder every executor and the driver can reach).
     Only a local-mode session without it gets a fresh temporary folder, as in tests.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="salesflow-ckpt-"))
