@@ -19,7 +19,7 @@ from ..schemas import GOLD_CONTRACT, SILVER_CONTRACT
 from ..session import scratch_path, unique_name
 from ..sources import files
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
-from ..streaming import sinks
+from ..streaming import ingest, sinks
 from ..streaming import sources as stream_sources
 from . import inputs
 from .medallion import LayerPaths, build_gold, build_silver, run_medallion
@@ -191,9 +191,9 @@ def _publish_files(spark: SparkSession, msgs: DataFrame, path: str, n_files: int
 
 def _stream_into_table(spark: SparkSession, topic: str, table_name: str, ckpt_root: str,
                        files_per_batch: int | None = None) -> None:
-    good, bad = messages.split_quarantine(stream_sources.message_file_stream(spark, topic, files_per_batch))
-    q_good = sinks.append_to_table(good, table_name, f"{ckpt_root}/good", AVAILABLE_NOW)
-    q_bad = sinks.append_to_parquet(bad, f"{ckpt_root}/quarantine-data", f"{ckpt_root}/quarantine", AVAILABLE_NOW)
+    stream = stream_sources.message_file_stream(spark, topic, files_per_batch)
+    q_good, q_bad = ingest.ingest_to_table(stream, table_name, ckpt_root, AVAILABLE_NOW,
+                                           quarantine_path=f"{ckpt_root}/quarantine-data")
     sinks.run_to_completion(q_good)
     sinks.run_to_completion(q_bad)
 
@@ -215,9 +215,9 @@ def stream_decode_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_parquet_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-files")
     topic = _publish_files(spark, inputs.event_messages(spark, sf_dir), f"{root}/topic")
-    good = messages.decode_messages(stream_sources.message_file_stream(spark, topic, files_per_batch=2))
-    q = sinks.append_to_parquet(good, f"{root}/sales", f"{root}/checkpoints/sales", AVAILABLE_NOW)
-    sinks.run_to_completion(q)
+    stream = stream_sources.message_file_stream(spark, topic, files_per_batch=2)
+    sinks.run_to_completion(ingest.ingest_to_parquet(stream, f"{root}/sales", f"{root}/checkpoints/sales",
+                                                     AVAILABLE_NOW))
     return spark.read.parquet(f"{root}/sales")
 
 
