@@ -77,14 +77,18 @@ def _one_pass(df: DataFrame, nn: list[str], key: str) -> DataFrame:
     return sums.select(F.inline(F.array(*cells)))
 
 
-def observe_not_null(df: DataFrame, contract: ModelContract) -> tuple[DataFrame, Observation]:
-    """Attach the contract's NULL counts to ``df`` as observed metrics: they are computed by
-    whatever action runs on ``df`` next (e.g. the layer write), with no extra pass."""
+def observe_not_null(contract: ModelContract) -> tuple[Observation, list]:
+    """An observation of the contract's NULL counts: ``(observation, metric columns)``.
+
+    Hand it to ``write_layer(observe=...)``: the counts are then computed by the layer write
+    itself (no extra pass), in its final stage, where each partition's update is applied once
+    even if earlier stages are recomputed after an executor loss.
+    """
     nn = contract.tested("not_null")
     if not nn or contract.tested("unique"):
         raise ValueError("only not_null contracts can be observed during a write")
     obs = Observation(f"dq_{contract.name}_{uuid.uuid4().hex[:8]}")
-    return df.observe(obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in nn]), obs
+    return obs, [F.count_if(F.col(c).isNull()).alias(c) for c in nn]
 
 
 def observed_report(spark, obs: Observation, contract: ModelContract) -> DataFrame:

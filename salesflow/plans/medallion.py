@@ -31,13 +31,11 @@ class LayerPaths:
 def build_silver(spark: SparkSession, bronze: DataFrame, paths: LayerPaths,
                  partitioned: bool = True, gate: bool = True) -> DataFrame:
     """Write silver; its NULL counts are observed during that same write (no second pass)."""
-    silver = to_silver(bronze)
-    obs = None
+    spec = observe_not_null(SILVER_CONTRACT) if gate else None
+    write_layer(to_silver(bronze), paths.silver, SILVER_CONTRACT,
+                partition_by=SILVER_PARTITIONS if partitioned else None, observe=spec)
     if gate:
-        silver, obs = observe_not_null(silver, SILVER_CONTRACT)
-    write_layer(silver, paths.silver, SILVER_CONTRACT, partition_by=SILVER_PARTITIONS if partitioned else None)
-    if gate:
-        require_clean(observed_report(spark, obs, SILVER_CONTRACT))
+        require_clean(observed_report(spark, spec[0], SILVER_CONTRACT))
     return spark.read.parquet(paths.silver)
 
 
