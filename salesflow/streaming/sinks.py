@@ -52,9 +52,7 @@ def publish(messages: DataFrame, fmt: str = "kafka", options: dict | None = None
             path: str | None = None, mode: str = "append") -> None:
     """Write (key, value) messages with a batch sink: a broker topic in production, files in
     tests. Every task writes its own rows; nothing passes through the driver."""
-    writer = messages.write.format(fmt)
-    if fmt != "kafka":
-        writer = writer.mode(mode)
+    writer = messages.write.format(fmt).mode(mode)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     writer.save(path) if path else writer.save()

@@ -17,11 +17,18 @@ BATCH_WAIT = "30s"
 
 
 def kafka_options(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting_offsets: str = "earliest",
-                  batch_messages: int | None = BATCH_MESSAGES, max_wait: str | None = BATCH_WAIT) -> dict:
+                  batch_messages: int | None = BATCH_MESSAGES, max_wait: str | None = BATCH_WAIT,
+                  min_partitions: int | None = None) -> dict:
     """Options of a broker source: start at the earliest offset on first start (a checkpoint
-    resumes later runs), and cut micro-batches at ``batch_messages`` or after ``max_wait``."""
+    resumes later runs), and cut micro-batches at ``batch_messages`` or after ``max_wait``.
+
+    ``min_partitions`` splits each topic partition's offset range over several tasks, so a topic
+    with few partitions still keeps many cores busy (no shuffle involved).
+    """
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
             "startingOffsets": starting_offsets}
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     if batch_messages:
         opts["maxOffsetsPerTrigger"] = str(batch_messages)
         opts["minOffsetsPerTrigger"] = str(batch_messages)

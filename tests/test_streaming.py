@@ -49,3 +49,23 @@ def test_kafka_options_bound_batches():
     opts = sources.kafka_options("broker:9092")
     assert opts["subscribe"] == "ventas_stream" and opts["startingOffsets"] == "earliest"
     assert opts["maxOffsetsPerTrigger"] == "5000" and opts["maxTriggerDelay"] == "30s"
+
+
+def test_quarantine_stream_keeps_bad_messages(spark):
+    from salesflow.streaming import ingest
+    root = scratch_path(spark, "quarantine-test")
+    msgs = spark.createDataFrame([(None, '{"id": 1, "tienda_id": 2, "monto": 3.0, "fecha": "2024-01-01 00:00:00"}'),
+                                  (None, "not json"), (None, None)], "key string, value string")
+    sinks.publish(messages.as_binary_messages(msgs), fmt="parquet", path=f"{root}/topic")
+    table = sinks.ensure_table(spark, unique_name("t"), location=f"{root}/table")
+    q_good, q_bad = ingest.ingest_to_table(sources.message_file_stream(spark, f"{root}/topic"), table,
+                                           f"{root}/ckpt", ONCE, quarantine_path=f"{root}/bad")
+    sinks.run_to_completion(q_good, 120)
+    sinks.run_to_completion(q_bad, 120)
+    assert [tuple(r) for r in spark.read.table(table).collect()] == [("1", "2", None, 3.0, __import__("datetime").datetime(2024, 1, 1))]
+    bad = {r["raw"]: r["reason"] for r in spark.read.parquet(f"{root}/bad").collect()}
+    assert bad == {"not json": "malformed", None: "empty_message"}
+
+
+def test_kafka_min_partitions():
+    assert sources.kafka_options("b:9092", min_partitions=64)["minPartitions"] == "64"
