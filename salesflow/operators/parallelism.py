@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, keys: list[str] | None = None) -> DataFrame:
-    """Hash-spread the rows over ``min_partitions`` tasks (default: the cluster's cores), but only
-    when the input has fewer partitions than that.
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread the rows evenly over ``min_partitions`` tasks (default: the cluster's cores), but
+    only when the input has fewer partitions than that.
 
     Large inputs arrive in many more partitions than there are cores, and then this is a no-op
     (no shuffle). It matters for a few big files with one row group each, which a scan reads in
-    one task. The hash of the row's own columns makes the spread deterministic, so a retried
-    task gets the same rows. Streaming frames are returned as they are: their sources split
-    reads themselves (e.g. the broker source's ``minPartitions``).
+    one task. Round-robin keeps the spread even whatever the content (a third of the rows may be
+    copies of one message, which a hash of the row would send to a single task); Spark sorts
+    before a round-robin exchange, so a retried task gets the same rows after an executor loss.
+    Streaming frames are returned as they are: their sources split reads themselves (e.g. the
+    broker source's ``minPartitions``).
     """
     if df.isStreaming:
         return df
@@ -24,4 +26,4 @@ def spread(df: DataFrame, min_partitions: int | None = None, keys: list[str] | N
         return df
     if have >= target:
         return df
-    return df.repartition(target, *(keys or df.columns))
+    return df.repartition(target)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonfmt import json_write_options
 from ..operators.messages import encode_messages
+from ..operators.parallelism import spread
 from ..sources.files import write_csv
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
 
@@ -37,7 +38,7 @@ def damaged_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = 0: text that is not JSON; k = 1: NULL value (tombstone); k = 2: empty value;
     k = 3: a JSON array; k = 4: amount sent as a string. Other rows are intact.
     """
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     k = F.get_json_object("props", "$.k").cast("int")
     store = F.col("user_id") % 100 + 1
     amount = F.when(F.col("event_type") == "error", -F.col("value")).otherwise(F.col("value"))
