@@ -126,6 +126,8 @@ def oracle_sql() -> dict[str, str]:
         "named_source_scan": V3_BRONZE,
         "silver_sales": f"SELECT * FROM {silver(V1)}",
         "gold_store_sales": gold_v1,
+        "silver_sql_model": f"SELECT * FROM {silver(V1)}",
+        "gold_sql_model": gold_v1,
         "materialize_layer": gold_v1,
         "round_amount": ("SELECT l_orderkey * 10 + l_linenumber AS id_transaccion, "
                          "l_extendedprice * (1 - l_discount) AS monto_bruto, "

@@ -21,7 +21,7 @@ from ..sources import files
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
 from ..streaming import ingest, sinks
 from ..streaming import sources as stream_sources
-from . import inputs
+from . import inputs, sql_models
 from .medallion import LayerPaths, build_gold, build_silver, run_medallion
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -122,6 +122,21 @@ def epoch_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.select("id_transaccion", secs.alias("epoch_s"), from_epoch_seconds(secs).alias("fecha_s"))
 
 
+V1_SQL = ("(SELECT event_id AS id_transaccion, user_id % 100 + 1 AS tienda_id, "
+          "CASE WHEN event_type = 'error' THEN -value ELSE value END AS monto, ts AS fecha "
+          "FROM parquet.`{path}`)")
+
+
+def silver_sql_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_models.silver_model(spark, V1_SQL.format(path=f"{sf_dir.rstrip('/')}/events.parquet"))
+
+
+def gold_sql_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = unique_name("slv_ventas")
+    silver_sql_model(spark, sf_dir).createOrReplaceTempView(view)
+    return sql_models.gold_model(spark, view)
+
+
 # ---- step 4: data quality --------------------------------------------------------------------
 
 
@@ -257,6 +272,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "named_source_scan": named_source_scan,
     "silver_sales": silver_sales,
     "gold_store_sales": gold_store_sales,
+    "silver_sql_model": silver_sql_model,
+    "gold_sql_model": gold_sql_model,
     "materialize_layer": materialize_layer,
     "round_amount": round_amount,
     "epoch_to_timestamp": epoch_to_timestamp,
