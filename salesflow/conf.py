@@ -1,4 +1,4 @@
-"""Session settings for a table-format catalog on an S3-compatible object store.
+"""Session settings: a table-format catalog on an S3-compatible object store, and cluster sizing.
 
 The caller passes every value (endpoint, credentials, bucket); nothing is read from the
 environment here. Apply with ``SparkSession.builder.config(map=lake_conf(...))``. The connector
@@ -29,3 +29,25 @@ def lake_conf(catalog: str, warehouse: str, s3_endpoint: str | None = None,
     if secret_key is not None:
         conf["spark.hadoop.fs.s3a.secret.key"] = secret_key
     return conf
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Shuffle and scan sizing for a large cluster, from the input volume and the core count.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each, so a task's data
+    fits in its share of executor memory. The initial shuffle partition count covers the input at
+    that size (at least 3 waves of tasks); adaptive execution then coalesces small partitions and
+    splits skewed ones at run time, so a hot key does not land whole on one task.
+    """
+    initial = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    size = f"{max(1, target_partition_bytes // 1024 ** 2)}m"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.files.maxPartitionBytes": size,
+    }

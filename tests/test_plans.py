@@ -33,3 +33,11 @@ def test_lake_conf():
     assert conf["spark.sql.catalog.lake"] == "org.apache.iceberg.spark.SparkCatalog"
     assert conf["spark.sql.catalog.lake.type"] == "hadoop"
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+
+
+def test_cluster_conf_sizes_partitions_from_volume():
+    from salesflow.conf import cluster_conf
+    conf = cluster_conf(input_bytes=100 * 1024 ** 4, cores=8000)
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))  # 409,600
+    assert conf["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert cluster_conf(10 * 1024 ** 2, cores=8)["spark.sql.shuffle.partitions"] == "24"  # 3 waves
