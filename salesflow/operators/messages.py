@@ -11,14 +11,12 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonfmt import parse_json_permissive, row_to_json
 from ..schemas import CORRUPT_COLUMN, SALE_EVENT
-from .parallelism import spread
 
 def encode_messages(df: DataFrame, key: str | None = "tienda_id", columns: list[str] | None = None) -> DataFrame:
     """(key, value) text per row: key = the key column as text ('' when NULL), value = JSON.
 
     A broker assigns partitions by key, so rows are not grouped by key here.
     """
-    df = spread(df)
     key_col = F.coalesce(F.col(key).cast("string"), F.lit("")) if key else F.lit(None).cast("string")
     return df.select(key_col.alias("key"), row_to_json(df, columns).alias("value"))
 
@@ -39,7 +37,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     pushed-down filter and again in the final projection).
     """
     text = F.col("value").cast("string")
-    parsed = spread(messages).select(
+    parsed = messages.select(
         text.alias("raw"), F.explode(F.array(parse_json_permissive(text, SALE_EVENT))).alias("data"))
     reason = (F.when(F.col("data").isNull(), F.lit("empty_message"))
               .when(F.col(f"data.{CORRUPT_COLUMN}").isNotNull(), F.lit("malformed")))

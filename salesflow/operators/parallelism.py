@@ -16,6 +16,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     before a round-robin exchange, so a retried task gets the same rows after an executor loss.
     Streaming frames are returned as they are: their sources split reads themselves (e.g. the
     broker source's ``minPartitions``).
+
+    Apply it to a scan (or narrow steps over one), where the partition count is known from
+    planning alone. Over a plan that already shuffles, adaptive execution learns the count only
+    by running the shuffle, so the check itself would execute the upstream work.
     """
     if df.isStreaming:
         return df

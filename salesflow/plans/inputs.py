@@ -1,6 +1,7 @@
 """Inputs of the registered queries, derived by Spark from the driver's tables.
 
-Message and text inputs are built from whole tables. Where a query needs bad records (typing
+Message and text inputs are built from whole tables; JSON-heavy inputs are spread over the
+cores right at the scan (the test files hold one row group each, which one task would read). Where a query needs bad records (typing
 rejects, quarantine), the bad records are produced by a rule on the data itself (order status,
 the ``k`` value inside the event's ``props``), not by sampling.
 """
@@ -24,12 +25,12 @@ def producer_rows(sales: DataFrame) -> DataFrame:
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1 sales as (key, value) text messages keyed by store."""
-    return encode_messages(producer_rows(sales_from_events(spark, sf_dir)))
+    return encode_messages(producer_rows(spread(sales_from_events(spark, sf_dir))))
 
 
 def lineitem_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2 sales (with product) as (key, value) text messages keyed by store."""
-    return encode_messages(producer_rows(sales_from_lineitem(spark, sf_dir)))
+    return encode_messages(producer_rows(spread(sales_from_lineitem(spark, sf_dir))))
 
 
 def damaged_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
