@@ -15,7 +15,6 @@ from ..functions.dates import epoch_seconds, from_epoch_seconds
 from ..functions.jsonfmt import infer_json_schema
 from ..functions.money import round_amount as round_money
 from ..operators import layers, messages, quality, totals
-from ..operators.parallelism import spread
 from ..schemas import GOLD_CONTRACT, SILVER_CONTRACT
 from ..session import scratch_path, unique_name
 from ..sources import files
@@ -199,10 +198,10 @@ def json_inferred_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- step 6: streams -------------------------------------------------------------------------
 
 
-def _publish_files(spark: SparkSession, msgs: DataFrame, path: str, min_files: int = 8) -> str:
-    """Stand-in for a topic: message files, at least ``min_files`` per publish (each file is a unit
-    of a micro-batch). A large input keeps its own partitioning: one file per task, no shuffle."""
-    sinks.publish(spread(messages.as_binary_messages(msgs), min_files), fmt="parquet", path=path)
+def _publish_files(spark: SparkSession, msgs: DataFrame, path: str) -> str:
+    """Stand-in for a topic: message files, one per task of the publishing job (each file is a
+    unit of a micro-batch on the reading side)."""
+    sinks.publish(messages.as_binary_messages(msgs), fmt="parquet", path=path)
     return path
 
 
