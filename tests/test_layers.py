@@ -77,3 +77,15 @@ def test_layer_comments_survive_write(spark):
     g = layers.with_comments(layers.to_gold(back), GOLD_CONTRACT)
     assert "comment" in g.schema["tienda_id"].metadata
     assert not math.isnan(g.first()["monto_total_ventas"])
+
+
+def test_write_layer_as_named_table_replaces_previous(spark):
+    from salesflow.session import unique_name
+    silver = layers.to_silver(layers.to_bronze(raw(spark, [("1", "1", "2.0", "2024-01-07 10:00:00"),
+                                                           ("2", "1", "3.0", "2024-02-07 10:00:00")])))
+    path, name = scratch_path(spark, "layer-table"), unique_name("slv")
+    layers.write_layer(silver, path, SILVER_CONTRACT, partition_by=layers.SILVER_PARTITIONS, table=name)
+    assert spark.table(name).count() == 2
+    layers.write_layer(silver.limit(1), path, SILVER_CONTRACT, partition_by=layers.SILVER_PARTITIONS, table=name)
+    assert spark.table(name).count() == 1  # overwrite, as a rebuilt layer
+    assert spark.table(name).schema["monto"].metadata["comment"].startswith("Amount")
