@@ -132,7 +132,7 @@ def silver_sql_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_sql_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = unique_name("slv_ventas")
+    view = unique_name("silver_sales_view")
     silver_sql_model(spark, sf_dir).createOrReplaceTempView(view)
     return sql_models.gold_model(spark, view)
 
