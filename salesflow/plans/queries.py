@@ -88,7 +88,7 @@ def parquet_path_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def named_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = files.named_source(spark, unique_name("bronze_ventas"), f"{sf_dir.rstrip('/')}/orders.parquet")
+    src = files.named_source(spark, unique_name("bronze_sales"), f"{sf_dir.rstrip('/')}/orders.parquet")
     return src.selectExpr(*[s.strip() for s in V3_SELECT.split(", ")])
 
 
@@ -215,7 +215,7 @@ def _stream_into_table(spark: SparkSession, topic: str, table_name: str, ckpt_ro
 
 
 def _event_table(spark: SparkSession, root: str) -> str:
-    name = unique_name("ventas_stream")
+    name = unique_name("sales_events")
     sinks.ensure_table(spark, name, location=f"{root}/table")
     return name
 
