@@ -75,18 +75,20 @@ def with_comments(df: DataFrame, contract: ModelContract) -> DataFrame:
 
 def write_layer(df: DataFrame, path: str, contract: ModelContract | None = None,
                 partition_by: list[str] | None = None, table: str | None = None,
-                fmt: str = "parquet", observe: tuple | None = None) -> str:
+                fmt: str = "parquet", observe: tuple | None = None, rebalance: bool = True) -> str:
     """Materialise a layer at ``path`` (replacing what was there), optionally as a named table.
 
     With ``partition_by`` the files are laid out by those columns so readers prune folders.
     The rows are first rebalanced on those columns: without it every task writes one file
     per partition value it holds (tasks x values small files); with it, adaptive execution
     sizes the output partitions and splits a hot value (a busy month) over several tasks.
+    That costs one shuffle of the layer; pass ``rebalance=False`` when the input is already
+    clustered by those columns (e.g. landed day by day), where each task holds few values anyway.
     ``observe`` = ``(Observation, metric columns)`` computed by this write's final stage.
     """
     if contract is not None:
         df = with_comments(df, contract)
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     if observe is not None:
         df = df.observe(observe[0], *observe[1])
