@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.jsonfmt import parse_json_permissive, row_to_json
 from ..schemas import CORRUPT_COLUMN, SALE_EVENT
 
+
 def encode_messages(df: DataFrame, key: str | None = "tienda_id", columns: list[str] | None = None) -> DataFrame:
     """(key, value) text per row: key = the key column as text ('' when NULL), value = JSON.
 
