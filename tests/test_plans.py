@@ -41,3 +41,13 @@ def test_cluster_conf_sizes_partitions_from_volume():
     assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))  # 409,600
     assert conf["spark.sql.files.maxPartitionBytes"] == "256m"
     assert cluster_conf(10 * 1024 ** 2, cores=8)["spark.sql.shuffle.partitions"] == "24"  # 3 waves
+
+
+def test_no_query_uses_cross_products_or_python_udfs(spark):
+    import __spark_entry__ as entry
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+    for name, fn in entry.queries().items():
+        if name.startswith("stream_"):
+            continue  # these run their streams while building the result; covered in test_streaming
+        plan = plan_of(fn(spark, SF))
+        assert not [b for b in banned if b in plan], (name, plan)
