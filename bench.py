@@ -89,7 +89,8 @@ def main() -> None:
         times[name] = round(statistics.median(runs), 4)
     spark.stop()
     print(json.dumps({"metric": "sum_of_median_query_sec", "value": round(sum(times.values()), 4),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus), "repeat": repeat}))
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus) if cpus.isdigit() else cpus,
+                      "repeat": repeat}))
 
 
 if __name__ == "__main__":
