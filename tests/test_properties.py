@@ -25,8 +25,8 @@ rows = st.lists(st.tuples(st.integers(-2 ** 62, 2 ** 62), st.none() | st.integer
 def test_encode_decode_round_trip(spark, data):
     df = spark.createDataFrame(data, "id bigint, tienda_id int, monto double, fecha timestamp_ntz")
     back = messages.decode_messages(messages.encode_messages(df)).collect()
-    got = sorted((int(r["id_transaccion"]), None if r["tienda_id"] is None else int(r["tienda_id"]),
-                  r["monto"], r["fecha"]) for r in back)
+    got = [(int(r["id_transaccion"]), None if r["tienda_id"] is None else int(r["tienda_id"]),
+            r["monto"], r["fecha"]) for r in back]
     assert sorted(got, key=repr) == sorted(data, key=repr)
 
 
