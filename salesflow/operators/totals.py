@@ -7,7 +7,9 @@ at most one row per store per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_avg, exact_sum, units
@@ -55,6 +57,20 @@ def store_sum_with_total(df: DataFrame, key: str = "tienda_id", amount: str = "m
                  F.sum("_rows").alias("n_rows")))
 
 
+def store_sum_observing_rows(df: DataFrame, key: str = "tienda_id", amount: str = "monto",
+                             scale: int = 2) -> tuple[DataFrame, Observation]:
+    """Per-store sums, with the input's row count as a side metric of the same scan.
+
+    The count is observed while the sums are computed (no second pass, no extra result row);
+    read ``observation.get["n_rows"]`` after an action on the returned DataFrame. It is observed
+    before the shuffle, and Spark may count a map stage twice if it re-runs after an executor
+    loss; where the total must be exact under failures, use ``store_sum_with_total``.
+    """
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("n_rows"))
+    return store_sum(observed, key, amount, scale), obs
+
+
 def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     """First ``n`` rows in a total order (top-n, no global sort of the input)."""
     return df.orderBy(*order_by).limit(n)

@@ -26,3 +26,9 @@ def test_row_count_preview_first_n(spark):
     assert [r["tienda_id"] for r in totals.preview(totals.store_sum(df), ["tienda_id"], 2).collect()] == [None, 1]
     assert [r["id_transaccion"] for r in totals.first_n(df, 3).collect()] == [1, 2, 3]
     assert totals.first_n(df, None).count() == 6
+
+
+def test_store_sum_observing_rows(spark):
+    sums, obs = totals.store_sum_observing_rows(sales(spark))
+    rows = {r["tienda_id"]: r["monto_total"] for r in sums.collect()}
+    assert obs.get["n_rows"] == 6 and rows[1] == 200.0
