@@ -89,3 +89,15 @@ def test_write_layer_as_named_table_replaces_previous(spark):
     layers.write_layer(silver.limit(1), path, SILVER_CONTRACT, partition_by=layers.SILVER_PARTITIONS, table=name)
     assert spark.table(name).count() == 1  # overwrite, as a rebuilt layer
     assert spark.table(name).schema["monto"].metadata["comment"].startswith("Amount")
+
+
+def test_ingest_bronze_writes_typed_and_rejects(spark):
+    from salesflow.plans.bronze import ingest_bronze
+    from salesflow.sources.files import write_csv
+    root = scratch_path(spark, "ingest-test")
+    df = raw(spark, [("1", "2", "3.5", "2021-01-02 03:04:05"), ("x", "2", "1.0", "2021-01-02")])
+    write_csv(df, f"{root}/in.csv")
+    report = ingest_bronze(spark, f"{root}/in.csv", f"{root}/bronze", f"{root}/rejects").first()
+    assert report["source_bytes"] > 0 and report["target_bytes"] > 0
+    assert spark.read.parquet(f"{root}/bronze").count() == 2
+    assert [r["failed_columns"] for r in spark.read.parquet(f"{root}/rejects").collect()] == ["id_transaccion"]
