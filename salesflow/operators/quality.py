@@ -98,6 +98,17 @@ def observed_report(spark, obs: Observation, contract: ModelContract) -> DataFra
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def require_observed_clean(obs: Observation, contract: ModelContract) -> dict[str, int]:
+    """Stop (raise) if an observed NULL count of the contract is above zero; no Spark job (the
+    counts already sit on the driver once the observed action has run)."""
+    metrics = {c: int(obs.get[c]) for c in contract.tested("not_null")}
+    failed = {c: n for c, n in metrics.items() if n > 0}
+    if failed:
+        detail = "; ".join(f"{contract.name}.{c} not_null: {n}" for c, n in failed.items())
+        raise DataQualityError(f"data tests failed: {detail}")
+    return metrics
+
+
 def require_clean(report: DataFrame) -> DataFrame:
     """Stop (raise) if any test in the report failed; otherwise return the report.
 

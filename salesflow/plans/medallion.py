@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.layers import SILVER_PARTITIONS, to_gold, to_silver, write_layer
-from ..operators.quality import dq_report, observe_not_null, observed_report, require_clean
+from ..operators.quality import dq_report, observe_not_null, require_clean, require_observed_clean
 from ..schemas import GOLD_CONTRACT, SILVER_CONTRACT
 
 
@@ -35,7 +35,7 @@ def build_silver(spark: SparkSession, bronze: DataFrame, paths: LayerPaths,
     write_layer(to_silver(bronze), paths.silver, SILVER_CONTRACT,
                 partition_by=SILVER_PARTITIONS if partitioned else None, observe=spec)
     if gate:
-        require_clean(observed_report(spark, spec[0], SILVER_CONTRACT))
+        require_observed_clean(spec[0], SILVER_CONTRACT)
     return spark.read.parquet(paths.silver)
 
 
