@@ -232,8 +232,10 @@ def stream_parquet_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-files")
     topic = _publish_files(spark, inputs.event_messages(spark, sf_dir), f"{root}/topic")
     stream = stream_sources.message_file_stream(spark, topic, files_per_batch=2)
-    sinks.run_to_completion(ingest.ingest_to_parquet(stream, f"{root}/sales", f"{root}/checkpoints/sales",
-                                                     AVAILABLE_NOW))
+    q_good, q_bad = ingest.ingest_to_parquet(stream, f"{root}/sales", f"{root}/checkpoints", AVAILABLE_NOW,
+                                             quarantine_path=f"{root}/quarantine")
+    sinks.run_to_completion(q_good)
+    sinks.run_to_completion(q_bad)
     return spark.read.parquet(f"{root}/sales")
 
 

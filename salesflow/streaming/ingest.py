@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.messages import as_binary_messages, decode_messages, encode_messages, split_quarantine
+from ..operators.messages import as_binary_messages, encode_messages, split_quarantine
 from .sinks import append_to_parquet, append_to_table, publish
 from .sources import DEFAULT_TOPIC
 
@@ -44,7 +44,16 @@ def ingest_to_table(stream: DataFrame, table: str, checkpoint_root: str, trigger
     return q_good, q_bad
 
 
-def ingest_to_parquet(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                      partition_by: list[str] | None = None) -> StreamingQuery:
-    """Decode a message stream and append good events as Parquet files under ``path``."""
-    return append_to_parquet(decode_messages(stream), path, checkpoint, trigger, partition_by)
+def ingest_to_parquet(stream: DataFrame, path: str, checkpoint_root: str, trigger: dict | None = None,
+                      quarantine_path: str | None = None, partition_by: list[str] | None = None
+                      ) -> tuple[StreamingQuery, StreamingQuery | None]:
+    """Decode a message stream and append good events as Parquet files under ``path``; with
+    ``quarantine_path``, undecodable messages are appended there (instead of stopping the job
+    or vanishing). Each query keeps its own checkpoint under ``checkpoint_root``."""
+    good, bad = split_quarantine(stream)
+    root = checkpoint_root.rstrip("/")
+    q_good = append_to_parquet(good, path, f"{root}/good", trigger, partition_by)
+    q_bad = None
+    if quarantine_path:
+        q_bad = append_to_parquet(bad, quarantine_path, f"{root}/quarantine", trigger)
+    return q_good, q_bad

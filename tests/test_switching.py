@@ -35,8 +35,9 @@ def test_switching_guide(spark):
     stream = message_file_stream(spark, f"{root}/topic")
     table = ensure_table(spark, unique_name("ventas"), location=f"{root}/table")
     q_good, q_bad = ingest_to_table(stream, table, f"{root}/ckpt/table", ONCE, quarantine_path=f"{root}/bad")
-    q_files = ingest_to_parquet(stream, f"{root}/files", f"{root}/ckpt/files", ONCE)
-    for q in (q_good, q_bad, q_files):
+    q_files, q_files_bad = ingest_to_parquet(stream, f"{root}/files", f"{root}/ckpt/files", ONCE,
+                                             quarantine_path=f"{root}/files_bad")
+    for q in (q_good, q_bad, q_files, q_files_bad):
         run_to_completion(q, 120)
     n = src.count()
     assert spark.read.table(table).count() == n and spark.read.parquet(f"{root}/files").count() == n
