@@ -79,7 +79,8 @@ def main() -> None:
     from salesflow.session import scratch_path
     from salesflow.sources.files import write_csv
     from salesflow.sources.testviews import sales_from_lineitem
-    csv_path = write_csv(sales_from_lineitem(spark, sf_dir), scratch_path(spark, "bench-csv"))
+    from salesflow.operators.parallelism import spread
+    csv_path = write_csv(spread(sales_from_lineitem(spark, sf_dir)), scratch_path(spark, "bench-csv"))
     extra = {"flagship_lineitem_parquet": parquet_flagship, "flagship_lineitem_csv_inferred": csv_flagship(csv_path)}
 
     times, errors = {}, {}

@@ -73,5 +73,6 @@ def damaged_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """V3 written as a CSV folder with a header (the raw landing files of bronze)."""
-    return write_csv(sales_from_orders(spark, sf_dir), path)
+    """V3 written as a CSV folder with a header (the raw landing files of bronze), spread over
+    several files as a landing area holds them."""
+    return write_csv(spread(sales_from_orders(spark, sf_dir)), path)
