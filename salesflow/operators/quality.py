@@ -126,8 +126,14 @@ def _numeric(df: DataFrame, keys: list[str]) -> list[str]:
             if f.name not in keys and isinstance(f.dataType, T.NumericType)]
 
 
+# Fixed values, as the reference's cross-engine check uses them: absolute tolerance 1e-5 and
+# the comparison library's default relative tolerance 1e-5.
+ATOL = 1e-5
+RTOL = 1e-5
+
+
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str] | str,
-              columns: list[str] | None = None, atol: float = 1e-5, rtol: float = 1e-5) -> DataFrame:
+              columns: list[str] | None = None, atol: float = ATOL, rtol: float = RTOL) -> DataFrame:
     """Compare two results by key with a numeric tolerance; one row per difference.
 
     Values match when both are NULL, both NaN, or ``|l - r| <= atol + rtol * |r|``. Keys match

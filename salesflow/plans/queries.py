@@ -25,8 +25,11 @@ from . import inputs, sql_models
 from .medallion import LayerPaths, build_gold, build_silver, run_medallion
 
 AVAILABLE_NOW = {"availableNow": True}
-MIN_AMOUNT = 100.0  # threshold of the benchmark query
-PUBLISH_LIMIT = 100  # optional record limit of the producer, used by first_n_to_publish
+
+# Fixed values, as the reference's jobs use them: the amount threshold of the benchmark query,
+# and the record limit the producer is run with.
+MIN_AMOUNT = 100.0
+PUBLISH_LIMIT = 100
 
 # ---- step 1: the benchmark query and its variants -------------------------------------------
 

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import SALE_EVENT_TABLE_DDL
 
+# Fixed value, as the reference's stream job uses it: one micro-batch every 30 seconds.
 PRODUCTION_TRIGGER = {"processingTime": "30 seconds"}
 
 
