@@ -1,0 +1,30 @@
+"""The command-line jobs, run in-process on local files (a file topic stands in for the broker)."""
+
+from salesflow import jobs
+from salesflow.session import scratch_path, unique_name
+from salesflow.sources.files import write_csv
+from salesflow.sources.testviews import sales_from_events
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_jobs_end_to_end(spark, capsys):
+    root = scratch_path(spark, "jobs")
+    csv = write_csv(sales_from_events(spark, SF), f"{root}/sales.csv")
+    jobs.run(["totals", "--csv", csv], spark)
+    assert "monto_total" in capsys.readouterr().out
+    jobs.run(["bronze", "--csv", csv, "--out", f"{root}/bronze", "--rejects", f"{root}/rejects"], spark)
+    jobs.run(["medallion", "--bronze", f"{root}/bronze", "--root", f"{root}/lake"], spark)
+    assert "monto_total_ventas" in capsys.readouterr().out
+    n = spark.read.parquet(f"{root}/bronze").count()
+
+    jobs.run(["publish", "--csv", csv, "--format", "parquet", "--path", f"{root}/topic",
+              "--order-by", "id_transaccion", "--limit", "50"], spark)
+    table = unique_name("jobs_t")
+    jobs.run(["stream-table", "--source-format", "parquet", "--source-path", f"{root}/topic", "--once",
+              "--table", table, "--location", f"{root}/table", "--checkpoint", f"{root}/ckpt1",
+              "--quarantine", f"{root}/bad1"], spark)
+    jobs.run(["stream-files", "--source-format", "parquet", "--source-path", f"{root}/topic", "--once",
+              "--path", f"{root}/files", "--checkpoint", f"{root}/ckpt2"], spark)
+    assert spark.read.table(table).count() == 50 == spark.read.parquet(f"{root}/files").count()
+    assert n > 50
