@@ -1,4 +1,5 @@
-"""Command-line jobs, for ``spark-submit`` or ``python -m salesflow.jobs``.
+"""Command-line jobs: ``spark-submit --py-files salesflow.zip run_job.py <job> ...`` on a cluster,
+or ``python -m salesflow.jobs <job> ...`` locally.
 
 The session comes from the launcher (master, catalog, connector jars, ``spark.checkpoint.dir``);
 each job wires library functions together and prints only bounded output (a preview, a report).
