@@ -32,8 +32,13 @@ def csv_scan(spark: SparkSession, path: str, infer_schema: bool = False,
 
 
 def raw_sales_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Sales CSV read as text with the declared raw schema (no inference, no extra pass)."""
-    return csv_scan(spark, path, schema=RAW_SALES)
+    """Sales CSV read as text with the declared raw schema (no inference, no extra pass).
+
+    The header is checked against the schema's names: a file with other columns fails instead
+    of being read by position into the wrong fields.
+    """
+    return (spark.read.option("header", True).option("enforceSchema", False)
+            .schema(RAW_SALES).csv(path))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -101,3 +101,13 @@ def test_ingest_bronze_writes_typed_and_rejects(spark):
     assert report["source_bytes"] > 0 and report["target_bytes"] > 0
     assert spark.read.parquet(f"{root}/bronze").count() == 2
     assert [r["failed_columns"] for r in spark.read.parquet(f"{root}/rejects").collect()] == ["id_transaccion"]
+
+
+def test_raw_csv_rejects_a_file_with_other_columns(spark):
+    import pytest
+    from salesflow.sources.files import raw_sales_csv, write_csv
+    path = scratch_path(spark, "csv-header")
+    write_csv(spark.createDataFrame([(1, 5, 9, 12.5, "2020-01-01 00:00:00")],
+                                    "id int, tienda_id int, producto_id int, monto double, fecha string"), path)
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        raw_sales_csv(spark, path).collect()
