@@ -45,8 +45,8 @@ FLAGSHIP = (f"SELECT tienda_id, {money('monto')} AS monto_total, {money('monto')
             f"FROM {V1} WHERE monto > 100 GROUP BY tienda_id ORDER BY tienda_id")
 
 
-def _dq_report() -> str:
-    s, g = silver(V2), f"({gold(silver(V2))})"
+def _dq_report(src: str = V2) -> str:
+    s, g = silver(src), f"({gold(silver(src))})"
     parts = [f"SELECT 'silver_sales' AS model, '{c}' AS column_name, 'not_null' AS test, "
              f"COUNT(*) FILTER (WHERE {c} IS NULL) AS failures FROM {s}"
              for c in ("venta_id", "tienda_id", "monto", "fecha_venta")]
@@ -93,6 +93,13 @@ def _decode_quarantine() -> str:
             f"FROM {e} WHERE k BETWEEN 0 AND 4")
 
 
+# Orders typed from the damaged text: NULL amount for pending orders, NULL date for urgent finished ones.
+V3_DAMAGED_TYPED = ("(SELECT o_orderkey AS id_transaccion, CAST(o_custkey % 100 + 1 AS INTEGER) AS tienda_id, "
+                    "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS monto, "
+                    "CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN NULL ELSE o_orderdate END "
+                    "AS fecha FROM orders)")
+
+
 def _bronze_rejects() -> str:
     bad_amount = "o_orderstatus = 'P'"
     bad_date = "(o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')"
@@ -136,6 +143,7 @@ def oracle_sql() -> dict[str, str]:
         "epoch_to_timestamp": (f"SELECT id_transaccion, {epoch} AS epoch_s, "
                                f"make_timestamp({epoch} * 1000000) AS fecha_s FROM {V1}"),
         "dq_report": _dq_report(),
+        "dq_report_damaged": _dq_report(V3_DAMAGED_TYPED),
         "dq_duplicate_keys": (f"SELECT venta_id, COUNT(*) AS n_records FROM {silver(V2)} "
                               "WHERE venta_id IS NOT NULL GROUP BY venta_id HAVING COUNT(*) > 1"),
         "medallion_gated": gold_v1,

@@ -149,6 +149,14 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_report(silver, SILVER_CONTRACT).unionByName(quality.dq_report(gold, GOLD_CONTRACT))
 
 
+def dq_report_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver and gold tests over orders typed from damaged text: unparsable amounts are
+    dropped by silver's amount filter, unparsable dates reach silver and fail its not_null test."""
+    silver = layers.to_silver(layers.to_bronze(inputs.damaged_raw_orders(spark, sf_dir)))
+    gold = layers.to_gold(silver)
+    return quality.dq_report(silver, SILVER_CONTRACT).unionByName(quality.dq_report(gold, GOLD_CONTRACT))
+
+
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.duplicate_keys(layers.to_silver(sales_from_lineitem(spark, sf_dir)), "venta_id")
 
@@ -284,6 +292,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "round_amount": round_amount,
     "epoch_to_timestamp": epoch_to_timestamp,
     "dq_report": dq_report,
+    "dq_report_damaged": dq_report_damaged,
     "dq_duplicate_keys": dq_duplicate_keys,
     "medallion_gated": medallion_gated,
     "reconcile_totals": reconcile_totals,
