@@ -80,6 +80,17 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
             s.add_argument("--path", required=True)
 
     args = p.parse_args(argv)
+    if args.job == "totals" and not (args.csv or args.parquet):
+        p.error("totals needs --csv or --parquet")
+    if args.job == "publish" and args.format == "kafka" and not args.brokers:
+        p.error("publish to kafka needs --brokers")
+    if args.job == "publish" and args.format != "kafka" and not args.path:
+        p.error("publish to files needs --path")
+    if args.job.startswith("stream-"):
+        if args.source_format == "kafka" and not args.brokers:
+            p.error(f"{args.job} from kafka needs --brokers")
+        if args.source_format != "kafka" and not args.source_path:
+            p.error(f"{args.job} from files needs --source-path")
     spark = spark or SparkSession.builder.appName(f"salesflow-{args.job}").getOrCreate()
 
     if args.job == "totals":

@@ -28,3 +28,11 @@ def test_jobs_end_to_end(spark, capsys):
               "--path", f"{root}/files", "--checkpoint", f"{root}/ckpt2"], spark)
     assert spark.read.table(table).count() == 50 == spark.read.parquet(f"{root}/files").count()
     assert n > 50
+
+
+def test_jobs_reject_missing_inputs(spark, capsys):
+    import pytest
+    for argv in (["totals"], ["publish", "--csv", "x.csv"], ["stream-files", "--path", "p", "--checkpoint", "c"]):
+        with pytest.raises(SystemExit):
+            jobs.run(argv, spark)
+    assert "needs" in capsys.readouterr().err
