@@ -73,9 +73,14 @@ def with_comments(df: DataFrame, contract: ModelContract) -> DataFrame:
     ])
 
 
-def write_layer(df: DataFrame, path: str, contract: ModelContract | None = None,
+# Formats written as plain files at a path; others (e.g. a table format) are catalog tables whose
+# location the catalog owns, and whose overwrite is one atomic commit for readers.
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
+
+
+def write_layer(df: DataFrame, path: str | None, contract: ModelContract | None = None,
                 partition_by: list[str] | None = None, table: str | None = None,
-                fmt: str = "parquet", observe: tuple | None = None, rebalance: bool = True) -> str:
+                fmt: str = "parquet", observe: tuple | None = None, rebalance: bool = True) -> str | None:
     """Materialise a layer at ``path`` (replacing what was there), optionally as a named table.
 
     With ``partition_by`` the files are laid out by those columns so readers prune folders.
@@ -85,6 +90,9 @@ def write_layer(df: DataFrame, path: str, contract: ModelContract | None = None,
     That costs one shuffle of the layer; pass ``rebalance=False`` when the input is already
     clustered by those columns (e.g. landed day by day), where each task holds few values anyway.
     ``observe`` = ``(Observation, metric columns)`` computed by this write's final stage.
+    With a table format as ``fmt`` (e.g. ``iceberg``) the layer is the catalog table ``table``
+    and ``path`` is unused; its overwrite is then one atomic commit for concurrent readers.
+    Returns the path, or the table name for a table format.
     """
     if contract is not None:
         df = with_comments(df, contract)
@@ -92,14 +100,18 @@ def write_layer(df: DataFrame, path: str, contract: ModelContract | None = None,
         df = df.hint("rebalance", *partition_by)
     if observe is not None:
         df = df.observe(observe[0], *observe[1])
-    writer = df.write.mode("overwrite").format(fmt).option("path", path)
+    writer = df.write.mode("overwrite").format(fmt)
+    if fmt in FILE_FORMATS:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if table:
         writer.saveAsTable(table)
-    else:
+    elif fmt in FILE_FORMATS:
         writer.save()
-    return path
+    else:
+        raise ValueError(f"a {fmt!r} layer needs a catalog table name")
+    return path if fmt in FILE_FORMATS else table
 
 
 SILVER_PARTITIONS = ["anio_venta", "mes_venta"]
