@@ -19,38 +19,49 @@ from ..schemas import GOLD_CONTRACT, SILVER_CONTRACT
 
 @dataclass(frozen=True)
 class LayerPaths:
-    silver: str
-    gold: str
+    """Where the layers go: folders, and optionally catalog tables (required for a table format)."""
+    silver: str | None
+    gold: str | None
+    silver_table: str | None = None
+    gold_table: str | None = None
+    fmt: str = "parquet"
 
     @classmethod
-    def under(cls, root: str) -> "LayerPaths":
+    def under(cls, root: str, silver_table: str | None = None, gold_table: str | None = None,
+              fmt: str = "parquet") -> "LayerPaths":
         root = root.rstrip("/")
-        return cls(silver=f"{root}/silver/sales", gold=f"{root}/gold/store_sales")
+        return cls(f"{root}/silver/sales", f"{root}/gold/store_sales", silver_table, gold_table, fmt)
+
+
+def _read_layer(spark: SparkSession, path: str | None, table: str | None) -> DataFrame:
+    return spark.table(table) if table else spark.read.parquet(path)
 
 
 def build_silver(spark: SparkSession, bronze: DataFrame, paths: LayerPaths,
                  partitioned: bool = True, gate: bool = True) -> DataFrame:
     """Write silver; its NULL counts are observed during that same write (no second pass)."""
     spec = observe_not_null(SILVER_CONTRACT) if gate else None
-    write_layer(to_silver(bronze), paths.silver, SILVER_CONTRACT,
-                partition_by=SILVER_PARTITIONS if partitioned else None, observe=spec)
+    write_layer(to_silver(bronze), paths.silver, SILVER_CONTRACT, partition_by=SILVER_PARTITIONS if partitioned else None,
+                table=paths.silver_table, fmt=paths.fmt, observe=spec)
     if gate:
         require_observed_clean(spec[0], SILVER_CONTRACT)
-    return spark.read.parquet(paths.silver)
+    return _read_layer(spark, paths.silver, paths.silver_table)
 
 
 def build_gold(spark: SparkSession, silver: DataFrame, paths: LayerPaths, gate: bool = True) -> DataFrame:
     # Files clustered by store (tight min/max statistics per file), without a global sort.
-    write_layer(to_gold(silver).sortWithinPartitions("tienda_id"), paths.gold, GOLD_CONTRACT)
-    gold = spark.read.parquet(paths.gold)
+    write_layer(to_gold(silver).sortWithinPartitions("tienda_id"), paths.gold, GOLD_CONTRACT,
+                table=paths.gold_table, fmt=paths.fmt)
+    gold = _read_layer(spark, paths.gold, paths.gold_table)
     if gate:
         require_clean(dq_report(gold, GOLD_CONTRACT))
     return gold
 
 
-def run_medallion(spark: SparkSession, bronze: DataFrame, root: str, gate: bool = True,
+def run_medallion(spark: SparkSession, bronze: DataFrame, root: str | LayerPaths, gate: bool = True,
                   partitioned: bool = True) -> DataFrame:
-    """Build silver and gold under ``root`` (overwriting), testing each; return gold."""
-    paths = LayerPaths.under(root)
+    """Build silver and gold under ``root`` (a folder, or ``LayerPaths`` naming catalog tables and
+    a format), overwriting, testing each; return gold."""
+    paths = root if isinstance(root, LayerPaths) else LayerPaths.under(root)
     silver = build_silver(spark, bronze, paths, partitioned=partitioned, gate=gate)
     return build_gold(spark, silver, paths, gate=gate)

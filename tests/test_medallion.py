@@ -30,3 +30,14 @@ def test_clean_build_writes_partitioned_silver_and_gold(spark):
     assert [tuple(r) for r in gold.orderBy("tienda_id").collect()] == [(1, 3.0, 1, 3.0), (2, 5.0, 1, 5.0)]
     silver_dir = LayerPaths.under(root).silver.replace("file:", "")
     assert sorted(d for d in os.listdir(silver_dir) if d.startswith("anio")) == ["anio_venta=2024"]
+
+
+def test_layers_as_catalog_tables(spark):
+    import datetime as dt
+    from salesflow.session import unique_name
+    root = scratch_path(spark, "medallion-tables")
+    paths = LayerPaths.under(root, silver_table=unique_name("silver"), gold_table=unique_name("gold"))
+    good = bronze(spark, [(1, 2, 5.0, dt.datetime(2024, 1, 1)), (2, 1, 3.0, dt.datetime(2024, 2, 1))])
+    gold = run_medallion(spark, good, paths)
+    assert gold.count() == 2 and spark.table(paths.silver_table).count() == 2
+    assert spark.table(paths.gold_table).schema["tienda_id"].metadata["comment"]
