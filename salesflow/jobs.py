@@ -6,7 +6,8 @@ each job wires library functions together and prints only bounded output (a prev
 
     python -m salesflow.jobs totals    --csv sales.csv [--min-amount 100]
     python -m salesflow.jobs bronze    --csv sales.csv --out /lake/bronze/sales [--rejects PATH]
-    python -m salesflow.jobs medallion --bronze /lake/bronze/sales --root /lake
+    python -m salesflow.jobs medallion --bronze /lake/bronze/sales --root /lake [--format iceberg \
+                                       --silver-table lake.silver.ventas --gold-table lake.gold.tiendas]
     python -m salesflow.jobs publish   --csv sales.csv --brokers host:9092 [--topic T] [--limit N]
     python -m salesflow.jobs stream-table --brokers host:9092 --table lake.default.ventas \\
                                           --checkpoint s3a://b/ckpt [--quarantine PATH] [--provider iceberg]
@@ -21,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from .operators.totals import first_n, preview, store_totals
 from .plans.bronze import ingest_bronze
-from .plans.medallion import run_medallion
+from .plans.medallion import LayerPaths, run_medallion
 from .sources.files import csv_scan
 from .streaming.ingest import ingest_to_parquet, ingest_to_table, kafka_sink_options, publish_sales
 from .streaming.sinks import ensure_table
@@ -59,6 +60,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
 
     m = sub.add_parser("medallion", help="bronze -> silver -> gold, each layer tested before the next")
     m.add_argument("--bronze", required=True), m.add_argument("--root", required=True)
+    m.add_argument("--silver-table"), m.add_argument("--gold-table")
+    m.add_argument("--format", default="parquet", help="layer format, e.g. iceberg (needs the table names)")
 
     pub = sub.add_parser("publish", help="CSV rows -> keyed JSON messages on a topic")
     pub.add_argument("--csv", required=True), pub.add_argument("--brokers")
@@ -99,7 +102,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
     elif args.job == "bronze":
         ingest_bronze(spark, args.csv, args.out, args.rejects).show(truncate=False)
     elif args.job == "medallion":
-        gold = run_medallion(spark, spark.read.parquet(args.bronze), args.root)
+        paths = LayerPaths.under(args.root, args.silver_table, args.gold_table, args.format)
+        gold = run_medallion(spark, spark.read.parquet(args.bronze), paths)
         preview(gold, ["tienda_id"], PREVIEW_ROWS).show(truncate=False)
     elif args.job == "publish":
         rows = first_n(csv_scan(spark, args.csv, infer_schema=True), args.limit, args.order_by)
