@@ -57,3 +57,20 @@ def test_store_sums_exact_for_any_partitioning(spark, data, parts):
         expect[k] = expect.get(k, 0) + c
     assert got == {k: float(Decimal(v) / 100) for k, v in expect.items()}
     assert all(not math.isnan(v) for v in got.values())
+
+
+keyed = st.lists(st.tuples(st.integers(0, 10 ** 6), st.none() | st.floats(-1e6, 1e6, allow_nan=False)),
+                 min_size=1, max_size=60, unique_by=lambda t: t[0])
+
+
+@SETTINGS
+@given(keyed, st.floats(-1.0, 1.0, allow_nan=False))
+def test_reconcile_flags_exactly_the_moved_values(spark, data, shift):
+    from salesflow.operators.quality import reconcile
+    left = spark.createDataFrame(data, "k bigint, v double")
+    assert reconcile(left, left, "k").count() == 0
+    moved = [(k, None if v is None else v + shift) for k, v in data]
+    right = spark.createDataFrame(moved, "k bigint, v double")
+    got = {r["k"] for r in reconcile(left, right, "k").collect()}
+    expect = {k for (k, v), (_, w) in zip(data, moved) if v is not None and not abs(v - w) <= 1e-5 + 1e-5 * abs(w)}
+    assert got == expect
