@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,4 +57,10 @@ def infer_json_schema(df: DataFrame, column: str) -> str:
     if ddl is None or not ddl.startswith("OBJECT<"):
         raise ValueError(f"column {column!r} holds no JSON objects")
     # Variant schema names objects OBJECT<...> and untyped nulls VOID; DDL says STRUCT / STRING.
-    return ddl.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    # Only type positions change: text inside backquotes is a field name, and so is a bare word
+    # followed by a colon (a field may be called VOID).
+    parts = ddl.split("`")
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r"\bOBJECT<", "STRUCT<", parts[i])
+        parts[i] = re.sub(r"\bVOID\b(?!\s*:)", "STRING", parts[i])
+    return "`".join(parts)

@@ -81,3 +81,13 @@ def test_infer_and_parse_json_column(spark):
 def test_message_schema_shape():
     assert [f.name for f in MESSAGE.fields] == ["key", "value"]
     assert F is not None
+
+
+def test_infer_json_schema_keeps_awkward_field_names(spark):
+    from salesflow.functions.jsonfmt import infer_json_schema
+    df = spark.createDataFrame([(1, '{"a b": 1, "VOID": null, "o": {"x": [1, 2]}, "OBJECT<": "s"}')],
+                               "id int, props string")
+    out = messages.parse_json_column(df, "props", infer_json_schema(df, "props"), keep=["id"])
+    assert sorted(out.columns) == sorted(["id", "OBJECT<", "VOID", "a b", "o"])
+    row = out.first()
+    assert row["a b"] == 1 and row["VOID"] is None and row["o"]["x"] == [1, 2] and row["OBJECT<"] == "s"
