@@ -20,6 +20,8 @@ PRODUCTION_TRIGGER = {"processingTime": "30 seconds"}
 def ensure_table(spark: SparkSession, table: str, ddl: str = SALE_EVENT_TABLE_DDL,
                  provider: str = "parquet", location: str | None = None) -> str:
     """Idempotent DDL: create the table only if it does not exist yet."""
+    if location and "'" in location:
+        raise ValueError("location must not contain a single quote")
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {provider}{loc}")
     return table
