@@ -4,7 +4,7 @@ or ``python -m salesflow.jobs <job> ...`` locally.
 The session comes from the launcher (master, catalog, connector jars, ``spark.checkpoint.dir``);
 each job wires library functions together and prints only bounded output (a preview, a report).
 
-    python -m salesflow.jobs totals    --csv sales.csv [--min-amount 100]
+    python -m salesflow.jobs totals    --csv sales.csv [--min-amount 100] [--explain]
     python -m salesflow.jobs bronze    --csv sales.csv --out /lake/bronze/sales [--rejects PATH]
     python -m salesflow.jobs medallion --bronze /lake/bronze/sales --root /lake [--format iceberg \
                                        --silver-table lake.silver.ventas --gold-table lake.gold.tiendas]
@@ -54,6 +54,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
 
     t = sub.add_parser("totals", help="per-store total and mean of sales above a threshold")
     t.add_argument("--csv"), t.add_argument("--parquet"), t.add_argument("--min-amount", type=float, default=100.0)
+    t.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
 
     b = sub.add_parser("bronze", help="CSV landing files -> typed bronze Parquet (+ rejects)")
     b.add_argument("--csv", required=True), b.add_argument("--out", required=True), b.add_argument("--rejects")
@@ -98,7 +99,11 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
 
     if args.job == "totals":
         src = csv_scan(spark, args.csv, infer_schema=True) if args.csv else spark.read.parquet(args.parquet)
-        preview(store_totals(src, args.min_amount), ["tienda_id"], PREVIEW_ROWS).show(truncate=False)
+        result = store_totals(src, args.min_amount)
+        if args.explain:
+            result.explain("formatted")
+        else:
+            preview(result, ["tienda_id"], PREVIEW_ROWS).show(truncate=False)
     elif args.job == "bronze":
         ingest_bronze(spark, args.csv, args.out, args.rejects).show(truncate=False)
     elif args.job == "medallion":

@@ -14,6 +14,9 @@ def test_jobs_end_to_end(spark, capsys):
     jobs.run(["totals", "--csv", csv], spark)
     assert "monto_total" in capsys.readouterr().out
     jobs.run(["bronze", "--csv", csv, "--out", f"{root}/bronze", "--rejects", f"{root}/rejects"], spark)
+    capsys.readouterr()
+    jobs.run(["totals", "--parquet", f"{root}/bronze", "--explain"], spark)
+    assert "PushedFilters: [IsNotNull(monto), GreaterThan(monto,100.0)]" in capsys.readouterr().out
     jobs.run(["medallion", "--bronze", f"{root}/bronze", "--root", f"{root}/lake"], spark)
     assert "monto_total_ventas" in capsys.readouterr().out
     n = spark.read.parquet(f"{root}/bronze").count()
