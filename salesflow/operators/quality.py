@@ -121,6 +121,22 @@ def require_clean(report: DataFrame) -> DataFrame:
     return report
 
 
+def _null_safe_parts(df: DataFrame, keys: list[str]) -> list[tuple[str, F.Column]] | None:
+    """(name, expression) pairs standing for NULL-safe key equality, or None if some key's type
+    has no plain default (then the join uses <=>)."""
+    out = []
+    for k in keys:
+        t = df.schema[k].dataType
+        if isinstance(t, T.StringType):
+            default = F.lit("")
+        elif isinstance(t, (T.NumericType, T.BooleanType)):
+            default = F.lit(0).cast(t)
+        else:
+            return None
+        out += [(f"__val_{k}", F.coalesce(F.col(k), default)), (f"__null_{k}", F.col(k).isNull())]
+    return out
+
+
 def _numeric(df: DataFrame, keys: list[str]) -> list[str]:
     return [f.name for f in df.schema.fields
             if f.name not in keys and isinstance(f.dataType, T.NumericType)]
@@ -146,16 +162,30 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str] | str,
     if columns is None:
         columns = [c for c in _numeric(left, keys) if c in right.columns]
 
+    # Keys match NULL-safely. Where every key has a plain default value, each side is grouped by
+    # the NULL-safe parts (coalesce(k, default), isnull(k)) and joined on those same columns with
+    # plain equality: the join then reuses the grouping's hash partitioning (no second shuffle).
+    # Otherwise the sides are joined with <=>, which re-partitions the reduced rows.
+    parts = _null_safe_parts(left, keys) if _null_safe_parts(right, keys) is not None else None
+
     def reduce_side(df: DataFrame, tag: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias(f"_n_{tag}"),
-            *[F.first(F.col(c).cast("double"), ignorenulls=False).alias(f"{c}__{tag}") for c in columns])
-
-    cond = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
-    joined = reduce_side(left, "l").alias("l").join(reduce_side(right, "r").alias("r"), cond, "full_outer")
-    joined = joined.select(
-        *[F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in keys],
-        F.col("l._n_l").alias("_n_l"), F.col("r._n_r").alias("_n_r"),
+        values = [F.first(F.col(c).cast("double"), ignorenulls=False).alias(f"{c}__{tag}") for c in columns]
+        if parts is None:
+            return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_n_{tag}"), *values)
+        grouped = df.groupBy(*[expr.alias(name) for name, expr in _null_safe_parts(df, keys)])
+        return grouped.agg(F.count(F.lit(1)).alias(f"_n_{tag}"), *values)
+
+    l_side, r_side = reduce_side(left, "l").alias("l"), reduce_side(right, "r").alias("r")
+    if parts is None:
+        cond = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+        key_cols = [F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in keys]
+    else:
+        names = [name for name, _ in parts]
+        cond = reduce(lambda a, b: a & b, [F.col(f"l.{n}") == F.col(f"r.{n}") for n in names])
+        both = {n: F.coalesce(F.col(f"l.{n}"), F.col(f"r.{n}")) for n in names}
+        key_cols = [F.when(~both[f"__null_{k}"], both[f"__val_{k}"]).alias(k) for k in keys]
+    joined = l_side.join(r_side, cond, "full_outer").select(
+        *key_cols, F.col("l._n_l").alias("_n_l"), F.col("r._n_r").alias("_n_r"),
         *[F.col(f"l.{c}__l") for c in columns], *[F.col(f"r.{c}__r") for c in columns])
 
     def close(lv: F.Column, rv: F.Column) -> F.Column:
