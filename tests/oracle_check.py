@@ -7,6 +7,7 @@ text, floats by repr). Usage: python tests/oracle_check.py [sf_dir] [name ...]
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import sys
 import time
@@ -82,7 +83,7 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
-    bad = 0
+    bad, summary = 0, {}
     for name, fn in qs.items():
         if names and name not in names:
             continue
@@ -91,7 +92,9 @@ def main(argv):
         except Exception as e:  # report and continue
             r = dict(name=name, ok=False, error=f"{type(e).__name__}: {str(e)[:400]}")
         bad += r.get("ok") is False
+        summary[name] = {True: "match", False: "MISMATCH", None: "rows-only"}[r.get("ok")]
         print(r, flush=True)
+    print(json.dumps({"sf_dir": sf_dir, "failed": bad, "queries": summary}))
     print(f"FAILED: {bad}")
     return bad
 
