@@ -51,9 +51,11 @@ from pyspark.sql.types import StructType
 from .common import stored
 
 LENGTH, GRAM = 50, 24
-PACK_BYTES, BUCKET_ANCHORS, BUCKET_BYTES, SHARD_BYTES = 2 << 20, 2 << 20, 2 << 20, 256 << 10
+PACK_BYTES, BUCKET_ANCHORS, BUCKET_BYTES, SHARD_BYTES = 2 << 20, 2 << 20, 8 << 20, 64 << 10
+SECTIONS = 32  # of a bucket, merged one after another: their arrays stay in the processor's cache
 HOT = 2000
 KEY_SYMBOLS = 8  # symbols in one sort key
+DROP_EVERY = 2  # rounds after which places that are alone leave the interleave
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 
 
@@ -69,10 +71,10 @@ def _part(key: np.ndarray, parts: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
 
 
-def _squeeze(*arrays: np.ndarray | bytes) -> bytes:
+def _squeeze(*arrays: np.ndarray | bytes, level: int = 1) -> bytes:
     body = [a if isinstance(a, bytes) else np.ascontiguousarray(a).tobytes() for a in arrays]
     head = np.array([len(body), *map(len, body)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(body))
+    return zstandard.ZstdCompressor(level=level).compress(head + b"".join(body))
 
 
 def _spread(blob: bytes, *types: str) -> list:
@@ -295,14 +297,17 @@ def _strings(packs: DataFrame, shared: DataFrame, id_col: str, text_col: str, pa
         string = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(at.tolist(), (at + count + LENGTH - 1).tolist())], np.int64)
         low = np.full(len(known), np.iinfo(np.int64).max)
         np.minimum.at(low, string, pack.ids[doc])
-        home = np.zeros(len(known), np.int32)
-        home[string] = _part(key, parts)  # equal strings have equal keys; strings are numbered in the order of parts
-        yield -1, _squeeze(at.astype(np.int32), count.astype(np.int16), doc.astype(np.int32), string.astype(np.int32))
-        edge = np.flatnonzero(np.diff(home, prepend=-1))
+        order = np.argsort(at)  # the runs go back in the order of the text
+        at, count, run = at[order], count[order], string[order]
+        home = np.zeros(len(known), np.int64)
+        home[string] = _part(key, parts * SECTIONS)  # equal strings have equal keys; strings are numbered in their order
+        yield -1, _squeeze(np.diff(at, prepend=0).astype(np.int32), count.astype(np.int8), run.astype(np.int32))
+        part, section = home // SECTIONS, (home % SECTIONS).astype(np.int8)
+        edge = np.flatnonzero(np.diff(part, prepend=-1))
         texts = list(known)
-        for a, b in zip(edge.tolist(), [*edge.tolist()[1:], len(home)]):
+        for a, b in zip(edge.tolist(), [*edge.tolist()[1:], len(part)]):
             size = np.array([len(t) for t in texts[a:b]], np.int32)
-            yield int(home[a]), _squeeze(size, low[a:b], b"".join(texts[a:b]))
+            yield int(part[a]), _squeeze(size, low[a:b], section[a:b], b"".join(texts[a:b]), level=3)
 
     return packs.select("pack", "body").join(lists, "pack").mapInArrow(run, "part int, pack bigint, blob binary")
 
@@ -360,71 +365,86 @@ def repeated_intervals(shards: list[Shard], length: int = LENGTH) -> tuple[np.nd
     Returns (place, interval, common). ``place`` are the places, counted through the shards one after
     another, that lie in a repeated interval of the merged order at depth ``length``, ``interval`` the number
     of each one's interval. ``common[p]`` bounds the common prefix of place p with any other suffix: where a place
-    was first alone between boundaries in round h + 1, the prefix is at most h long.
+    was seen alone between boundaries after round h + 1, the prefix is at most h long.
     """
     offset = np.concatenate([[0], np.cumsum([s.size for s in shards])])
-    transform = np.concatenate([s.transform for s in shards])
-    back = np.concatenate([s.back + o for s, o in zip(shards, offset)]).astype(np.int32)
-    common = np.full(len(transform), length, np.int8 if length < 128 else np.int32)
-    place = np.arange(offset[-1], dtype=np.int32)  # the interleave: at first the shards one after another
-    border = np.zeros(len(place), bool)  # whether an interval starts here
+    n = int(offset[-1])
+    # symbol and place before it, side by side
+    kind = np.uint32 if n < 1 << 24 else np.uint64
+    table = np.concatenate([(s.back + o).astype(kind) << kind(8) | s.transform for s, o in zip(shards, offset.tolist())])
+    common = np.full(n, length, np.int16)
+    place = np.arange(n)  # the interleave: at first the shards one after another
+    border = np.zeros(n, bool)  # whether an interval starts here
     border[:1] = True
     for h in range(length):
-        symbol = transform[place]
-        interval = np.cumsum(border, dtype=np.int32)
-        inside = symbol != 0  # a prefix that would start before its string is of no use
-        symbol, interval, place = symbol[inside], interval[inside], place[inside]
-        order = np.argsort(symbol, kind="stable")
-        symbol, interval, place = symbol[order], interval[order], back[place[order]]
+        step = table.take(place)
+        symbol = step.astype(np.uint8)
+        order = symbol.argsort(kind="stable")
+        # a prefix that would start before its string is of no use
+        order = order[np.count_nonzero(symbol == 0):]
+        key = np.cumsum(border, dtype=np.int64)
+        key <<= 8
+        key |= symbol
+        key, step = key.take(order), step.take(order)
+        step >>= kind(8)
+        place = step.astype(np.int64)
         border = np.ones(len(place), bool)
-        border[1:] = (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])
-        alone = border.copy()
-        alone[:-1] &= border[1:]
-        common[place[alone]] = np.minimum(common[place[alone]], h)
-        place, border = place[~alone], border[~alone]
+        np.not_equal(key[1:], key[:-1], out=border[1:])
+        if h % DROP_EVERY == DROP_EVERY - 1 or h == length - 1:
+            alone = border.copy()
+            alone[:-1] &= border[1:]
+            gone = place[alone]
+            common[gone] = np.minimum(common[gone], h)
+            place, border = place[~alone], border[~alone]
     return place, np.cumsum(border) - 1, common
 
 
+def _least(strings: list[bytes], low: np.ndarray) -> np.ndarray:
+    """The smallest document id having each window of the strings, given that of each string."""
+    size = np.array([len(s) for s in strings], np.int64)
+    windows = size - LENGTH + 1
+    at = np.concatenate([[0], np.cumsum(windows)])
+    best = np.repeat(low, windows)
+    cut = np.append(np.flatnonzero(np.diff((np.cumsum(size) - 1) // SHARD_BYTES, prepend=-1)), len(strings)).tolist()
+    shards = [Shard(strings[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+    place, interval, _ = repeated_intervals(shards)
+    if len(place):
+        # the shards' strings, ends included, lie one after another as their places do
+        begin = np.concatenate([[0], np.cumsum(size + 1)])
+        position = np.concatenate([s.suffix + begin[a] for s, a in zip(shards, cut[:-1])])[place]
+        owner = np.searchsorted(begin, position, "right") - 1
+        window = at[owner] + position - begin[owner]
+        first = np.flatnonzero(np.diff(interval, prepend=-1))
+        best[window] = np.minimum.reduceat(low[owner], first)[interval]
+    return best
+
+
 def _merged(part: int, packs: list[int], blobs: list[bytes]) -> Iterator[tuple]:
     """(part, pack, blob): the smallest document id having each window of the pack's strings."""
     known: dict[bytes, int] = {}
-    lows: list[np.ndarray] = []
-    own: list[np.ndarray] = []
+    lows, own, where = [], [], []
     for blob in blobs:
-        size, low, raw = _spread(blob, "i4", "i8", "bytes")
+        size, low, section, raw = _spread(blob, "i4", "i8", "i1", "bytes")
         end = np.cumsum(size)
         own.append(np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip((end - size).tolist(), end.tolist())], np.int64))
         lows.append(low)
+        where.append(section)
+    index = np.concatenate(own)
     low = np.full(len(known), np.iinfo(np.int64).max)
-    for index, value in zip(own, lows):
-        np.minimum.at(low, index, value)
+    np.minimum.at(low, index, np.concatenate(lows))
+    section = np.zeros(len(known), np.int8)
+    section[index] = np.concatenate(where)
     strings = list(known)
-    size = np.array([len(s) for s in strings], np.int64)
-    windows = size - LENGTH + 1
+    windows = np.array([len(s) for s in strings], np.int64) - LENGTH + 1
     at = np.concatenate([[0], np.cumsum(windows)])
-    best = np.repeat(low, windows)
-    # shards of consecutive strings
-    shard_of = np.cumsum(size) // SHARD_BYTES
-    cut = np.append(np.flatnonzero(np.diff(shard_of, prepend=-1)), len(strings))
-    shards, begin = [], []
-    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        shards.append(Shard(strings[a:b]))
-        begin.append((a, np.concatenate([[0], np.cumsum(size[a:b] + 1)])))
-    place, interval, _ = repeated_intervals(shards)
-    if len(place):
-        offset = np.concatenate([[0], np.cumsum([s.size for s in shards])])
-        shard = np.searchsorted(offset, place, "right") - 1
-        position = np.concatenate([s.suffix for s in shards])[place].astype(np.int64)
-        window = np.empty(len(place), np.int64)
-        owner = np.empty(len(place), np.int64)
-        for k, (a, starts) in enumerate(begin):
-            here = shard == k
-            s = np.searchsorted(starts, position[here], "right") - 1
-            owner[here] = a + s
-            window[here] = at[a + s] + position[here] - starts[s]
-        first = np.flatnonzero(np.diff(interval, prepend=-1))
-        least = np.minimum.reduceat(low[owner], first)
-        best[window] = least[interval]
+    best = np.empty(at[-1], np.int64)
+    order = np.argsort(section, kind="stable")
+    cut = np.append(np.flatnonzero(np.diff(section[order], prepend=-1)), len(order))
+    for a, b in zip(cut[:-1], cut[1:]):
+        members = order[a:b]
+        n = windows[members]
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        best[np.repeat(at[members], n) + nth] = _least([strings[i] for i in members.tolist()], low[members])
     for pack, index in zip(packs, own):
         n = windows[index]
         nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -438,7 +458,9 @@ def _removed(pack: _Pack, runs: bytes | None, answers: list[tuple[int, bytes]])
     """Which bytes of the pack go."""
     gone = np.zeros(len(pack.bytes) + 1, np.int32)
     if runs is not None:
-        at, count, doc, string = (x.astype(np.int64) for x in _spread(runs, "i4", "i2", "i4", "i4"))
+        at, count, string = (x.astype(np.int64) for x in _spread(runs, "i4", "i1", "i4"))
+        at = np.cumsum(at)
+        doc = np.searchsorted(pack.start, at, "right") - 1
         parts = [_spread(blob, "i4", "i8") for _, blob in sorted(answers)]
         windows = np.concatenate([p[0] for p in parts]).astype(np.int64)
         best = np.concatenate([p[1] for p in parts])
