@@ -1,0 +1,101 @@
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from salesflow.llm import lattice
+
+from .data import reach
+
+NAN, INF = float("nan"), float("inf")
+
+
+def vectors(seed=0, groups=12, dims=64):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for _ in range(groups):
+        centre = rng.standard_normal(dims)
+        for _ in range(int(rng.integers(1, 12))):
+            v = centre + rng.standard_normal(dims) * rng.choice([0.0, 0.05, 0.15])
+            rows.append((len(rows), [float(x) for x in (v * rng.choice([1.0, 3.0])).astype(np.float32)], int(rng.integers(0, 2))))
+    n = len(rows)
+    same = rows[0][1]
+    rows += [(n + i, list(same), rows[0][2]) for i in range(6)]
+    odd = [(None, 1), ([0.0] * dims, 1), ([NAN] + same[1:], 1), ([INF] + same[1:], 1), (same, None), ([], 0), (same[:9], 1), ([2 * x for x in same[:9]], 1), ([None] + same[1:], 1)]
+    rows += [(n + 100 + i, v, label) for i, (v, label) in enumerate(odd)]
+    rows += [(None, same, rows[0][2]), (0, same, rows[0][2])]
+    return rows
+
+
+def brute(rows, threshold=0.93):
+    unit = []
+    for i, v, label in rows:
+        ok = i is not None and label is not None and v and None not in v and np.isfinite(v).all() and np.any(v)
+        unit.append(np.array(v, np.float64) / np.linalg.norm(v) if ok else None)
+    links, n = [], [0] * len(rows)
+    for a, b in combinations(range(len(rows)), 2):
+        x, y = unit[a], unit[b]
+        if x is not None and y is not None and rows[a][2] == rows[b][2] and len(x) == len(y) and x @ y >= threshold:
+            links.append((a, b))
+            n[a] += 1
+            n[b] += 1
+    top = reach(range(len(rows)), links)
+    low = {}
+    for k, (i, _, _) in enumerate(rows):
+        if i is not None:
+            low[top[k]] = min(low.get(top[k], i), i)
+    return sorted(((i, n[k], low.get(top[k]) if i is not None else None, i is not None and low[top[k]] == i)
+                   for k, (i, _, _) in enumerate(rows)), key=str), len(links)
+
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_whole_result_against_brute_force(spark, monkeypatch, block):
+    """With blocks of three residents every crowded cell is cut."""
+    monkeypatch.setattr(lattice, "BLOCK", block)
+    rows = vectors()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = sorted((tuple(r) for r in lattice.near_duplicates(df).collect()), key=str)
+    want, _ = brute(rows)
+    assert got == want
+
+
+def test_doubles_extra_columns_and_empty_table(spark):
+    from pyspark.sql import functions as F
+
+    rows = vectors(3, 5)
+    df = spark.createDataFrame(rows, SCHEMA.replace("float", "double")).withColumns(
+        {c: F.lit(1) for c in ("cid", "code", "vec", "key", "block", "n", "links", "low", "component")})
+    got = sorted((tuple(r) for r in lattice.near_duplicates(df).collect()), key=str)
+    assert got == brute(rows)[0]
+    assert lattice.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_recall_at_the_threshold():
+    """Pairs of exactly the threshold cosine meet in at least nine of ten cases; closer ones nearly always."""
+    rng = np.random.default_rng(5)
+    for cos, least in ((0.93, 0.9), (0.96, 0.99)):
+        x = rng.standard_normal((2000, 64))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        o = rng.standard_normal((2000, 64))
+        o -= (o * x).sum(1)[:, None] * x
+        o /= np.linalg.norm(o, axis=1)[:, None]
+        y = cos * x + np.sqrt(1 - cos * cos) * o
+        a, b = (lattice.cells(v, np.zeros(2000)) for v in (x, y))
+        met = ((a == b[:, :, :1]) | (b == a[:, :, :1])).any((1, 2))
+        assert met.mean() >= least
+
+
+def test_decoder_finds_the_nearest_point():
+    rng = np.random.default_rng(1)
+    z = rng.standard_normal((300, 8)) * 3
+    p = lattice.decode(z)
+    assert ((p * 2) % 1 == 0).all() and (p.sum(1) % 2 == 0).all()
+    # no minimal vector leads to a nearer point
+    best = ((z - p) ** 2).sum(1)
+    for v in lattice.minimal_vectors():
+        assert (((z - p - v) ** 2).sum(1) >= best - 1e-9).all()
+    assert len({tuple(v) for v in lattice.minimal_vectors()}) == 240
+    assert np.allclose((lattice.minimal_vectors() ** 2).sum(1), 2)

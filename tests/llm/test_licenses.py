@@ -1,0 +1,82 @@
+import random
+
+from salesflow.llm import licenses
+from salesflow.llm.licenses import TEMPLATES, Scanner, align, words_of
+
+from .data import crowded, documents, frame
+
+
+def test_planted_notices_are_found_whole(spark):
+    rng = random.Random(0)
+    rows, want = [], {}
+    for k, (name, notice) in enumerate(sorted(TEMPLATES.items())):
+        words = notice.split()
+        for copy in range(3):
+            if copy == 1 and len(words) > 12:
+                del words[rng.randrange(len(words))]
+            lead = " ".join(rng.choices(["the", "of", "under", "and"], k=rng.randint(0, 300)))
+            rows.append((10 * k + copy, f"{lead}\n{' '.join(words)} {'the of ' * copy}{notice if copy == 2 else ''}"))
+            want[10 * k + copy] = name
+    plain = [(1000 + (i or 0), t) for i, t in documents(3, 40) if "License" not in (t or "")] + [(None, "Released under the MIT License")]
+    got = licenses.scan_licenses(crowded(frame(spark, rows + plain))).collect()
+    assert len(got) == len(rows) + len(plain)
+    for r in got:
+        if r.doc_id in want:
+            full = TEMPLATES[want[r.doc_id]]
+            assert r.coverage >= 0.8 and r.n_found >= 1 and r.last_word >= r.first_word
+            # a longer notice may hold a shorter one whole
+            assert r.license == want[r.doc_id] or TEMPLATES[r.license].rstrip(".").lower() in full.lower()
+        else:
+            assert r.license == ("MIT" if r.doc_id is None else None)
+    assert licenses.scan_licenses(frame(spark, rows).limit(0)).collect() == []
+
+
+def test_prefilters_lose_nothing():
+    """Against aligning every template at every place of every text."""
+    rng = random.Random(1)
+    templates = {"a": "one two three four five", "b": "two three two one", "c": "six seven"}
+    pool = "one two three four five six seven eight".split()
+    scanner = Scanner(templates)
+    for _ in range(300):
+        text = " ".join(rng.choices(pool, k=rng.randint(0, 25)))
+        found = {name: cover for name, cover, *_ in scanner.scan(text)}
+        words = words_of(text)
+        for name, notice in templates.items():
+            t = words_of(notice)
+            m = len(t)
+            width = m + (m + 1) // 2
+            starts = [s for s in range(len(words)) if s % max(1, m // 2) == 0 or words[s] == t[0]]
+            best = max((len(align(t, words[s:s + width])) for s in starts), default=0)
+            assert found.get(name, 0) == (best / m if best >= 0.8 * m - 1e-9 else 0)
+
+
+def slow_align(a, b):
+    """Patience alignment by the definition, recursively."""
+    if not a or not b:
+        return []
+    if a[0] == b[0]:
+        return [(0, 0)] + [(i + 1, j + 1) for i, j in slow_align(a[1:], b[1:])]
+    if a[-1] == b[-1]:
+        return slow_align(a[:-1], b[:-1]) + [(len(a) - 1, len(b) - 1)]
+    once = [(i, b.index(w)) for i, w in enumerate(a) if a.count(w) == 1 and b.count(w) == 1]
+    best = [1] * len(once)
+    for k in range(len(once)):
+        best[k] = 1 + max([best[x] for x in range(k) if once[x][1] < once[k][1]], default=0)
+    return len(once), max(best, default=0)
+
+
+def test_alignment_is_increasing_and_longest():
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = (rng.choices("abcdefgh", k=rng.randint(0, 12)) for _ in range(2))
+        pairs = align(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        v = [rng.randint(0, 20) for _ in range(rng.randint(0, 12))]
+        picked = [v[i] for i in licenses.longest_increasing(v)]
+        assert picked == sorted(set(picked))
+        longest = [1] * len(v)
+        for k in range(len(v)):
+            longest[k] = 1 + max([longest[x] for x in range(k) if v[x] < v[k]], default=0)
+        assert len(picked) == max(longest, default=0)
+    assert align("x a y b".split(), "a x b y".split()) == [(1, 0), (3, 2)] or len(align("x a y b".split(), "a x b y".split())) == 2

@@ -1,0 +1,104 @@
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from salesflow.llm import simhash
+from salesflow.llm.common import components
+
+from .data import crowded, documents, frame, reach, sorted_rows
+
+
+def slow_fingerprint(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        words = words.replace(c, " ")
+    words = [w for w in words.split(" ") if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute(rows):
+    fp = [slow_fingerprint(t) for _, t in rows]
+    up = reach(range(len(rows)), [(i, j) for i, j in combinations(range(len(rows)), 2) if (fp[i] ^ fp[j]).bit_count() <= 2])
+    low = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            low[up[i]] = min(low.get(up[i], doc_id), doc_id)
+    return sorted(((d, f"{fp[i]:016x}", low.get(up[i])) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def test_whole_result_against_brute_force(spark):
+    rows = documents()
+    assert sorted_rows(simhash.near_duplicates(frame(spark, rows))) == brute(rows)
+
+
+def test_extra_columns_and_empty_table(spark):
+    rows = documents(2, 30)
+    df = crowded(frame(spark, rows))
+    assert sorted_rows(simhash.near_duplicates(df)) == brute(rows)
+    assert simhash.near_duplicates(df.limit(0)).collect() == []
+    kept = simhash.deduplicated(df)
+    assert kept.columns == df.columns
+    want = {c for d, _, c in brute(rows) if d is not None}
+    got = [r.doc_id for r in kept.collect()]
+    assert sorted(x for x in got if x is not None) == sorted(want)
+    assert got.count(None) == sum(d is None for d, _ in rows)
+
+
+def test_fingerprint_matches_spark_hash(spark):
+    one = spark.createDataFrame([("a b c",)], "t string").select(F.xxhash64("t")).first()[0]
+    assert simhash.fingerprint("A b  C") == one % (1 << 64)
+
+
+def test_links_of_a_dense_neighbourhood(spark):
+    """Fingerprints around one centre, at all small distances, and far ones."""
+    rng = np.random.default_rng(3)
+    centre = int(rng.integers(0, 1 << 62))
+    fps = {centre}
+    for i, j in combinations(range(64), 2):
+        if rng.random() < 0.2:
+            fps.add(centre ^ 1 << i ^ 1 << j)
+    fps |= {centre ^ 1 << i for i in range(0, 64, 3)} | {int(x) for x in rng.integers(0, 1 << 62, 300)}
+    fps = sorted(fps)
+    signed = [(int(np.uint64(x).view(np.int64)),) for x in fps]
+    edges = simhash.linked(spark.createDataFrame(signed, "fp long"))
+    got = {np.int64(r.id).view(np.uint64).item(): r.component for r in components(edges).collect()}
+    want = reach(fps, [(a, b) for a, b in combinations(fps, 2) if (a ^ b).bit_count() <= 2])
+    groups = {}
+    for x in fps:
+        groups.setdefault(want[x], set()).add(x)
+    for group in groups.values():
+        named = {got.get(x, ("alone", x)) for x in group}
+        assert len(named) == 1
+    assert len({got[x] for x in got}) == sum(len(g) > 1 for g in groups.values())
+
+
+def test_pivot_table_never_drops_a_link():
+    rng = np.random.default_rng(0)
+    a = rng.integers(0, 1 << 63, 2000).astype(np.uint64)
+    flip = (np.uint64(1) << rng.integers(0, 64, 2000).astype(np.uint64)) | (np.uint64(1) << rng.integers(0, 64, 2000).astype(np.uint64))
+    both = np.concatenate([a, a ^ flip])
+    table = simhash.distance_table(both, simhash.pivots())
+    i, _ = simhash._near(both, np.arange(2000), np.arange(2000) + 2000, table, 2)
+    assert len(i) == 2000
+
+
+def test_masks():
+    masks = simhash.band_masks()
+    assert len(masks) == 45 and max(64 - m.bit_count() for m in masks) <= 14
+    with pytest.raises(ValueError):
+        simhash.band_masks(10, 10)
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 1)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)] + [(70, 71), (71, 70), (None, 3)]])
+def test_components(spark, edges):
+    known = [(a, b) for a, b in edges if a is not None and a != b]
+    want = reach({x for e in known for x in e}, known)
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == want

@@ -1,0 +1,102 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from salesflow.llm import suffixes
+
+from .data import crowded, documents, frame, sorted_rows
+
+
+def brute(rows, length=50):
+    first, raw = {}, [(i, (t or "").encode()) for i, t in rows]
+    for i, b in raw:
+        for p in range(len(b) - length + 1 if i is not None else 0):
+            w = b[p:p + length]
+            first[w] = min(first.get(w, i), i)
+    out = []
+    for i, b in raw:
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1 if i is not None else 0):
+            if first[b[p:p + length]] < i:
+                gone[p:p + length] = b"\1" * length
+        spans = sum(1 for k in range(len(b)) if gone[k] and (k == 0 or not gone[k - 1]))
+        out.append((i, len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("hot", [0, 3, 2000])
+def test_whole_result_against_brute_force(spark, hot):
+    """At hot = 0 every shared anchor is dealt window by window."""
+    rows = documents()
+    assert sorted_rows(suffixes.repeats(frame(spark, rows), hot=hot)) == brute(rows)
+
+
+def test_extra_columns_empty_table_and_kept_rows(spark):
+    rows = documents(2, 40)
+    df = crowded(frame(spark, rows))
+    want = brute(rows)
+    assert sorted_rows(suffixes.repeats(df)) == want
+    assert suffixes.repeats(df.limit(0)).collect() == []
+    kept = suffixes.without_repeats(df)
+    assert kept.schema == df.schema and kept.count() == len(rows)
+    whole = {t: sha for _, _, n, _, sha in want for t in [sha] if n == 0}
+    got = {hashlib.sha256((r.text or "").encode()).hexdigest() for r in kept.collect()}
+    assert set(whole) <= got
+
+
+def test_kept_text_has_whole_characters(spark):
+    a = "é" * 40
+    rows = [(1, "x" + a), (2, "y" + a + "z")]
+    out = {r.doc_id: r.text for r in suffixes.without_repeats(frame(spark, rows)).collect()}
+    assert out == {1: "x" + a, 2: "yz"}
+
+
+def _suffixes(strings):
+    return [(s, p) for s in strings for p in range(len(s))]
+
+
+@pytest.mark.parametrize("shards", [1, 3, 7])
+def test_merged_intervals_and_common_prefixes(shards):
+    rng = random.Random(shards)
+    strings = list(dict.fromkeys(bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 40))) for _ in range(60)))
+    cut = [strings[k::shards] for k in range(shards)]
+    made = [suffixes.Shard(c) for c in cut]
+    length = 6
+    place, interval, common = suffixes.repeated_intervals(made, length)
+    where = []
+    for c, shard in zip(cut, made):
+        at = np.cumsum([0] + [len(s) + 1 for s in c])
+        for p in shard.suffix:
+            k = int(np.searchsorted(at, p, "right") - 1)
+            where.append((c[k], int(p - at[k])))
+    prefixes = [s[p:p + length] for s, p in where]
+    want = {}
+    for k, x in enumerate(prefixes):
+        if len(x) == length:
+            want.setdefault(x, set()).add(k)
+    want = {x: v for x, v in want.items() if len(v) > 1}
+    got = {}
+    for p, i in zip(place.tolist(), interval.tolist()):
+        got.setdefault(i, set()).add(p)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert [prefixes[min(v)] for _, v in sorted(got.items())] == sorted(want)  # merged order
+    for k, (s, p) in enumerate(where):
+        longest = 0
+        for j, (t, q) in enumerate(where):
+            if j != k:
+                n = 0
+                while p + n < len(s) and q + n < len(t) and s[p + n] == t[q + n]:
+                    n += 1
+                longest = max(longest, n)
+        assert common[k] >= min(longest, length)
+
+
+def test_shard_order_and_transform():
+    strings = [b"banana", b"bandana", b"an"]
+    shard = suffixes.Shard(strings)
+    joined = b"\0".join(strings) + b"\0"
+    tail = [joined[p:joined.index(b"\0", p)] for p in shard.suffix]
+    assert tail == sorted(tail)
+    assert [joined[p - 1] for p in shard.suffix] == [max(0, x - 1) for x in shard.transform.tolist()]
