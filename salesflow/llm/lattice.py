@@ -9,9 +9,9 @@ label.
 
 Equal vectors of a label are folded into one class before anything is compared, so a group of copies
 of any size is one row. Only the keys of cells travel at first; vectors are sent on only to cells in
-which another vector lives. A cell with more than ``BLOCK`` residents is cut into blocks and its
-visitors go to every block: a task holds one block and streams the visitors past it, and no partner
-is left out. A pair that meets in several cells is counted in the first of them only (a number that
+which another vector lives. A cell with more than ``BLOCK`` residents or guests is cut into a grid, each
+field of which gets one block of residents and one block of guests: every resident meets every guest in
+exactly one field, and no field holds more than about two blocks. A pair that meets in several cells is counted in the first of them only (a number that
 both vectors' cells determine), so neither pairs nor their repeats leave a task: what leaves are
 sums of links and a spanning forest.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import components, stored
 from .simhash import forest
 
-COSINE, TABLES, PROBES, STRETCH, BLOCK = 0.93, 4, 8, 7.0, 2048
+COSINE, TABLES, PROBES, STRETCH, BLOCK = 0.93, 4, 8, 7.0, 512
 DIMS = 8
 PAIRS_AT_ONCE = 1 << 16
 
@@ -207,17 +207,23 @@ def _links(homes: DataFrame, threshold: float, item: str) -> DataFrame:
         F.count("*").alias("residents"), F.min("cid").alias("first")), "cells")
     visits = thin.join(residents, "key").where((F.col("residents") > 1) | (F.col("first") != F.col("cid")))
     # a resident that is alone and unvisited is never sent
-    visited = visits.groupBy("key").agg(F.count("*").alias("_n")).drop("_n")
-    alone = thin.where(F.col("at") % width == 0).join(residents.where("residents = 1"), "key").join(visited, "key")
-    sent = visits.select("cid", "key", "at", "residents").unionByName(alone.select("cid", "key", "at", "residents"))
-    blocks = F.ceil(F.col("residents") / BLOCK).cast("int")
+    visited = visits.groupBy("key").agg(F.count("*").alias("guests"))
+    alone = thin.where(F.col("at") % width == 0).join(residents.where("residents = 1"), "key")
+    sent = visits.unionByName(alone.join(visited.select("key"), "key")).join(
+        visited.where(F.col("guests") > BLOCK), "key", "left")
+    # a crowded cell is a grid: blocks of residents times blocks of guests
+    across = F.ceil(F.col("residents") / BLOCK).cast("int")
+    down = F.ceil(F.coalesce("guests", F.lit(1)) / BLOCK).cast("int")
     own = (F.col("at") % width) == 0
-    place = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    # role 0: resident and guest (the cell is one block); 1: resident of a block; 2: guest
-    stay = F.when(own & (blocks == 1), F.array(F.struct(F.lit(0).alias("block"), F.lit(0).alias("role"))))
-    go = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.struct(b.alias("block"), F.lit(2).alias("role")))
-    both = F.when(own, F.concat(F.array(F.struct(place.alias("block"), F.lit(1).alias("role"))), go)).otherwise(go)
-    dealt = sent.withColumn("to", F.explode(F.coalesce(stay, both))).select(
+    mine = F.pmod(F.xxhash64("cid"), across).cast("int")
+    turn = F.pmod(F.xxhash64("cid"), down).cast("int")
+    # role 0: resident and guest (the cell is one block); 1: resident of a column; 2: guest of a row
+    stay = F.when(own & (across == 1) & (down == 1), F.array(F.struct(F.lit(0).alias("block"), F.lit(0).alias("role"))))
+    go = F.transform(F.sequence(F.lit(0), across - 1),
+                     lambda b: F.struct((b * down + turn).alias("block"), F.lit(2).alias("role")))
+    live = F.transform(F.sequence(F.lit(0), down - 1),
+                       lambda b: F.struct((mine * down + b).alias("block"), F.lit(1).alias("role")))
+    dealt = sent.withColumn("to", F.explode(F.coalesce(stay, F.when(own, F.concat(live, go)), go))).select(
         "cid", "key", (F.col("at") / width).cast("int").alias("table"), "to.block", "to.role")
     full = dealt.join(homes, "cid").select("key", "block", "role", "table", "cid", "label", "n", "vec", "cells")
     parts = int(homes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
