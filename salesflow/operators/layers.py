@@ -14,16 +14,20 @@ def _typed(df: DataFrame) -> dict[str, F.Column]:
     out = {}
     for f in BRONZE_SALES.fields:
         c = F.col(f.name).try_cast(f.dataType)
-        if f.name == "monto":
-            c = F.nanvl(c, F.lit(None).cast("double"))  # NaN amounts are treated as missing
+        if f.name == "monto":  # an amount that is not finite is treated as missing
+            c = F.when((c > float("-inf")) & (c < float("inf")), c)
         out[f.name] = c
     return out
 
 
 def to_bronze(raw: DataFrame) -> DataFrame:
-    """Type raw sale text in one projection; text that does not fit its type becomes NULL."""
+    """Type raw sale text in one projection; text that does not fit its type becomes NULL.
+
+    The declared columns come first; every other column of the input follows unchanged.
+    """
     typed = _typed(raw)
-    return raw.select(*[typed[f.name].alias(f.name) for f in BRONZE_SALES.fields])
+    return raw.select(*[typed[f.name].alias(f.name) for f in BRONZE_SALES.fields],
+                      *[F.col(f"`{c}`") for c in raw.columns if c not in typed])
 
 
 def bronze_rejects(raw: DataFrame) -> DataFrame:
@@ -53,16 +57,16 @@ def to_silver(bronze: DataFrame) -> DataFrame:
                     *[c.alias(n) for n, c in parts.items()]))
 
 
-def to_gold(silver: DataFrame, scale: int = 2) -> DataFrame:
+def to_gold(silver: DataFrame) -> DataFrame:
     """Per store: exact total, number of sales with an id, exact mean amount.
 
     No global order: the result stays hash-partitioned by store, so a join or regroup on the
     store downstream needs no new shuffle. Sort where order is the point (reports, previews).
     """
     return (silver.groupBy("tienda_id")
-            .agg(exact_sum("monto", scale).alias("monto_total_ventas"),
+            .agg(exact_sum("monto").alias("monto_total_ventas"),
                  F.count("venta_id").alias("numero_de_transacciones"),
-                 exact_avg("monto", scale).alias("monto_promedio_por_transaccion")))
+                 exact_avg("monto").alias("monto_promedio_por_transaccion")))
 
 
 def with_comments(df: DataFrame, contract: ModelContract) -> DataFrame:
@@ -107,6 +111,8 @@ def write_layer(df: DataFrame, path: str | None, contract: ModelContract | None
         writer = writer.partitionBy(*partition_by)
     if table:
         writer.saveAsTable(table)
+        if contract is not None:  # the model's own description lives on the table
+            df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{contract.description.replace(chr(39), chr(92) + chr(39))}'")
     elif fmt in FILE_FORMATS:
         writer.save()
     else:

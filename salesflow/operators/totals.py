@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.money import exact_avg, exact_sum, units
+from ..functions.money import exact_avg, exact_sum, merge_parts_sql, sum_parts_sql, total_sql
 
 
 def filter_min_amount(df: DataFrame, min_amount: float = 100.0, amount: str = "monto") -> DataFrame:
@@ -21,19 +21,19 @@ def filter_min_amount(df: DataFrame, min_amount: float = 100.0, amount: str = "m
 
 
 def store_totals(df: DataFrame, min_amount: float | None = 100.0, key: str = "tienda_id",
-                 amount: str = "monto", scale: int = 2) -> DataFrame:
+                 amount: str = "monto") -> DataFrame:
     """Filter ``amount > min_amount``, group by store, exact sum and mean, ordered by store."""
     if min_amount is not None:
         df = filter_min_amount(df, min_amount, amount)
     return (df.groupBy(key)
-            .agg(exact_sum(amount, scale).alias("monto_total"),
-                 exact_avg(amount, scale).alias("monto_promedio"))
+            .agg(exact_sum(amount).alias("monto_total"),
+                 exact_avg(amount).alias("monto_promedio"))
             .orderBy(key))
 
 
-def store_sum(df: DataFrame, key: str = "tienda_id", amount: str = "monto", scale: int = 2) -> DataFrame:
+def store_sum(df: DataFrame, key: str = "tienda_id", amount: str = "monto") -> DataFrame:
     """Sum of amounts per store, no filter."""
-    return df.groupBy(key).agg(exact_sum(amount, scale).alias("monto_total"))
+    return df.groupBy(key).agg(exact_sum(amount).alias("monto_total"))
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -41,24 +41,25 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def store_sum_with_total(df: DataFrame, key: str = "tienda_id", amount: str = "monto",
-                         scale: int = 2) -> DataFrame:
+def store_sum_with_total(df: DataFrame, key: str = "tienda_id", amount: str = "monto") -> DataFrame:
     """Per-store sums and row counts plus one grand-total row, from a single scan.
 
     The data is aggregated once per store; the grand total is rolled up from those per-store
-    partials (exact, since sums are whole units), so no second pass and no row duplication.
+    partials (exact, since their parts are integers), so no second pass and no row duplication.
     ``is_total`` = 1 marks the total row; a NULL store keeps its own row with ``is_total`` = 0.
     """
-    per_store = df.groupBy(key).agg(F.sum(units(amount, scale)).alias("_units"),
+    parts = sum_parts_sql(amount)
+    names = {name: f"_{name}" for name in parts}
+    per_store = df.groupBy(key).agg(*[F.expr(sql).alias(names[name]) for name, sql in parts.items()],
                                     F.count(F.lit(1)).alias("_rows"))
     return (per_store.rollup(key)
             .agg(F.grouping(key).cast("int").alias("is_total"),
-                 (F.sum("_units") / float(10 ** scale)).alias("monto_total"),
+                 F.expr(total_sql(merge_parts_sql(names))).alias("monto_total"),
                  F.sum("_rows").alias("n_rows")))
 
 
-def store_sum_observing_rows(df: DataFrame, key: str = "tienda_id", amount: str = "monto",
-                             scale: int = 2) -> tuple[DataFrame, Observation]:
+def store_sum_observing_rows(df: DataFrame, key: str = "tienda_id", amount: str = "monto"
+                             ) -> tuple[DataFrame, Observation]:
     """Per-store sums, with the input's row count as a side metric of the same scan.
 
     The count is observed while the sums are computed (no second pass, no extra result row);
@@ -68,7 +69,7 @@ def store_sum_observing_rows(df: DataFrame, key: str = "tienda_id", amount: str
     """
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("n_rows"))
-    return store_sum(observed, key, amount, scale), obs
+    return store_sum(observed, key, amount), obs
 
 
 def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:

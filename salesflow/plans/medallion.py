@@ -12,9 +12,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.layers import SILVER_PARTITIONS, to_gold, to_silver, write_layer
+from ..operators.layers import SILVER_PARTITIONS, to_gold, to_silver, with_comments, write_layer
 from ..operators.quality import dq_report, observe_not_null, require_clean, require_observed_clean
-from ..schemas import GOLD_CONTRACT, SILVER_CONTRACT
+from ..schemas import GOLD_CONTRACT, SILVER_CONTRACT, ModelContract
 
 
 @dataclass(frozen=True)
@@ -33,26 +33,33 @@ class LayerPaths:
         return cls(f"{root}/silver/sales", f"{root}/gold/store_sales", silver_table, gold_table, fmt)
 
 
-def _read_layer(spark: SparkSession, path: str | None, table: str | None) -> DataFrame:
-    return spark.table(table) if table else spark.read.parquet(path)
+def _read_layer(spark: SparkSession, path: str | None, table: str | None, written: DataFrame,
+                contract: ModelContract) -> DataFrame:
+    """A written layer, read with the schema it was written with: an empty layer (no file at all) reads as
+    no rows, columns keep their order, and every column its description."""
+    if table:
+        return spark.table(table)
+    return with_comments(spark.read.schema(written.schema).parquet(path).select(written.columns), contract)
 
 
 def build_silver(spark: SparkSession, bronze: DataFrame, paths: LayerPaths,
                  partitioned: bool = True, gate: bool = True) -> DataFrame:
     """Write silver; its NULL counts are observed during that same write (no second pass)."""
     spec = observe_not_null(SILVER_CONTRACT) if gate else None
-    write_layer(to_silver(bronze), paths.silver, SILVER_CONTRACT, partition_by=SILVER_PARTITIONS if partitioned else None,
+    silver = to_silver(bronze)
+    write_layer(silver, paths.silver, SILVER_CONTRACT, partition_by=SILVER_PARTITIONS if partitioned else None,
                 table=paths.silver_table, fmt=paths.fmt, observe=spec)
     if gate:
         require_observed_clean(spec[0], SILVER_CONTRACT)
-    return _read_layer(spark, paths.silver, paths.silver_table)
+    return _read_layer(spark, paths.silver, paths.silver_table, silver, SILVER_CONTRACT)
 
 
 def build_gold(spark: SparkSession, silver: DataFrame, paths: LayerPaths, gate: bool = True) -> DataFrame:
     # Files clustered by store (tight min/max statistics per file), without a global sort.
-    write_layer(to_gold(silver).sortWithinPartitions("tienda_id"), paths.gold, GOLD_CONTRACT,
+    built = to_gold(silver)
+    write_layer(built.sortWithinPartitions("tienda_id"), paths.gold, GOLD_CONTRACT,
                 table=paths.gold_table, fmt=paths.fmt)
-    gold = _read_layer(spark, paths.gold, paths.gold_table)
+    gold = _read_layer(spark, paths.gold, paths.gold_table, built, GOLD_CONTRACT)
     if gate:
         require_clean(dq_report(gold, GOLD_CONTRACT))
     return gold

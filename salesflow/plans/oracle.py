@@ -1,7 +1,8 @@
 """Equivalent DuckDB SQL of each registered query (tables are pre-registered views).
 
-Money sums are written the plain SQL way, ``SUM(CAST(x AS DECIMAL(18,2)))``; the Spark side
-sums whole cents, which gives the same exact result.
+Money sums are written the plain SQL way, ``SUM(CAST(x AS DECIMAL(38,10)))``; the Spark side sums
+whole parts and decimals as integers, which gives the same exact result. The sum goes to DOUBLE by way of its
+digits, which rounds once.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ TS_TEXT = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
 def money(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(CAST(SUM(CAST({x} AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE)"
 
 
 def silver(src: str) -> str:
@@ -118,6 +119,8 @@ def oracle_sql() -> dict[str, str]:
         "store_totals_min_amount": FLAGSHIP,
         "filter_min_amount": f"SELECT * FROM {V1} WHERE monto > 100",
         "store_sum": f"SELECT tienda_id, {money('monto')} AS monto_total FROM {V2} GROUP BY tienda_id",
+        "store_sum_net": (f"SELECT l_suppkey AS tienda_id, {money('l_extendedprice * (1 - l_discount)')} AS monto_total "
+                          "FROM lineitem GROUP BY l_suppkey"),
         "row_count": "SELECT COUNT(*) AS n_rows FROM lineitem",
         "store_sum_with_total": (f"SELECT tienda_id, CAST(GROUPING(tienda_id) AS INTEGER) AS is_total, "
                                  f"{money('monto')} AS monto_total, COUNT(*) AS n_rows "
@@ -128,6 +131,9 @@ def oracle_sql() -> dict[str, str]:
                               "CAST(o_custkey % 100 + 1 AS INTEGER) AS tienda_id, "
                               "o_totalprice AS monto, o_orderdate AS fecha FROM orders"),
         "bronze_typed": V3_BRONZE,
+        "bronze_product_sales": ("SELECT l_orderkey * 10 + l_linenumber AS id_transaccion, "
+                                 "CAST(l_suppkey AS INTEGER) AS tienda_id, l_extendedprice AS monto, "
+                                 "l_shipdate AS fecha, CAST(l_partkey AS VARCHAR) AS producto_id FROM lineitem"),
         "bronze_rejects": _bronze_rejects(),
         "parquet_path_sql": V3_BRONZE,
         "named_source_scan": V3_BRONZE,

@@ -46,6 +46,14 @@ def store_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.store_sum(sales_from_lineitem(spark, sf_dir))
 
 
+def store_sum_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unrounded amounts: price after discount, summed per store with its fractions of a cent."""
+    li = table(spark, sf_dir, "lineitem")
+    net = li.select(F.col("l_suppkey").alias("tienda_id"),
+                    (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("monto"))
+    return totals.store_sum(net)
+
+
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.row_count(sales_from_lineitem(spark, sf_dir))
 
@@ -78,6 +86,13 @@ def bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.parquet_scan(spark, bronze_path)
 
 
+def bronze_product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files with a product column and another column order; the id is named ``id``."""
+    sales = sales_from_lineitem(spark, sf_dir).withColumnRenamed("id_transaccion", "id")
+    path = files.write_csv(sales.select("fecha", "producto_id", "monto", "id", "tienda_id"), scratch_path(spark, "product-csv"))
+    return layers.to_bronze(files.raw_sales_csv(spark, path))
+
+
 def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.bronze_rejects(inputs.damaged_raw_orders(spark, sf_dir))
 
@@ -275,12 +290,14 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_totals_min_amount": store_totals_min_amount,
     "filter_min_amount": filter_min_amount,
     "store_sum": store_sum,
+    "store_sum_net": store_sum_net,
     "row_count": row_count,
     "store_sum_with_total": store_sum_with_total,
     "preview_stores": preview_stores,
     "csv_roundtrip": csv_roundtrip,
     "csv_scan_inferred": csv_scan_inferred,
     "bronze_typed": bronze_typed,
+    "bronze_product_sales": bronze_product_sales,
     "bronze_rejects": bronze_rejects,
     "parquet_path_sql": parquet_path_sql,
     "named_source_scan": named_source_scan,

@@ -1,13 +1,16 @@
 """The silver and gold models as Spark SQL text, for users who keep their models in SQL.
 
 ``source`` is anything a FROM clause takes: a table or view name, ``parquet.`/path```, or a
-parenthesised subquery. Results equal ``to_silver`` / ``to_gold`` (money summed as whole cents).
+parenthesised subquery. Results equal ``to_silver`` / ``to_gold``: the sums are the very SQL text
+that the operators use.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.money import exact_avg_sql, exact_sum_sql
+
 SILVER_MODEL = """
 SELECT
     id_transaccion AS venta_id,
@@ -22,13 +25,13 @@ FROM (SELECT *, TRY_CAST(fecha AS TIMESTAMP_NTZ) AS fecha_venta FROM {source})
 WHERE monto > 0
 """
 
-GOLD_MODEL = """
+GOLD_MODEL = f"""
 SELECT
     tienda_id,
-    SUM(CAST(RINT(monto * 100D) AS BIGINT)) / 100D AS monto_total_ventas,
+    {exact_sum_sql("monto")} AS monto_total_ventas,
     COUNT(venta_id) AS numero_de_transacciones,
-    TRY_DIVIDE(SUM(CAST(RINT(monto * 100D) AS BIGINT)) / 100D, COUNT(monto)) AS monto_promedio_por_transaccion
-FROM {source}
+    {exact_avg_sql("monto")} AS monto_promedio_por_transaccion
+FROM {{source}}
 GROUP BY tienda_id
 """
 

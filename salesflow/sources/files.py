@@ -32,13 +32,19 @@ def csv_scan(spark: SparkSession, path: str, infer_schema: bool = False,
 
 
 def raw_sales_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Sales CSV read as text with the declared raw schema (no inference, no extra pass).
+    """Sales CSV as text: columns are found by the header's names, in any order, and all are kept.
 
-    The header is checked against the schema's names: a file with other columns fails instead
-    of being read by position into the wrong fields.
+    Only the header line is read beforehand (no inference pass). The sale columns come first; a file
+    that names the id ``id`` has it as ``id_transaccion``. A file without a needed column fails,
+    and so does one whose header differs from that of the other files.
     """
-    return (spark.read.option("header", True).option("enforceSchema", False)
-            .schema(RAW_SALES).csv(path))
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    if "id_transaccion" not in raw.columns and "id" in raw.columns:
+        raw = raw.withColumnRenamed("id", "id_transaccion")
+    missing = [c for c in RAW_SALES.names if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    return raw.select(*RAW_SALES.names, *[F.col(f"`{c}`") for c in raw.columns if c not in RAW_SALES.names])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:

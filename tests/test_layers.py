@@ -103,11 +103,21 @@ def test_ingest_bronze_writes_typed_and_rejects(spark):
     assert [r["failed_columns"] for r in spark.read.parquet(f"{root}/rejects").collect()] == ["id_transaccion"]
 
 
-def test_raw_csv_rejects_a_file_with_other_columns(spark):
+def test_raw_csv_finds_columns_by_name_and_keeps_the_others(spark):
     import pytest
     from salesflow.sources.files import raw_sales_csv, write_csv
     path = scratch_path(spark, "csv-header")
-    write_csv(spark.createDataFrame([(1, 5, 9, 12.5, "2020-01-01 00:00:00")],
-                                    "id int, tienda_id int, producto_id int, monto double, fecha string"), path)
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        raw_sales_csv(spark, path).collect()
+    write_csv(spark.createDataFrame([("2020-01-01 00:00:00", 9, 12.5, 5, 1)],
+                                    "fecha string, producto_id int, monto double, tienda_id int, id int"), path)
+    out = layers.to_bronze(raw_sales_csv(spark, path))
+    assert out.columns == ["id_transaccion", "tienda_id", "monto", "fecha", "producto_id"]
+    assert tuple(out.first()) == (1, 5, 12.5, dt.datetime(2020, 1, 1), "9")
+    write_csv(spark.createDataFrame([(1, 5)], "id int, tienda_id int"), path)
+    with pytest.raises(ValueError, match="lacks monto, fecha"):
+        raw_sales_csv(spark, path)
+
+
+def test_amounts_that_are_not_finite_are_rejected(spark):
+    df = raw(spark, [(str(i), "1", text, "2020-01-01") for i, text in enumerate(["Infinity", "-Infinity", "NaN", "1e308"])])
+    assert [r["monto"] for r in layers.to_bronze(df).orderBy("id_transaccion").collect()] == [None, None, None, 1e308]
+    assert sorted(r["id_transaccion"] for r in layers.bronze_rejects(df).collect()) == ["0", "1", "2"]

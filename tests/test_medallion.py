@@ -41,3 +41,30 @@ def test_layers_as_catalog_tables(spark):
     gold = run_medallion(spark, good, paths)
     assert gold.count() == 2 and spark.table(paths.silver_table).count() == 2
     assert spark.table(paths.gold_table).schema["tienda_id"].metadata["comment"]
+
+
+def test_layers_without_any_row(spark):
+    import datetime as dt
+    root = scratch_path(spark, "medallion-empty")
+    gold = run_medallion(spark, bronze(spark, [(1, 2, -5.0, dt.datetime(2024, 1, 1))]), root)
+    assert gold.count() == 0
+    assert gold.schema["tienda_id"].metadata["comment"]
+
+
+def test_layers_keep_order_and_descriptions(spark):
+    import datetime as dt
+    from salesflow.plans.medallion import build_silver
+    from salesflow.schemas import SILVER_CONTRACT
+    from salesflow.session import unique_name
+    good = bronze(spark, [(1, 2, 5.0, dt.datetime(2024, 1, 1))])
+    paths = LayerPaths.under(scratch_path(spark, "medallion-comments"))
+    silver = build_silver(spark, good, paths)
+    assert silver.columns == [c.name for c in SILVER_CONTRACT.columns]
+    assert {f.name: f.metadata["comment"] for f in silver.schema.fields} == SILVER_CONTRACT.descriptions()
+    name = unique_name("silver")
+    try:
+        build_silver(spark, good, LayerPaths.under(scratch_path(spark, "medallion-comments"), silver_table=name))
+        told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        assert told["Comment"] == SILVER_CONTRACT.description
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import compare, duck
+from salesflow.plans.oracle import oracle_sql
+from salesflow.plans.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,9 +15,9 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, name, entry.queries()[name], entry.oracle_sql().get(name), con, SF)
+    res = compare(spark, name, REGISTRY[name], oracle_sql().get(name), con, SF)
     assert res["ok"] in (True, None), res
     assert res["rows"] > 0
 
@@ -27,4 +29,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_but_storage_has_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"storage_report"}
+    assert set(REGISTRY) - set(oracle_sql()) == {"storage_report"}
+    assert set(REGISTRY) <= set(entry.queries()) and set(oracle_sql()) <= set(entry.oracle_sql())

@@ -32,3 +32,31 @@ def test_store_sum_observing_rows(spark):
     sums, obs = totals.store_sum_observing_rows(sales(spark))
     rows = {r["tienda_id"]: r["monto_total"] for r in sums.collect()}
     assert obs.get["n_rows"] == 6 and rows[1] == 200.0
+
+
+def test_amounts_below_a_cent_and_odd_amounts(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {1: [0.004] * 1000, 2: [nan, 1.0], 3: [inf, 1.0], 4: [-inf, 2.0], 5: [inf, -inf], 6: [1e18, 1.0], 7: [None, None],
+              8: [0.1] * 10, 9: [-0.1, 0.3, -1e-10], 10: [9e11, 0.1234567891], 11: [1e12] * 10}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "tienda_id int, monto double").repartition(5)
+    want = {1: 4.0, 2: nan, 3: inf, 4: -inf, 5: nan, 6: 1e18, 7: None, 8: 1.0, 9: 0.1999999999, 10: 9e11 + 0.1234567891, 11: 1e13}
+    for out in (totals.store_sum(df), totals.store_sum_with_total(df).where("is_total = 0")):
+        assert repr({r["tienda_id"]: r["monto_total"] for r in out.orderBy("tienda_id").collect()}) == repr(want)
+    total = totals.store_sum_with_total(df.where("tienda_id in (1, 8, 9)")).where("is_total = 1").first()
+    assert total["monto_total"] == 5.1999999999
+    mean = {r["tienda_id"]: r["monto_promedio"] for r in totals.store_totals(df, None).collect()}
+    assert mean[1] == 0.004 and mean[7] is None
+
+
+def test_whole_parts_beyond_bigint_do_not_stop_the_job(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(10_000_000, numPartitions=4).select(F.lit(1).alias("tienda_id"), F.lit(9.9e11).alias("monto"))
+    assert abs(totals.store_sum(df).first()["monto_total"] / 9.9e18 - 1) < 1e-9
+
+
+def test_rounding_large_and_odd_amounts(spark):
+    from salesflow.functions.money import round_amount
+    values = [24606.144999999997, 1e13 + 0.126, 1e300, float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "monto double")
+    assert [r[0] for r in df.select(round_amount("monto")).collect()][:1] == [24606.15]
+    assert df.select(round_amount("monto")).collect()[3][0] == float("inf")
