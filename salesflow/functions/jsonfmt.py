@@ -46,13 +46,23 @@ def parse_json_permissive(text: Column, schema: T.StructType) -> Column:
     return F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
 
 
-def infer_json_schema(df: DataFrame, column: str) -> str:
+MAX_KEYS = 2000
+
+
+def infer_json_schema(df: DataFrame, column: str, max_keys: int = MAX_KEYS) -> str:
     """Infer one merged schema (as DDL) for a JSON text column, once, across all rows.
 
     The merge runs as a distributed aggregate (partial merge per task, then final); only the
-    schema string reaches the driver.
+    schema string reaches the driver. A merged schema grows with the number of different keys, so that is estimated
+    first (a sketch of fixed size): a column that uses keys as data raises an error instead of
+    growing without end. A key with two types becomes text. Declare the schema where it is known.
     """
-    ddl = (df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("s"))
+    keys = (df.select(F.explode(F.json_object_keys(F.col(column))).alias("k"))
+            .agg(F.approx_count_distinct("k").alias("n")).first()["n"])
+    if keys > max_keys:
+        raise ValueError(f"column {column!r} has about {keys} different keys (at most {max_keys} are merged): declare a schema")
+    is_object = F.json_object_keys(F.col(column)).isNotNull()  # other JSON has no columns to give
+    ddl = (df.select(F.schema_of_variant_agg(F.when(is_object, F.try_parse_json(F.col(column)))).alias("s"))
            .first()["s"])
     if ddl is None or not ddl.startswith("OBJECT<"):
         raise ValueError(f"column {column!r} holds no JSON objects")
@@ -62,5 +72,5 @@ def infer_json_schema(df: DataFrame, column: str) -> str:
     parts = ddl.split("`")
     for i in range(0, len(parts), 2):
         parts[i] = re.sub(r"\bOBJECT<", "STRUCT<", parts[i])
-        parts[i] = re.sub(r"\bVOID\b(?!\s*:)", "STRING", parts[i])
+        parts[i] = re.sub(r"\b(VOID|VARIANT)\b(?!\s*:)", "STRING", parts[i])
     return "`".join(parts)

@@ -4,13 +4,13 @@ or ``python -m salesflow.jobs <job> ...`` locally.
 The session comes from the launcher (master, catalog, connector jars, ``spark.checkpoint.dir``);
 each job wires library functions together and prints only bounded output (a preview, a report).
 
-    python -m salesflow.jobs totals    --csv sales.csv [--min-amount 100] [--explain]
+    python -m salesflow.jobs totals    --csv sales.csv [--min-amount 100] [--out PATH | --explain]
     python -m salesflow.jobs bronze    --csv sales.csv --out /lake/bronze/sales [--rejects PATH]
     python -m salesflow.jobs medallion --bronze /lake/bronze/sales --root /lake [--format iceberg \
                                        --silver-table lake.silver.ventas --gold-table lake.gold.tiendas]
     python -m salesflow.jobs publish   --csv sales.csv --brokers host:9092 [--topic T] [--limit N]
     python -m salesflow.jobs stream-table --brokers host:9092 --table lake.default.ventas \\
-                                          --checkpoint s3a://b/ckpt [--quarantine PATH] [--provider iceberg]
+                                          --checkpoint s3a://b/ckpt [--provider iceberg] [--trigger "30 seconds"]
     python -m salesflow.jobs stream-files --brokers host:9092 --path s3a://b/sales --checkpoint s3a://b/ckpt
 """
 
@@ -23,29 +23,38 @@ from pyspark.sql import SparkSession
 from .operators.totals import first_n, preview, store_totals
 from .plans.bronze import ingest_bronze
 from .plans.medallion import LayerPaths, run_medallion
-from .sources.files import csv_scan
+from .operators.layers import to_bronze
+from .sources.files import raw_sales_csv
 from .streaming.ingest import ingest_to_parquet, ingest_to_table, kafka_sink_options, publish_sales
-from .streaming.sinks import ensure_table
-from .streaming.sources import DEFAULT_TOPIC, event_stream, kafka_options
+from .streaming.sinks import PRODUCTION_TRIGGER, ensure_table
+from .streaming.sources import (BATCH_MESSAGES, BATCH_WAIT, DEFAULT_TOPIC, event_stream, kafka_options,
+                                message_file_stream)
 
 PREVIEW_ROWS = 5
 
 
+def source_options(args) -> dict:
+    """Options of the broker source: batches without a cap unless the job sets one."""
+    return kafka_options(args.brokers, args.topic, batch_messages=args.batch_messages or None,
+                         max_wait=args.max_wait or None, min_partitions=args.min_partitions)
+
+
 def _stream(spark: SparkSession, args):
     if args.source_format == "kafka":
-        return event_stream(spark, "kafka", kafka_options(args.brokers, args.topic))
-    from .streaming.sources import message_file_stream
+        return event_stream(spark, "kafka", source_options(args))
     return message_file_stream(spark, args.source_path)
 
 
-def _trigger(args) -> dict | None:
-    return {"availableNow": True} if args.once else None
+def trigger_of(args) -> dict:
+    """The job's trigger: once, an interval, or none (each batch follows the last at once)."""
+    if args.once:
+        return {"availableNow": True}
+    return {"processingTime": args.trigger} if args.trigger else {}
 
 
-def _wait(queries) -> None:
-    for q in queries:
-        if q is not None:
-            q.awaitTermination()
+def sales_csv(spark: SparkSession, path: str):
+    """Sales CSV typed by the declared columns (no inference pass); other columns stay text."""
+    return to_bronze(raw_sales_csv(spark, path))
 
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -54,6 +63,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
 
     t = sub.add_parser("totals", help="per-store total and mean of sales above a threshold")
     t.add_argument("--csv"), t.add_argument("--parquet"), t.add_argument("--min-amount", type=float, default=100.0)
+    t.add_argument("--out", help="folder for the full result, as Parquet")
     t.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
 
     b = sub.add_parser("bronze", help="CSV landing files -> typed bronze Parquet (+ rejects)")
@@ -67,15 +77,21 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
     pub = sub.add_parser("publish", help="CSV rows -> keyed JSON messages on a topic")
     pub.add_argument("--csv", required=True), pub.add_argument("--brokers")
     pub.add_argument("--topic", default=DEFAULT_TOPIC), pub.add_argument("--limit", type=int)
-    pub.add_argument("--order-by", default="id"), pub.add_argument("--format", default="kafka")
+    pub.add_argument("--order-by", default="id_transaccion"), pub.add_argument("--format", default="kafka")
     pub.add_argument("--path", help="output folder when --format is a file format")
 
-    for name, helptext in (("stream-table", "message stream -> table (good rows) + quarantine"),
-                           ("stream-files", "message stream -> Parquet files (good rows) + quarantine")):
+    for name, helptext in (("stream-table", "message stream -> landing table, good and quarantined rows told apart by route"),
+                           ("stream-files", "message stream -> Parquet files, one folder each for good and quarantined rows")):
         s = sub.add_parser(name, help=helptext)
         s.add_argument("--brokers"), s.add_argument("--topic", default=DEFAULT_TOPIC)
         s.add_argument("--source-format", default="kafka"), s.add_argument("--source-path")
-        s.add_argument("--checkpoint", required=True), s.add_argument("--quarantine")
+        s.add_argument("--checkpoint", required=True), s.add_argument("--min-partitions", type=int)
+        # the table job takes all that has arrived every 30 s; the file job cuts batches by size or time
+        # and needs no interval (an interval on top would cap the flow)
+        files = name == "stream-files"
+        s.add_argument("--batch-messages", type=int, default=BATCH_MESSAGES if files else 0, help="0: no bound")
+        s.add_argument("--max-wait", default=BATCH_WAIT if files else "")
+        s.add_argument("--trigger", default="" if files else PRODUCTION_TRIGGER["processingTime"], help="'': no interval")
         s.add_argument("--once", action="store_true", help="process what is there, then stop")
         if name == "stream-table":
             s.add_argument("--table", required=True), s.add_argument("--provider", default="parquet")
@@ -84,6 +100,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
             s.add_argument("--path", required=True)
 
     args = p.parse_args(argv)
+    if args.job.startswith("stream-") and args.batch_messages and args.trigger:
+        p.error("a batch bound with a trigger interval caps the flow: set one of --batch-messages 0 or --trigger ''")
     if args.job == "totals" and not (args.csv or args.parquet):
         p.error("totals needs --csv or --parquet")
     if args.job == "publish" and args.format == "kafka" and not args.brokers:
@@ -98,10 +116,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
     spark = spark or SparkSession.builder.appName(f"salesflow-{args.job}").getOrCreate()
 
     if args.job == "totals":
-        src = csv_scan(spark, args.csv, infer_schema=True) if args.csv else spark.read.parquet(args.parquet)
+        src = sales_csv(spark, args.csv) if args.csv else spark.read.parquet(args.parquet)
         result = store_totals(src, args.min_amount)
         if args.explain:
             result.explain("formatted")
+        elif args.out:
+            result.write.mode("overwrite").parquet(args.out)
         else:
             preview(result, ["tienda_id"], PREVIEW_ROWS).show(truncate=False)
     elif args.job == "bronze":
@@ -111,14 +131,15 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         gold = run_medallion(spark, spark.read.parquet(args.bronze), paths)
         preview(gold, ["tienda_id"], PREVIEW_ROWS).show(truncate=False)
     elif args.job == "publish":
-        rows = first_n(csv_scan(spark, args.csv, infer_schema=True), args.limit, args.order_by)
+        rows = first_n(sales_csv(spark, args.csv), args.limit, args.order_by)
         opts = kafka_sink_options(args.brokers, args.topic) if args.format == "kafka" else None
         publish_sales(rows, fmt=args.format, options=opts, path=args.path)
     elif args.job == "stream-table":
-        ensure_table(spark, args.table, provider=args.provider, location=args.location)
-        _wait(ingest_to_table(_stream(spark, args), args.table, args.checkpoint, _trigger(args), args.quarantine))
+        formats = ["route"] if args.provider != "parquet" else None
+        ensure_table(spark, args.table, provider=args.provider, location=args.location, partition_by=formats)
+        ingest_to_table(_stream(spark, args), args.table, args.checkpoint, trigger_of(args)).awaitTermination()
     elif args.job == "stream-files":
-        _wait(ingest_to_parquet(_stream(spark, args), args.path, args.checkpoint, _trigger(args), args.quarantine))
+        ingest_to_parquet(_stream(spark, args), args.path, args.checkpoint, trigger_of(args)).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_timestamp, date_parts
 from ..functions.money import exact_avg, exact_sum
-from ..schemas import BRONZE_SALES, ModelContract
+from ..schemas import BRONZE_SALES, GOLD_CONTRACT, SILVER_CONTRACT, ModelContract
 
 
 def _typed(df: DataFrame) -> dict[str, F.Column]:
@@ -57,7 +59,7 @@ def to_silver(bronze: DataFrame) -> DataFrame:
                     *[c.alias(n) for n, c in parts.items()]))
 
 
-def to_gold(silver: DataFrame) -> DataFrame:
+def to_gold(silver: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
     """Per store: exact total, number of sales with an id, exact mean amount.
 
     No global order: the result stays hash-partitioned by store, so a join or regroup on the
@@ -66,7 +68,30 @@ def to_gold(silver: DataFrame) -> DataFrame:
     return (silver.groupBy("tienda_id")
             .agg(exact_sum("monto").alias("monto_total_ventas"),
                  F.count("venta_id").alias("numero_de_transacciones"),
-                 exact_avg("monto").alias("monto_promedio_por_transaccion")))
+                 exact_avg("monto").alias("monto_promedio_por_transaccion"), *more))
+
+
+def silver_gold_report(silver: DataFrame) -> DataFrame:
+    """The contract tests of silver and of the gold made from it, from one pass over silver.
+
+    Silver's NULL counts ride along with the per-store aggregates of gold: what is tested afterwards
+    has one row per store.
+    """
+    nulls = {c: f"__null_{c}" for c in SILVER_CONTRACT.tested("not_null")}
+    gold = to_gold(silver, [F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()])
+    per_store = [F.count_if(F.col(c).isNull()).alias(c) for c in GOLD_CONTRACT.tested("not_null")]
+    sums = gold.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in nulls.values()], *per_store)
+    # grouping by the store makes it unique; the test stays in the report
+    unique = {c: F.lit(0).cast("bigint") for c in GOLD_CONTRACT.tested("unique") if c == "tienda_id"}
+
+    def row(model: str, column: str, test: str, failures: Column) -> Column:
+        return F.struct(F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test"),
+                        failures.alias("failures"))
+
+    return sums.select(F.inline(F.array(
+        *[row(SILVER_CONTRACT.name, c, "not_null", F.col(n)) for c, n in nulls.items()],
+        *[row(GOLD_CONTRACT.name, c, "unique", n) for c, n in unique.items()],
+        *[row(GOLD_CONTRACT.name, c, "not_null", F.col(c)) for c in GOLD_CONTRACT.tested("not_null")])))
 
 
 def with_comments(df: DataFrame, contract: ModelContract) -> DataFrame:

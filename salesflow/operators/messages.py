@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.jsonfmt import parse_json_permissive, row_to_json
-from ..schemas import CORRUPT_COLUMN, SALE_EVENT
+from ..functions.jsonfmt import infer_json_schema, parse_json_permissive, row_to_json
+from ..schemas import CORRUPT_COLUMN, GOOD, QUARANTINE, SALE_EVENT
 
 
 def encode_messages(df: DataFrame, key: str | None = "tienda_id", columns: list[str] | None = None) -> DataFrame:
@@ -45,40 +46,66 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     return parsed.withColumn("reason", reason)
 
 
-def good_rows(parsed: DataFrame) -> DataFrame:
-    """Decoded sale events; the id is taken from ``id_transaccion`` or, failing that, ``id``."""
-    return parsed.filter(F.col("reason").isNull()).select(
+def landed(messages: DataFrame) -> DataFrame:
+    """Every message as one row: the decoded fields, its text, why it is not good (if so) and its route.
+
+    The id is taken from ``id_transaccion`` or, failing that, ``id``. A message that fits the declared event
+    only in part keeps the fields that do.
+    """
+    return parse_messages(messages).select(
         F.coalesce(F.col("data.id_transaccion"), F.col("data.id")).alias("id_transaccion"),
         F.col("data.tienda_id").alias("tienda_id"),
         F.col("data.producto_id").alias("producto_id"),
         F.col("data.monto").alias("monto"),
         F.col("data.fecha").alias("fecha"),
+        "raw", "reason",
+        F.when(F.col("reason").isNull(), F.lit(GOOD)).otherwise(F.lit(QUARANTINE)).alias("route"),
     )
 
 
-def quarantine_rows(parsed: DataFrame) -> DataFrame:
-    """Messages that could not be decoded: raw text, the parts that did parse, the reason."""
-    return parsed.filter(F.col("reason").isNotNull()).select(
-        "raw", "reason",
-        F.coalesce(F.col("data.id_transaccion"), F.col("data.id")).alias("id_transaccion"),
-        F.col("data.tienda_id").alias("tienda_id"),
-        F.col("data.monto").alias("monto"),
-        F.col("data.fecha").alias("fecha"),
-    )
+def good_events(landing: DataFrame) -> DataFrame:
+    """The sale events of a landing table."""
+    return landing.filter(F.col("route") == GOOD).select("id_transaccion", "tienda_id", "producto_id", "monto", "fecha")
+
+
+def quarantined(landing: DataFrame) -> DataFrame:
+    """The messages of a landing table that could not be decoded: text, reason and the parts that did parse."""
+    return landing.filter(F.col("route") == QUARANTINE).select(
+        "raw", "reason", "id_transaccion", "tienda_id", "monto", "fecha")
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
     """Good sale events from a message frame (batch or streaming)."""
-    return good_rows(parse_messages(messages))
+    return good_events(landed(messages))
 
 
 def split_quarantine(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, quarantine) from one parse definition; works on batch and streaming frames."""
-    parsed = parse_messages(messages)
-    return good_rows(parsed), quarantine_rows(parsed)
+    landing = landed(messages)
+    return good_events(landing), quarantined(landing)
 
 
 def parse_json_column(df: DataFrame, column: str, ddl: str, keep: list[str] | None = None) -> DataFrame:
-    """Expand a JSON text column into top-level columns by a schema given as DDL."""
+    """Expand a JSON text column into top-level columns by a schema given as DDL; bad text gives NULLs."""
     keep = keep if keep is not None else [c for c in df.columns if c != column]
     return df.select(*keep, F.from_json(F.col(column), ddl).alias("_j")).select(*keep, "_j.*")
+
+
+def split_json_column(df: DataFrame, column: str, ddl: str | None = None,
+                      keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): a JSON text column expanded by a schema, and the text that does not fit it.
+
+    ``ddl`` is the declared schema; without one it is inferred, which reads the column twice more. Text that is not
+    a JSON object, or holds another type than the schema's, is in ``bad`` as ``raw`` with its ``reason`` and
+    nowhere else. NULL and blank text is no message: it stays in ``good`` with NULL columns.
+    """
+    keep = keep if keep is not None else [c for c in df.columns if c != column]
+    schema = T._parse_datatype_string(ddl or infer_json_schema(df, column))
+    corrupt = T.StructField(CORRUPT_COLUMN, T.StringType())
+    # one-element explode: the text is parsed once, whatever is filtered on the result
+    parsed = df.select(*keep, F.col(column).alias("raw"), F.explode(F.array(
+        parse_json_permissive(F.col(column), T.StructType([*schema.fields, corrupt])))).alias("_j"))
+    good = parsed.filter(F.col(f"_j.{CORRUPT_COLUMN}").isNull()).select(
+        *keep, *[F.col("_j")[f.name].alias(f.name) for f in schema.fields])
+    bad = parsed.filter(F.col(f"_j.{CORRUPT_COLUMN}").isNotNull()).select(*keep, "raw", F.lit("malformed").alias("reason"))
+    return good, bad

@@ -121,97 +121,88 @@ def require_clean(report: DataFrame) -> DataFrame:
     return report
 
 
-def _null_safe_parts(df: DataFrame, keys: list[str]) -> list[tuple[str, F.Column]] | None:
-    """(name, expression) pairs standing for NULL-safe key equality, or None if some key's type
-    has no plain default (then the join uses <=>)."""
-    out = []
-    for k in keys:
-        t = df.schema[k].dataType
-        if isinstance(t, T.StringType):
-            default = F.lit("")
-        elif isinstance(t, (T.NumericType, T.BooleanType)):
-            default = F.lit(0).cast(t)
-        else:
-            return None
-        out += [(f"__val_{k}", F.coalesce(F.col(k), default)), (f"__null_{k}", F.col(k).isNull())]
-    return out
-
-
-def _numeric(df: DataFrame, keys: list[str]) -> list[str]:
-    return [f.name for f in df.schema.fields
-            if f.name not in keys and isinstance(f.dataType, T.NumericType)]
-
-
 # Fixed values, as the reference's cross-engine check uses them: absolute tolerance 1e-5 and
 # the comparison library's default relative tolerance 1e-5.
 ATOL = 1e-5
 RTOL = 1e-5
 
 
+DIFFERENCE = "column_name string, left_value double, right_value double, left_text string, right_text string, status string"
+
+
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str] | str,
               columns: list[str] | None = None, atol: float = ATOL, rtol: float = RTOL) -> DataFrame:
-    """Compare two results by key with a numeric tolerance; one row per difference.
+    """Compare two results by key; one row per difference, none if they agree.
 
-    Values match when both are NULL, both NaN, or ``|l - r| <= atol + rtol * |r|``. Keys match
-    NULL-safely. Each side is first reduced to one row per key (count + value), so a key
-    repeated many times never multiplies in the join; a repeated key is itself reported as
-    ``duplicate_key``. Output: keys, column_name, left_value, right_value, status in
-    {value_mismatch, missing_left, missing_right, duplicate_key}.
+    All columns but the keys are compared unless ``columns`` names some. Numbers match when both are
+    NULL, both NaN, or ``|l - r| <= atol + rtol * |r|``; whole numbers are subtracted as whole numbers, so none is too
+    large to tell apart. Other types match when they are equal or both NULL. Keys match NULL-safely.
+
+    Output: keys, column_name, left_value and right_value (numbers), left_text and right_text (other
+    types, as text), status in {value_mismatch, missing_left, missing_right, duplicate_key,
+    missing_column}. A column that only one side has is one row without keys.
+
+    Both sides go through one grouping by the keys (one shuffle, with partial aggregates, no join), so a key
+    that repeats any number of times is one row, reported as ``duplicate_key``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if columns is None:
-        columns = [c for c in _numeric(left, keys) if c in right.columns]
-
-    # Keys match NULL-safely. Where every key has a plain default value, each side is grouped by
-    # the NULL-safe parts (coalesce(k, default), isnull(k)) and joined on those same columns with
-    # plain equality: the join then reuses the grouping's hash partitioning (no second shuffle).
-    # Otherwise the sides are joined with <=>, which re-partitions the reduced rows.
-    parts = _null_safe_parts(left, keys) if _null_safe_parts(right, keys) is not None else None
-
-    def reduce_side(df: DataFrame, tag: str) -> DataFrame:
-        values = [F.first(F.col(c).cast("double"), ignorenulls=False).alias(f"{c}__{tag}") for c in columns]
-        if parts is None:
-            return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_n_{tag}"), *values)
-        grouped = df.groupBy(*[expr.alias(name) for name, expr in _null_safe_parts(df, keys)])
-        return grouped.agg(F.count(F.lit(1)).alias(f"_n_{tag}"), *values)
-
-    l_side, r_side = reduce_side(left, "l").alias("l"), reduce_side(right, "r").alias("r")
-    if parts is None:
-        cond = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
-        key_cols = [F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in keys]
-    else:
-        names = [name for name, _ in parts]
-        cond = reduce(lambda a, b: a & b, [F.col(f"l.{n}") == F.col(f"r.{n}") for n in names])
-        both = {n: F.coalesce(F.col(f"l.{n}"), F.col(f"r.{n}")) for n in names}
-        key_cols = [F.when(~both[f"__null_{k}"], both[f"__val_{k}"]).alias(k) for k in keys]
-    joined = l_side.join(r_side, cond, "full_outer").select(
-        *key_cols, F.col("l._n_l").alias("_n_l"), F.col("r._n_r").alias("_n_r"),
-        *[F.col(f"l.{c}__l") for c in columns], *[F.col(f"r.{c}__r") for c in columns])
-
-    def close(lv: F.Column, rv: F.Column) -> F.Column:
-        both_null = lv.isNull() & rv.isNull()
-        both_nan = F.isnan(lv) & F.isnan(rv)
-        near = F.abs(lv - rv) <= F.lit(atol) + F.lit(rtol) * F.abs(rv)
-        return F.coalesce(both_null | both_nan | near, F.lit(False))
-
-    n_l, n_r = F.col("_n_l"), F.col("_n_r")
-    key_status = (F.when(n_l.isNull(), F.lit("missing_left"))
-                  .when(n_r.isNull(), F.lit("missing_right"))
-                  .when((n_l > 1) | (n_r > 1), F.lit("duplicate_key")))
-
-    def cell(name, lv, rv, status):
-        return F.struct(name.alias("column_name"), lv.alias("left_value"),
-                        rv.alias("right_value"), status.alias("status"))
-
-    no_value = F.lit(None).cast("double")
-    key_cell = F.array(cell(F.lit(None).cast("string"), no_value, no_value, key_status))
-    value_cells = F.array(*[
-        cell(F.lit(c), F.col(f"{c}__l"), F.col(f"{c}__r"),
-             F.when(~close(F.col(f"{c}__l"), F.col(f"{c}__r")), F.lit("value_mismatch")))
-        for c in columns]) if columns else F.array().cast("array<struct<column_name:string,"
-                                                          "left_value:double,right_value:double,status:string>>")
-    # One pass over the joined rows: a key-level problem or the per-column differences.
-    return (joined.select(*keys, F.explode(F.when(key_status.isNotNull(), key_cell)
-                                           .otherwise(value_cells)).alias("cell"))
-            .filter(F.col("cell.status").isNotNull())
-            .select(*keys, "cell.column_name", "cell.left_value", "cell.right_value", "cell.status"))
+    every = [c for c in dict.fromkeys([*left.columns, *right.columns]) if c not in keys]
+    wanted = every if columns is None else list(columns)
+    both = [c for c in wanted if c in left.columns and c in right.columns]
+    lone = [c for c in wanted if c not in both]
+
+    def kind(c: str) -> str:
+        pair = (left.schema[c].dataType, right.schema[c].dataType)
+        if all(isinstance(t, T.IntegralType) for t in pair):
+            return "whole"
+        return "number" if all(isinstance(t, T.NumericType) for t in pair) else "other"
+
+    kinds = {c: kind(c) for c in both}
+    to = {"whole": lambda c: F.col(c).cast("decimal(20,0)"), "number": lambda c: F.col(c).cast("double"),
+          "other": lambda c: F.col(c).cast("string")}
+
+    def side(df: DataFrame, is_left: bool) -> DataFrame:
+        return df.select(*keys, F.lit(is_left).alias("__left"), *[to[kinds[c]](c).alias(f"__{c}") for c in both])
+
+    is_left = F.col("__left")
+    grouped = side(left, True).unionByName(side(right, False)).groupBy(*keys).agg(
+        F.count_if(is_left).alias("__n_l"), F.count_if(~is_left).alias("__n_r"),
+        *[F.max(F.when(is_left, F.col(f"__{c}"))).alias(f"__l_{c}") for c in both],
+        *[F.max(F.when(~is_left, F.col(f"__{c}"))).alias(f"__r_{c}") for c in both])
+
+    def close(c: str) -> F.Column:
+        lv, rv = F.col(f"__l_{c}"), F.col(f"__r_{c}")
+        if kinds[c] == "other":
+            return lv.eqNullSafe(rv)
+        allowed = F.lit(float(atol)) + F.lit(float(rtol)) * F.abs(rv.cast("double"))
+        near = F.abs(lv - rv).cast("double") <= allowed
+        if kinds[c] == "number":  # a tolerance says nothing about infinite values: they are equal or not
+            finite = (F.abs(lv) < float("inf")) & (F.abs(rv) < float("inf"))
+            near = (near & finite) | (lv == rv)  # NaN equals NaN here
+        same = (lv.isNull() & rv.isNull()) | near
+        return F.coalesce(same, F.lit(False))
+
+    empty = {"double": F.lit(None).cast("double"), "string": F.lit(None).cast("string")}
+
+    def cell(name: F.Column, status: F.Column, c: str | None = None) -> F.Column:
+        number = c is not None and kinds[c] != "other"
+        text = c is not None and not number
+        return F.struct(
+            name.alias("column_name"),
+            *[(F.col(f"__{s}_{c}").cast("double") if number else empty["double"]).alias(f"{n}_value") for s, n in (("l", "left"), ("r", "right"))],
+            *[(F.col(f"__{s}_{c}") if text else empty["string"]).alias(f"{n}_text") for s, n in (("l", "left"), ("r", "right"))],
+            status.alias("status"))
+
+    n_l, n_r = F.col("__n_l"), F.col("__n_r")
+    key_status = (F.when((n_l > 1) | (n_r > 1), F.lit("duplicate_key"))
+                  .when(n_l == 0, F.lit("missing_left")).when(n_r == 0, F.lit("missing_right")))
+    value_cells = [cell(F.lit(c), F.when(~close(c), F.lit("value_mismatch")), c) for c in both]
+    cells = F.array(*value_cells) if value_cells else F.array().cast(f"array<struct<{DIFFERENCE.replace(' ', ':').replace(',:', ',')}>>")
+    found = (grouped.select(*keys, F.explode(F.when(key_status.isNotNull(), F.array(cell(empty["string"], key_status)))
+                                             .otherwise(cells)).alias("cell"))
+             .filter(F.col("cell.status").isNotNull()).select(*keys, "cell.*"))
+    if not lone:
+        return found
+    rows = [(c, None, None, *(("present" if c in df.columns else "absent") for df in (left, right)), "missing_column") for c in lone]
+    absent = left.sparkSession.createDataFrame(rows, DIFFERENCE)
+    return found.unionByName(absent.select(*[F.lit(None).cast(found.schema[k].dataType).alias(k) for k in keys], "*"))

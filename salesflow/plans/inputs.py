@@ -1,7 +1,8 @@
 """Inputs of the registered queries, derived by Spark from the driver's tables.
 
-Message and text inputs are built from whole tables; JSON-heavy inputs are spread over the
-cores right at the scan (the test files hold one row group each, which one task would read). Where a query needs bad records (typing
+Message and text inputs are built from whole tables. A caller that reads few large files (the test files
+hold one row group each, which one task would read) may pass ``partitions`` to spread their rows; by default
+nothing is moved. Where a query needs bad records (typing
 rejects, quarantine), the bad records are produced by a rule on the data itself (order status,
 the ``k`` value inside the event's ``props``), not by sampling.
 """
@@ -13,33 +14,37 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonfmt import json_write_options
 from ..operators.messages import encode_messages
-from ..operators.parallelism import spread
 from ..sources.files import write_csv
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
 
 
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """The rows dealt round-robin over so many partitions, or left as they are for None."""
+    return df.repartition(partitions) if partitions else df
+
+
 def producer_rows(sales: DataFrame) -> DataFrame:
     """Rows as the producer publishes them: the id travels under the name ``id``."""
     return sales.withColumnRenamed("id_transaccion", "id")
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """V1 sales as (key, value) text messages keyed by store."""
-    return encode_messages(producer_rows(spread(sales_from_events(spark, sf_dir))))
+    return encode_messages(producer_rows(spread(sales_from_events(spark, sf_dir), partitions)))
 
 
-def lineitem_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """V2 sales (with product) as (key, value) text messages keyed by store."""
-    return encode_messages(producer_rows(spread(sales_from_lineitem(spark, sf_dir))))
+    return encode_messages(producer_rows(spread(sales_from_lineitem(spark, sf_dir), partitions)))
 
 
-def damaged_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_event_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """V1 messages where the event's ``props.k`` picks a kind of damage.
 
     k = 0: text that is not JSON; k = 1: NULL value (tombstone); k = 2: empty value;
     k = 3: a JSON array; k = 4: amount sent as a string. Other rows are intact.
     """
-    ev = spread(table(spark, sf_dir, "events"))
+    ev = spread(table(spark, sf_dir, "events"), partitions)
     k = F.get_json_object("props", "$.k").cast("int")
     store = F.col("user_id") % 100 + 1
     amount = F.when(F.col("event_type") == "error", -F.col("value")).otherwise(F.col("value"))
@@ -72,7 +77,6 @@ def damaged_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """V3 written as a CSV folder with a header (the raw landing files of bronze), spread over
-    several files as a landing area holds them."""
-    return write_csv(spread(sales_from_orders(spark, sf_dir)), path)
+def orders_csv(spark: SparkSession, sf_dir: str, path: str, partitions: int | None = None) -> str:
+    """V3 written as a CSV folder with a header (the raw landing files of bronze)."""
+    return write_csv(spread(sales_from_orders(spark, sf_dir), partitions), path)

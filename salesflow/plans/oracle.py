@@ -42,8 +42,9 @@ def decoded_events() -> str:
             "CASE WHEN event_type = 'error' THEN -value ELSE value END AS monto, ts AS fecha FROM events")
 
 
-FLAGSHIP = (f"SELECT tienda_id, {money('monto')} AS monto_total, {money('monto')} / COUNT(monto) AS monto_promedio "
-            f"FROM {V1} WHERE monto > 100 GROUP BY tienda_id ORDER BY tienda_id")
+def flagship(src: str) -> str:
+    return (f"SELECT tienda_id, {money('monto')} AS monto_total, {money('monto')} / COUNT(monto) AS monto_promedio "
+            f"FROM {src} WHERE monto > 100 GROUP BY tienda_id ORDER BY tienda_id")
 
 
 def _dq_report(src: str = V2) -> str:
@@ -68,17 +69,28 @@ def _reconcile() -> str:
          + f" FROM ({gold(silver(V1))}) l FULL OUTER JOIN ({gold(net_src)}) r "
            "ON l.tienda_id IS NOT DISTINCT FROM r.tienda_id)")
     keyed = (f"SELECT tienda_id, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS DOUBLE) AS left_value, "
-             f"CAST(NULL AS DOUBLE) AS right_value, CASE WHEN no_l THEN 'missing_left' ELSE 'missing_right' END "
+             f"CAST(NULL AS DOUBLE) AS right_value, CAST(NULL AS VARCHAR) AS left_text, CAST(NULL AS VARCHAR) AS right_text, CASE WHEN no_l THEN 'missing_left' ELSE 'missing_right' END "
              f"AS status FROM {j} WHERE no_l OR no_r")
     cells = " UNION ALL ".join(
         f"SELECT tienda_id, '{c}' AS column_name, {c}_l AS left_value, {c}_r AS right_value FROM {j} "
         f"WHERE NOT no_l AND NOT no_r" for c in cols)
     close = ("COALESCE((left_value IS NULL AND right_value IS NULL) OR (isnan(left_value) AND isnan(right_value)) "
              "OR abs(left_value - right_value) <= 1e-5 + 1e-5 * abs(right_value), false)")
-    return (f"{keyed} UNION ALL SELECT tienda_id, column_name, left_value, right_value, 'value_mismatch' "
+    return (f"{keyed} UNION ALL SELECT tienda_id, column_name, left_value, right_value, NULL, NULL, 'value_mismatch' "
             f"FROM ({cells}) WHERE NOT {close}")
 
 
+def _reconcile_orders() -> str:
+    pairs = {"o_orderstatus": "'P'", "o_orderpriority": "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END"}
+    cells = [f"SELECT o_orderkey, '{c}' AS column_name, CAST(NULL AS DOUBLE) AS left_value, CAST(NULL AS DOUBLE) AS right_value, "
+             f"{c} AS left_text, {other} AS right_text, 'value_mismatch' AS status FROM orders WHERE {c} IS DISTINCT FROM {other}"
+             for c, other in pairs.items()]
+    cells.append("SELECT o_orderkey, 'o_custkey', CAST(o_custkey AS DOUBLE), CAST(o_custkey + 1 AS DOUBLE), NULL, NULL, "
+                 "'value_mismatch' FROM orders WHERE o_custkey % 7 = 0")
+    cells.append("SELECT CAST(NULL AS BIGINT), 'o_totalprice', NULL, NULL, 'present', 'absent', 'missing_column'")
+    return " UNION ALL ".join(cells)
+
+
 def _decode_quarantine() -> str:
     e = ("(SELECT event_id, ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, "
          "user_id % 100 + 1 AS store, "
@@ -94,6 +106,19 @@ def _decode_quarantine() -> str:
             f"FROM {e} WHERE k BETWEEN 0 AND 4")
 
 
+def _stream_quarantine() -> str:
+    e = ("(SELECT event_id, ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, "
+         "user_id % 100 + 1 AS store, "
+         "CASE WHEN event_type = 'error' THEN -value ELSE value END AS amount FROM events)")
+    good_json = (f"CAST(to_json({{'id': event_id, 'tienda_id': store, 'monto': amount, "
+                 f"'fecha': strftime(ts, {TS_TEXT})}}) AS VARCHAR)")
+    return ("SELECT CAST(event_id AS VARCHAR) AS id_transaccion, CAST(store AS VARCHAR) AS tienda_id, amount AS monto, "
+            f"ts AS fecha, {good_json} AS raw, CAST(NULL AS VARCHAR) AS reason, 'good' AS route "
+            f"FROM {e} WHERE k IS NULL OR k NOT BETWEEN 0 AND 4 "
+            "UNION ALL SELECT id_transaccion, tienda_id, monto, fecha, raw, reason, 'quarantine' "
+            f"FROM ({_decode_quarantine()})")
+
+
 # Orders typed from the damaged text: NULL amount for pending orders, NULL date for urgent finished ones.
 V3_DAMAGED_TYPED = ("(SELECT o_orderkey AS id_transaccion, CAST(o_custkey % 100 + 1 AS INTEGER) AS tienda_id, "
                     "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS monto, "
@@ -116,8 +141,9 @@ def oracle_sql() -> dict[str, str]:
     gold_v1 = gold(silver(V1))
     epoch = "CAST(floor(epoch_us(fecha) / 1000000) AS BIGINT)"
     return {
-        "store_totals_min_amount": FLAGSHIP,
-        "filter_min_amount": f"SELECT * FROM {V1} WHERE monto > 100",
+        "store_totals_min_amount": flagship(V2),
+        "event_totals_min_amount": flagship(V1),
+        "filter_min_amount": f"SELECT * FROM {V2} WHERE monto > 100",
         "store_sum": f"SELECT tienda_id, {money('monto')} AS monto_total FROM {V2} GROUP BY tienda_id",
         "store_sum_net": (f"SELECT l_suppkey AS tienda_id, {money('l_extendedprice * (1 - l_discount)')} AS monto_total "
                           "FROM lineitem GROUP BY l_suppkey"),
@@ -125,7 +151,7 @@ def oracle_sql() -> dict[str, str]:
         "store_sum_with_total": (f"SELECT tienda_id, CAST(GROUPING(tienda_id) AS INTEGER) AS is_total, "
                                  f"{money('monto')} AS monto_total, COUNT(*) AS n_rows "
                                  f"FROM {V2} GROUP BY ROLLUP (tienda_id)"),
-        "preview_stores": f"{FLAGSHIP} LIMIT 5",
+        "preview_stores": f"{flagship(V1)} LIMIT 5",
         "csv_roundtrip": V3_BRONZE,
         "csv_scan_inferred": ("SELECT CAST(o_orderkey AS INTEGER) AS id_transaccion, "
                               "CAST(o_custkey % 100 + 1 AS INTEGER) AS tienda_id, "
@@ -154,6 +180,7 @@ def oracle_sql() -> dict[str, str]:
                               "WHERE venta_id IS NOT NULL GROUP BY venta_id HAVING COUNT(*) > 1"),
         "medallion_gated": gold_v1,
         "reconcile_totals": _reconcile(),
+        "reconcile_orders": _reconcile_orders(),
         "first_n_to_publish": f"SELECT * FROM {V3} ORDER BY id_transaccion LIMIT 100",
         "publish_encode": ("SELECT CAST(user_id % 100 + 1 AS VARCHAR) AS key, "
                            "CAST(to_json({'id': event_id, 'tienda_id': user_id % 100 + 1, "
@@ -165,8 +192,14 @@ def oracle_sql() -> dict[str, str]:
         "decode_quarantine": _decode_quarantine(),
         "json_inferred_columns": ("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k "
                                   "FROM events"),
+        "json_bad_text": ("SELECT CAST(user_id % 100 + 1 AS VARCHAR) AS key, q.raw, 'malformed' AS reason FROM "
+                          "(SELECT user_id, CASE CAST(json_extract_string(props, '$.k') AS INTEGER) WHEN 0 THEN 'not json' "
+                          "WHEN 3 THEN '[]' WHEN 4 THEN CAST(to_json({'id': event_id, 'tienda_id': user_id % 100 + 1, "
+                          "'monto': CAST(CASE WHEN event_type = 'error' THEN -value ELSE value END AS VARCHAR), "
+                          f"'fecha': strftime(ts, {TS_TEXT})}}) AS VARCHAR) END AS raw FROM events) q WHERE q.raw IS NOT NULL"),
         "stream_decode_append": decoded_events(),
         "stream_parquet_batches": decoded_events(),
+        "stream_quarantine": _stream_quarantine(),
         "stream_resume": decoded_events(),
         "stream_to_gold": gold(silver(V1), "CAST(tienda_id AS INTEGER)"),
     }

@@ -7,15 +7,15 @@ message files, streams) write under the shared checkpoint folder, a new folder p
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_seconds, from_epoch_seconds
-from ..functions.jsonfmt import infer_json_schema
 from ..functions.money import round_amount as round_money
 from ..operators import layers, messages, quality, totals
-from ..schemas import GOLD_CONTRACT, SILVER_CONTRACT
+from ..schemas import LANDING
 from ..session import scratch_path, unique_name
 from ..sources import files
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
@@ -31,15 +31,23 @@ AVAILABLE_NOW = {"availableNow": True}
 MIN_AMOUNT = 100.0
 PUBLISH_LIMIT = 100
 
+BATCH_BYTES = 64 << 20  # of message files a micro-batch takes
+
 # ---- step 1: the benchmark query and its variants -------------------------------------------
 
 
 def store_totals_min_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over line items, whose amount is a plain column: the threshold reaches the Parquet scan."""
+    return totals.store_totals(sales_from_lineitem(spark, sf_dir), MIN_AMOUNT)
+
+
+def event_totals_min_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over events, whose amount is derived (refunds are negative)."""
     return totals.store_totals(sales_from_events(spark, sf_dir), MIN_AMOUNT)
 
 
 def filter_min_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return totals.filter_min_amount(sales_from_events(spark, sf_dir), MIN_AMOUNT)
+    return totals.filter_min_amount(sales_from_lineitem(spark, sf_dir), MIN_AMOUNT)
 
 
 def store_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +71,7 @@ def store_sum_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return totals.preview(store_totals_min_amount(spark, sf_dir), ["tienda_id"], 5)
+    return totals.preview(event_totals_min_amount(spark, sf_dir), ["tienda_id"], 5)
 
 
 # ---- step 2: CSV and Parquet sources, bronze -------------------------------------------------
@@ -106,7 +114,7 @@ def parquet_path_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def named_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = files.named_source(spark, unique_name("bronze_sales"), f"{sf_dir.rstrip('/')}/orders.parquet")
+    src = files.named_source(spark, "salesflow_bronze_sales", f"{sf_dir.rstrip('/')}/orders.parquet")
     return src.selectExpr(*[s.strip() for s in V3_SELECT.split(", ")])
 
 
@@ -150,7 +158,7 @@ def silver_sql_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_sql_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = unique_name("silver_sales_view")
+    view = "salesflow_silver_sales"  # one view for the session: a later call replaces it
     silver_sql_model(spark, sf_dir).createOrReplaceTempView(view)
     return sql_models.gold_model(spark, view)
 
@@ -159,17 +167,13 @@ def gold_sql_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = layers.to_silver(sales_from_lineitem(spark, sf_dir))
-    gold = layers.to_gold(silver)
-    return quality.dq_report(silver, SILVER_CONTRACT).unionByName(quality.dq_report(gold, GOLD_CONTRACT))
+    return layers.silver_gold_report(layers.to_silver(sales_from_lineitem(spark, sf_dir)))
 
 
 def dq_report_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver and gold tests over orders typed from damaged text: unparsable amounts are
     dropped by silver's amount filter, unparsable dates reach silver and fail its not_null test."""
-    silver = layers.to_silver(layers.to_bronze(inputs.damaged_raw_orders(spark, sf_dir)))
-    gold = layers.to_gold(silver)
-    return quality.dq_report(silver, SILVER_CONTRACT).unionByName(quality.dq_report(gold, GOLD_CONTRACT))
+    return layers.silver_gold_report(layers.to_silver(layers.to_bronze(inputs.damaged_raw_orders(spark, sf_dir))))
 
 
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +192,16 @@ def reconcile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.reconcile(gross, net, ["tienda_id"])
 
 
+def reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a copy with other text, shifted whole numbers and a column less."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    other = orders.select(
+        "o_orderkey", F.lit("P").alias("o_orderstatus"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.when(F.col("o_custkey") % 7 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")).alias("o_custkey"))
+    return quality.reconcile(orders, other, "o_orderkey", atol=0.0, rtol=0.0)
+
+
 def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     csv_path = inputs.orders_csv(spark, sf_dir, scratch_path(spark, "orders-csv"))
     bronze_path = scratch_path(spark, "bronze-sales")
@@ -217,8 +231,15 @@ def decode_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_inferred_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    ddl = infer_json_schema(ev, "props")
-    return messages.parse_json_column(ev, "props", ddl, keep=["event_id"])
+    good, _ = messages.split_json_column(ev, "props", keep=["event_id"])
+    return good
+
+
+def json_bad_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text by a declared schema, some of it damaged: what is set aside, and why."""
+    damaged = inputs.damaged_event_messages(spark, sf_dir)
+    _, bad = messages.split_json_column(damaged, "value", "id BIGINT, tienda_id INT, monto DOUBLE", keep=["key"])
+    return bad
 
 
 # ---- step 6: streams -------------------------------------------------------------------------
@@ -231,38 +252,50 @@ def _publish_files(spark: SparkSession, msgs: DataFrame, path: str) -> str:
     return path
 
 
-def _stream_into_table(spark: SparkSession, topic: str, table_name: str, ckpt_root: str,
-                       files_per_batch: int | None = None) -> None:
-    stream = stream_sources.message_file_stream(spark, topic, files_per_batch)
-    q_good, q_bad = ingest.ingest_to_table(stream, table_name, ckpt_root, AVAILABLE_NOW,
-                                           quarantine_path=f"{ckpt_root}/quarantine-data")
-    sinks.run_to_completion(q_good)
-    sinks.run_to_completion(q_bad)
+def _stream_into_table(spark: SparkSession, topic: str, table_name: str, checkpoint: str) -> None:
+    stream = stream_sources.message_file_stream(spark, topic)
+    sinks.run_to_completion(ingest.ingest_to_table(stream, table_name, checkpoint, AVAILABLE_NOW))
 
 
-def _event_table(spark: SparkSession, root: str) -> str:
+@contextmanager
+def _landing_table(spark: SparkSession, root: str):
+    """A catalog table over files under ``root`` for as long as streams append to it; the files stay."""
     name = unique_name("sales_events")
     sinks.ensure_table(spark, name, location=f"{root}/table")
-    return name
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _landed_table(spark: SparkSession, root: str) -> DataFrame:
+    return messages.good_events(spark.read.schema(LANDING).parquet(f"{root}/table"))
 
 
 def stream_decode_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-append")
     topic = _publish_files(spark, inputs.event_messages(spark, sf_dir), f"{root}/topic")
-    name = _event_table(spark, root)
-    _stream_into_table(spark, topic, name, f"{root}/checkpoints")
-    return spark.read.table(name)
+    with _landing_table(spark, root) as name:
+        _stream_into_table(spark, topic, name, f"{root}/checkpoint")
+    return _landed_table(spark, root)
+
+
+def _stream_into_files(spark: SparkSession, msgs: DataFrame, root: str) -> DataFrame:
+    topic = _publish_files(spark, msgs, f"{root}/topic")
+    stream = stream_sources.message_file_stream(spark, topic, bytes_per_batch=BATCH_BYTES)
+    sinks.run_to_completion(ingest.ingest_to_parquet(stream, f"{root}/sales", f"{root}/checkpoint", AVAILABLE_NOW))
+    return ingest.read_landing(spark, f"{root}/sales")
 
 
 def stream_parquet_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "stream-files")
-    topic = _publish_files(spark, inputs.event_messages(spark, sf_dir), f"{root}/topic")
-    stream = stream_sources.message_file_stream(spark, topic, files_per_batch=2)
-    q_good, q_bad = ingest.ingest_to_parquet(stream, f"{root}/sales", f"{root}/checkpoints", AVAILABLE_NOW,
-                                             quarantine_path=f"{root}/quarantine")
-    sinks.run_to_completion(q_good)
-    sinks.run_to_completion(q_bad)
-    return spark.read.parquet(f"{root}/sales")
+    landing = _stream_into_files(spark, inputs.event_messages(spark, sf_dir), scratch_path(spark, "stream-files"))
+    return messages.good_events(landing)
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and damaged messages through one stream: every message is one row, with its text and route."""
+    landing = _stream_into_files(spark, inputs.damaged_event_messages(spark, sf_dir), scratch_path(spark, "stream-bad"))
+    return landing.drop("producto_id")
 
 
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,15 +303,13 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     holds every message exactly once."""
     root = scratch_path(spark, "stream-resume")
     msgs = inputs.event_messages(spark, sf_dir)
-    name = _event_table(spark, root)
-    ckpt = f"{root}/checkpoints"
     first_round = F.get_json_object("value", "$.tienda_id").cast("int") <= 50
-    _publish_files(spark, msgs.filter(first_round), f"{root}/topic")
-    _stream_into_table(spark, f"{root}/topic", name, ckpt)
-    _publish_files(spark, msgs.filter(~first_round), f"{root}/topic")
-    _stream_into_table(spark, f"{root}/topic", name, ckpt)
-    _stream_into_table(spark, f"{root}/topic", name, ckpt)
-    return spark.read.table(name)
+    with _landing_table(spark, root) as name:
+        for part in (msgs.filter(first_round), msgs.filter(~first_round), None):
+            if part is not None:
+                _publish_files(spark, part, f"{root}/topic")
+            _stream_into_table(spark, f"{root}/topic", name, f"{root}/checkpoint")
+    return _landed_table(spark, root)
 
 
 def stream_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,6 +319,7 @@ def stream_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_totals_min_amount": store_totals_min_amount,
+    "event_totals_min_amount": event_totals_min_amount,
     "filter_min_amount": filter_min_amount,
     "store_sum": store_sum,
     "store_sum_net": store_sum_net,
@@ -313,14 +345,17 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_duplicate_keys": dq_duplicate_keys,
     "medallion_gated": medallion_gated,
     "reconcile_totals": reconcile_totals,
+    "reconcile_orders": reconcile_orders,
     "storage_report": storage_report,
     "first_n_to_publish": first_n_to_publish,
     "publish_encode": publish_encode,
     "decode_sales_json": decode_sales_json,
     "decode_quarantine": decode_quarantine,
     "json_inferred_columns": json_inferred_columns,
+    "json_bad_text": json_bad_text,
     "stream_decode_append": stream_decode_append,
     "stream_parquet_batches": stream_parquet_batches,
+    "stream_quarantine": stream_quarantine,
     "stream_resume": stream_resume,
     "stream_to_gold": stream_to_gold,
 }

@@ -41,9 +41,20 @@ SALE_EVENT = T.StructType([
     T.StructField(CORRUPT_COLUMN, T.StringType()),
 ])
 
-# Table a decoded event stream appends to.
-SALE_EVENT_TABLE_DDL = ("id_transaccion STRING, tienda_id STRING, producto_id STRING, "
-                        "monto DOUBLE, fecha TIMESTAMP_NTZ")
+# Where a message stream lands: every message is one row, good or not, with its text as it came, so that keys
+# outside the declared event are not lost. ``route`` tells good events from quarantined messages.
+GOOD, QUARANTINE = "good", "quarantine"
+LANDING = T.StructType([
+    T.StructField("id_transaccion", T.StringType()),
+    T.StructField("tienda_id", T.StringType()),
+    T.StructField("producto_id", T.StringType()),
+    T.StructField("monto", T.DoubleType()),
+    T.StructField("fecha", T.TimestampNTZType()),
+    T.StructField("raw", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("route", T.StringType()),
+])
+LANDING_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LANDING.fields)
 
 # Shape of a message as a broker source yields it (the parts decoding needs).
 MESSAGE = T.StructType([

@@ -53,9 +53,36 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def _hadoop(spark: SparkSession, folder: str):
+    """The folder's file system and path."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder under the shared checkpoint root."""
+    return f"{checkpoint_root(spark)}/salesflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unique folder path under the shared checkpoint root (not created)."""
-    return f"{checkpoint_root(spark)}/salesflow/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder path under the application's scratch folder (the path itself is not created).
+
+    The scratch folder belongs to the application: it is deleted when the application ends, or
+    earlier by ``drop_scratch``. Nothing that is to stay may be written there.
+    """
+    folder = scratch_root(spark)
+    fs, path = _hadoop(spark, folder)
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{folder}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all that this application has written to its scratch folder; results read from it are gone too."""
+    fs, path = _hadoop(spark, scratch_root(spark))
+    fs.delete(path, True)
 
 
 def unique_name(label: str) -> str:

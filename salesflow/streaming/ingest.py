@@ -4,17 +4,18 @@ Production wiring (connector jars on the cluster; values are the caller's)::
 
     publish_sales(sales_df, fmt="kafka", options=kafka_sink_options(brokers))
     stream = event_stream(spark, "kafka", kafka_options(brokers))
-    ensure_table(spark, "lake.default.ventas", provider="iceberg")
-    good, bad = ingest_to_table(stream, "lake.default.ventas", "s3a://bucket/checkpoints/ventas",
-                                quarantine_path="s3a://bucket/quarantine/ventas")
+    ensure_table(spark, "lake.default.ventas", provider="iceberg", partition_by=["route"])
+    query = ingest_to_table(stream, "lake.default.ventas", "s3a://bucket/checkpoints/ventas")
+    sales, bad = good_events(spark.table("lake.default.ventas")), quarantined(spark.table("lake.default.ventas"))
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.messages import as_binary_messages, encode_messages, split_quarantine
+from ..operators.messages import as_binary_messages, encode_messages, landed
+from ..schemas import LANDING
 from .sinks import append_to_parquet, append_to_table, publish
 from .sources import DEFAULT_TOPIC
 
@@ -29,31 +30,22 @@ def publish_sales(sales: DataFrame, fmt: str = "kafka", options: dict | None = N
     publish(as_binary_messages(encode_messages(sales, key)), fmt=fmt, options=options, path=path)
 
 
-def ingest_to_table(stream: DataFrame, table: str, checkpoint_root: str, trigger: dict | None = None,
-                    quarantine_path: str | None = None) -> tuple[StreamingQuery, StreamingQuery | None]:
-    """Decode a message stream and append good events to ``table``; with ``quarantine_path``,
-    undecodable messages are appended there as Parquet by a second query.
+def ingest_to_table(stream: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Decode a message stream and append every message to the landing ``table`` (see ``ensure_table``).
 
-    Each query keeps its own checkpoint under ``checkpoint_root``; both are exactly-once.
+    One query reads the topic once and parses each message once; good and undecodable messages are rows of
+    the same table, told apart by ``route``: read it with ``good_events`` and ``quarantined``. The output is exactly-once
+    where the sink keeps its own log of committed batches (Parquet files and table formats do).
     """
-    good, bad = split_quarantine(stream)
-    q_good = append_to_table(good, table, f"{checkpoint_root.rstrip('/')}/good", trigger)
-    q_bad = None
-    if quarantine_path:
-        q_bad = append_to_parquet(bad, quarantine_path, f"{checkpoint_root.rstrip('/')}/quarantine", trigger)
-    return q_good, q_bad
-
-
-def ingest_to_parquet(stream: DataFrame, path: str, checkpoint_root: str, trigger: dict | None = None,
-                      quarantine_path: str | None = None, partition_by: list[str] | None = None
-                      ) -> tuple[StreamingQuery, StreamingQuery | None]:
-    """Decode a message stream and append good events as Parquet files under ``path``; with
-    ``quarantine_path``, undecodable messages are appended there (instead of stopping the job
-    or vanishing). Each query keeps its own checkpoint under ``checkpoint_root``."""
-    good, bad = split_quarantine(stream)
-    root = checkpoint_root.rstrip("/")
-    q_good = append_to_parquet(good, path, f"{root}/good", trigger, partition_by)
-    q_bad = None
-    if quarantine_path:
-        q_bad = append_to_parquet(bad, quarantine_path, f"{root}/quarantine", trigger)
-    return q_good, q_bad
+    return append_to_table(landed(stream), table, checkpoint, trigger)
+
+
+def ingest_to_parquet(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Decode a message stream and append every message as Parquet files under ``path``, in one folder for each
+    route, exactly once. Read it back with ``read_landing``."""
+    return append_to_parquet(landed(stream), path, checkpoint, trigger, partition_by=["route"])
+
+
+def read_landing(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that ``ingest_to_parquet`` has committed; a filter on ``route`` reads that folder only."""
+    return spark.read.schema(LANDING).parquet(path)

@@ -11,24 +11,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import SALE_EVENT_TABLE_DDL
+from ..schemas import LANDING_DDL
 
 # Fixed value, as the reference's stream job uses it: one micro-batch every 30 seconds.
 PRODUCTION_TRIGGER = {"processingTime": "30 seconds"}
 
 
-def ensure_table(spark: SparkSession, table: str, ddl: str = SALE_EVENT_TABLE_DDL,
-                 provider: str = "parquet", location: str | None = None) -> str:
-    """Idempotent DDL: create the table only if it does not exist yet."""
+def ensure_table(spark: SparkSession, table: str, ddl: str = LANDING_DDL,
+                 provider: str = "parquet", location: str | None = None,
+                 partition_by: list[str] | None = None) -> str:
+    """Idempotent DDL: create the table only if it does not exist yet.
+
+    ``partition_by`` is for table formats, whose own metadata tells readers of new partitions.
+    """
     if location and "'" in location:
         raise ValueError("location must not contain a single quote")
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {provider}{loc}")
+    parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {provider}{parts}{loc}")
     return table
 
 
 def _trigger(writer, trigger: dict | None):
-    return writer.trigger(**(trigger or PRODUCTION_TRIGGER))
+    """None: the production interval; an empty dict: no interval, each batch follows the last at once."""
+    trigger = PRODUCTION_TRIGGER if trigger is None else trigger
+    return writer.trigger(**trigger) if trigger else writer
 
 
 def append_to_table(df: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
@@ -54,17 +61,24 @@ def append_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict |
 def publish(messages: DataFrame, fmt: str = "kafka", options: dict | None = None,
             path: str | None = None, mode: str = "append") -> None:
     """Write (key, value) messages with a batch sink: a broker topic in production, files in
-    tests. Every task writes its own rows; nothing passes through the driver."""
+    tests. Every task writes its own rows; nothing passes through the driver.
+
+    A broker sink is at-least-once: a task that is run again sends its rows again.
+    """
     writer = messages.write.format(fmt).mode(mode)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     writer.save(path) if path else writer.save()
 
 
-def run_to_completion(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:
-    """Wait for a query started with an ``availableNow`` trigger to finish; raise its error."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for a query started with an ``availableNow`` trigger to finish; raise its error.
+
+    It waits as long as the data take, unless the caller sets a limit.
+    """
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
     if query.exception() is not None:

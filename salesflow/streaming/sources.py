@@ -17,10 +17,14 @@ BATCH_WAIT = "30s"
 
 
 def kafka_options(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting_offsets: str = "earliest",
-                  batch_messages: int | None = BATCH_MESSAGES, max_wait: str | None = BATCH_WAIT,
+                  batch_messages: int | None = None, max_wait: str | None = None,
                   min_partitions: int | None = None) -> dict:
     """Options of a broker source: start at the earliest offset on first start (a checkpoint
-    resumes later runs), and cut micro-batches at ``batch_messages`` or after ``max_wait``.
+    resumes later runs). A micro-batch takes all that has arrived, without a cap.
+
+    ``batch_messages`` and ``max_wait`` cut batches by size or time instead, as a poll loop does. Run
+    such a stream without a fixed trigger: the next batch then starts as soon as the last is done, and the size bound is
+    no limit on throughput. A bound together with a trigger interval would be one.
 
     ``min_partitions`` splits each topic partition's offset range over several tasks, so a topic
     with few partitions still keeps many cores busy (no shuffle involved).
@@ -48,8 +52,11 @@ def event_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None =
     return reader.load(path) if path else reader.load()
 
 
-def message_file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Message files (key, value as bytes) under ``path`` as a stream; each micro-batch takes at
-    most ``files_per_batch`` new files (the file analogue of a message-count bound)."""
+def message_file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None,
+                        bytes_per_batch: int | None = None) -> DataFrame:
+    """Message files (key, value as bytes) under ``path`` as a stream; a micro-batch takes all new files, or
+    about ``bytes_per_batch`` or ``files_per_batch`` of them at a time."""
     opts = {"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {}
+    if bytes_per_batch:
+        opts["maxBytesPerTrigger"] = str(bytes_per_batch)
     return event_stream(spark, "parquet", opts, path=path, schema=MESSAGE)

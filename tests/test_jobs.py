@@ -13,6 +13,10 @@ def test_jobs_end_to_end(spark, capsys):
     csv = write_csv(sales_from_events(spark, SF), f"{root}/sales.csv")
     jobs.run(["totals", "--csv", csv], spark)
     assert "monto_total" in capsys.readouterr().out
+    jobs.run(["totals", "--csv", csv, "--out", f"{root}/totals"], spark)
+    from salesflow.operators.totals import store_totals
+    assert spark.read.parquet(f"{root}/totals").count() == store_totals(sales_from_events(spark, SF)).count()
+    capsys.readouterr()
     jobs.run(["bronze", "--csv", csv, "--out", f"{root}/bronze", "--rejects", f"{root}/rejects"], spark)
     capsys.readouterr()
     jobs.run(["totals", "--parquet", f"{root}/bronze", "--explain"], spark)
@@ -25,8 +29,7 @@ def test_jobs_end_to_end(spark, capsys):
               "--order-by", "id_transaccion", "--limit", "50"], spark)
     table = unique_name("jobs_t")
     jobs.run(["stream-table", "--source-format", "parquet", "--source-path", f"{root}/topic", "--once",
-              "--table", table, "--location", f"{root}/table", "--checkpoint", f"{root}/ckpt1",
-              "--quarantine", f"{root}/bad1"], spark)
+              "--table", table, "--location", f"{root}/table", "--checkpoint", f"{root}/ckpt1"], spark)
     jobs.run(["stream-files", "--source-format", "parquet", "--source-path", f"{root}/topic", "--once",
               "--path", f"{root}/files", "--checkpoint", f"{root}/ckpt2"], spark)
     assert spark.read.table(table).count() == 50 == spark.read.parquet(f"{root}/files").count()
@@ -39,3 +42,27 @@ def test_jobs_reject_missing_inputs(spark, capsys):
         with pytest.raises(SystemExit):
             jobs.run(argv, spark)
     assert "needs" in capsys.readouterr().err
+
+
+def test_stream_jobs_cap_nothing(spark, monkeypatch, capsys):
+    """The table job: no bound, 30 s interval. The file job: 5,000 messages or 30 s, and no interval."""
+    import pytest
+    seen = {}
+
+    class Done:
+        def awaitTermination(self):
+            pass
+
+    monkeypatch.setattr(jobs, "event_stream", lambda spark, fmt, options: options)
+    monkeypatch.setattr(jobs, "ensure_table", lambda *a, **k: None)
+    monkeypatch.setattr(jobs, "ingest_to_table", lambda s, t, c, trigger: seen.update(table=(s, trigger)) or Done())
+    monkeypatch.setattr(jobs, "ingest_to_parquet", lambda s, p, c, trigger: seen.update(files=(s, trigger)) or Done())
+    jobs.run(["stream-table", "--brokers", "b:9092", "--table", "t", "--checkpoint", "c"], spark)
+    jobs.run(["stream-files", "--brokers", "b:9092", "--path", "p", "--checkpoint", "c"], spark)
+    options, trigger = seen["table"]
+    assert trigger == {"processingTime": "30 seconds"} and not [k for k in options if "PerTrigger" in k or "Delay" in k]
+    options, trigger = seen["files"]
+    assert trigger == {} and options["maxOffsetsPerTrigger"] == "5000" and options["maxTriggerDelay"] == "30s"
+    with pytest.raises(SystemExit):
+        jobs.run(["stream-table", "--brokers", "b", "--table", "t", "--checkpoint", "c", "--batch-messages", "10"], spark)
+    assert "caps the flow" in capsys.readouterr().err

@@ -88,3 +88,21 @@ def test_infer_json_schema_keeps_awkward_field_names(spark):
     assert sorted(out.columns) == sorted(["id", "OBJECT<", "VOID", "a b", "o"])
     row = out.first()
     assert row["a b"] == 1 and row["VOID"] is None and row["o"]["x"] == [1, 2] and row["OBJECT<"] == "s"
+
+
+def test_bad_json_is_set_aside_and_declared_schema_comes_first(spark):
+    df = spark.createDataFrame([(1, '{"k": 1}'), (2, "bad{"), (3, None), (4, '{"k": "x"}'), (5, "[]")], "id int, props string")
+    good, bad = messages.split_json_column(df, "props", "k BIGINT")
+    assert [tuple(r) for r in good.orderBy("id").collect()] == [(1, 1), (3, None)]
+    assert [tuple(r) for r in bad.orderBy("id").collect()] == [(2, "bad{", "malformed"), (4, '{"k": "x"}', "malformed"), (5, "[]", "malformed")]
+    good, bad = messages.split_json_column(df, "props")  # inferred: a key of two types is text
+    assert [tuple(r) for r in good.orderBy("id").collect()] == [(1, "1"), (3, None), (4, "x")]
+    assert [r["id"] for r in bad.orderBy("id").collect()] == [2, 5]
+
+
+def test_keys_used_as_data_do_not_grow_a_schema(spark):
+    import pytest
+    from salesflow.functions.jsonfmt import infer_json_schema
+    df = spark.range(500).selectExpr("concat('{\"k', id, '\": 1}') as props")
+    with pytest.raises(ValueError, match="declare a schema"):
+        infer_json_schema(df, "props", max_keys=100)

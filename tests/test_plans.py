@@ -51,3 +51,42 @@ def test_no_query_uses_cross_products_or_python_udfs(spark):
             continue  # these run their streams while building the result; covered in test_streaming
         plan = plan_of(fn(spark, SF))
         assert not [b for b in banned if b in plan], (name, plan)
+
+
+def test_registered_flagship_pushes_its_filter(spark):
+    from salesflow.plans.queries import REGISTRY
+    for name in ("store_totals_min_amount", "filter_min_amount"):
+        plan = plan_of(REGISTRY[name](spark, SF))
+        assert "GreaterThan(l_extendedprice,100.0)" in plan, plan
+
+
+def test_dq_report_reads_its_input_once(spark):
+    from salesflow.plans.queries import REGISTRY
+    plan = plan_of(REGISTRY["dq_report"](spark, SF))
+    assert plan.split("Initial Plan")[-1].count("FileScan") == 1
+
+
+def test_a_second_call_leaves_nothing_more_behind(spark):
+    from salesflow.plans.queries import REGISTRY
+
+    def left():
+        return {(t.name, t.isTemporary) for t in spark.catalog.listTables()}
+
+    names = ("named_source_scan", "gold_sql_model", "stream_decode_append", "stream_resume", "stream_quarantine")
+    for name in names:
+        REGISTRY[name](spark, SF).count()
+    first = left()
+    for name in names:
+        REGISTRY[name](spark, SF).count()
+    assert left() == first
+
+
+def test_scratch_has_an_end(spark):
+    import os
+    from salesflow.session import drop_scratch, scratch_root
+    spark.range(3).write.parquet(scratch_path(spark, "end"))
+    folder = scratch_root(spark).replace("file:", "")
+    assert os.path.isdir(folder)
+    drop_scratch(spark)
+    assert not os.path.exists(folder)
+    assert spark.range(1).count() == 1 and scratch_path(spark, "again")

@@ -46,3 +46,35 @@ def test_reconcile_duplicate_and_null_keys(spark):
     right = spark.createDataFrame([(None, 1.0), (7, 1.0)], "key int, v double")
     out = [(r["key"], r["status"]) for r in quality.reconcile(left, right, ["key"]).collect()]
     assert out == [(7, "duplicate_key")]
+
+
+def test_reconcile_sees_every_column_and_type(spark):
+    left = spark.createDataFrame([(1, 1.0, "a", 2.0)], "k int, v double, t string, w double")
+    right = spark.createDataFrame([(1, 1.0, "b")], "k int, v double, t string")
+    got = {(r["column_name"], r["status"], r["left_text"], r["right_text"]) for r in quality.reconcile(left, right, "k").collect()}
+    assert got == {("t", "value_mismatch", "a", "b"), ("w", "missing_column", "present", "absent")}
+    assert quality.reconcile(left, right, "k", columns=["v"]).count() == 0
+    assert quality.reconcile(left.select("k"), right.select("k"), "k").count() == 0
+
+
+def test_reconcile_tells_large_whole_numbers_apart(spark):
+    a = spark.createDataFrame([(1, 2 ** 53 + 1), (2, -2 ** 63)], "k int, v bigint")
+    b = spark.createDataFrame([(1, 2 ** 53), (2, 2 ** 63 - 1)], "k int, v bigint")
+    assert {r["k"] for r in quality.reconcile(a, b, "k", atol=0.0, rtol=0.0).collect()} == {1, 2}
+
+
+def test_reconcile_odd_numbers_dates_and_key_types(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(None, inf, "2024-01-01"), ("x", nan, None), ("y", -inf, "2024-01-02")], "k string, v double, d string") \
+        .selectExpr("cast(k as string) k", "v", "cast(d as date) d")
+    assert quality.reconcile(df, df, ["k"]).count() == 0
+    other = df.selectExpr("k", "-v as v", "date_add(d, 1) as d")
+    got = {(r["k"], r["column_name"]) for r in quality.reconcile(df, other, ["k"]).collect()}
+    assert got == {(None, "v"), (None, "d"), ("y", "v"), ("y", "d")}
+
+
+def test_reconcile_is_one_shuffle_without_a_join(spark):
+    df = spark.range(100).selectExpr("id as k", "cast(id as double) as v")
+    plan = quality.reconcile(df, df, "k")._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("Initial Plan")[-1]
+    assert initial.count("Exchange hashpartitioning") <= 1 and "Join" not in initial

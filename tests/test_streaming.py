@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from salesflow.operators import messages
 from salesflow.session import scratch_path, unique_name
-from salesflow.streaming import sinks, sources
+from salesflow.streaming import ingest, sinks, sources
 
 ONCE = {"availableNow": True}
 
@@ -14,8 +14,8 @@ def _publish(spark, path, ids):
 
 
 def _run(spark, topic, table, ckpt):
-    good = messages.decode_messages(sources.message_file_stream(spark, topic, files_per_batch=1))
-    sinks.run_to_completion(sinks.append_to_table(good, table, ckpt, ONCE), 120)
+    stream = sources.message_file_stream(spark, topic, files_per_batch=1)
+    sinks.run_to_completion(ingest.ingest_to_table(stream, table, ckpt, ONCE), 120)
 
 
 def test_restart_resumes_and_adds_nothing_twice(spark):
@@ -45,26 +45,39 @@ def test_parquet_sink_batches(spark):
     assert out.agg(F.sum("monto")).first()[0] == float(sum(range(20)))
 
 
-def test_kafka_options_bound_batches():
+def test_kafka_options_have_no_cap_unless_asked():
     opts = sources.kafka_options("broker:9092")
     assert opts["subscribe"] == "ventas_stream" and opts["startingOffsets"] == "earliest"
-    assert opts["maxOffsetsPerTrigger"] == "5000" and opts["maxTriggerDelay"] == "30s"
+    assert not [k for k in opts if "PerTrigger" in k or "Delay" in k]
+    opts = sources.kafka_options("broker:9092", batch_messages=5000, max_wait="30s")
+    assert opts["maxOffsetsPerTrigger"] == opts["minOffsetsPerTrigger"] == "5000" and opts["maxTriggerDelay"] == "30s"
 
 
-def test_quarantine_stream_keeps_bad_messages(spark):
-    from salesflow.streaming import ingest
+def test_no_message_is_lost_and_each_is_parsed_once(spark):
     root = scratch_path(spark, "quarantine-test")
-    msgs = spark.createDataFrame([(None, '{"id": 1, "tienda_id": 2, "monto": 3.0, "fecha": "2024-01-01 00:00:00"}'),
-                                  (None, "not json"), (None, None)], "key string, value string")
+    rows = ['{"id": 1, "tienda_id": 2, "monto": 3.0, "fecha": "2024-01-01 00:00:00", "otro": "kept"}',
+            '{"id": 2, "tienda_id": 2, "monto": "12"}', "not json", None]
+    msgs = spark.createDataFrame([(None, v) for v in rows], "key string, value string")
     sinks.publish(messages.as_binary_messages(msgs), fmt="parquet", path=f"{root}/topic")
-    table = sinks.ensure_table(spark, unique_name("t"), location=f"{root}/table")
-    q_good, q_bad = ingest.ingest_to_table(sources.message_file_stream(spark, f"{root}/topic"), table,
-                                           f"{root}/ckpt", ONCE, quarantine_path=f"{root}/bad")
-    sinks.run_to_completion(q_good, 120)
-    sinks.run_to_completion(q_bad, 120)
-    assert [tuple(r) for r in spark.read.table(table).collect()] == [("1", "2", None, 3.0, __import__("datetime").datetime(2024, 1, 1))]
-    bad = {r["raw"]: r["reason"] for r in spark.read.parquet(f"{root}/bad").collect()}
-    assert bad == {"not json": "malformed", None: "empty_message"}
+    stream = sources.message_file_stream(spark, f"{root}/topic")
+    query = ingest.ingest_to_parquet(stream, f"{root}/out", f"{root}/ckpt", ONCE)
+    sinks.run_to_completion(query)
+    assert query._jsq.explainInternal(False).count("from_json(") <= 1
+    landing = ingest.read_landing(spark, f"{root}/out")
+    assert sorted((r["raw"] for r in landing.collect()), key=str) == sorted(rows, key=str)
+    assert [tuple(r) for r in messages.good_events(landing).collect()] == [("1", "2", None, 3.0, __import__("datetime").datetime(2024, 1, 1))]
+    bad = {r["raw"]: (r["reason"], r["id_transaccion"]) for r in messages.quarantined(landing).collect()}
+    assert bad == {"not json": ("malformed", None), None: ("empty_message", None), rows[1]: ("malformed", "2")}
+    plan = messages.good_events(landing)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(route" in plan
+
+
+def test_bytes_bound_a_batch_of_files(spark):
+    root = scratch_path(spark, "bytes-test")
+    _publish(spark, f"{root}/topic", range(0, 40))
+    stream = sources.message_file_stream(spark, f"{root}/topic", bytes_per_batch=1024)
+    sinks.run_to_completion(ingest.ingest_to_parquet(stream, f"{root}/out", f"{root}/ckpt", ONCE))
+    assert ingest.read_landing(spark, f"{root}/out").count() == 40
 
 
 def test_kafka_min_partitions():

@@ -7,7 +7,8 @@ from salesflow.plans.medallion import run_medallion
 from salesflow.session import scratch_path, unique_name
 from salesflow.sources.files import csv_scan, raw_sales_csv, storage_report, write_csv, write_parquet
 from salesflow.sources.testviews import sales_from_events
-from salesflow.streaming.ingest import ingest_to_parquet, ingest_to_table, publish_sales
+from salesflow.operators.messages import good_events
+from salesflow.streaming.ingest import ingest_to_parquet, ingest_to_table, publish_sales, read_landing
 from salesflow.streaming.sinks import ensure_table, run_to_completion
 from salesflow.streaming.sources import message_file_stream
 
@@ -34,10 +35,10 @@ def test_switching_guide(spark):
     publish_sales(first_n(src, None, "id"), fmt="parquet", path=f"{root}/topic", key="tienda_id")
     stream = message_file_stream(spark, f"{root}/topic")
     table = ensure_table(spark, unique_name("ventas"), location=f"{root}/table")
-    q_good, q_bad = ingest_to_table(stream, table, f"{root}/ckpt/table", ONCE, quarantine_path=f"{root}/bad")
-    q_files, q_files_bad = ingest_to_parquet(stream, f"{root}/files", f"{root}/ckpt/files", ONCE,
-                                             quarantine_path=f"{root}/files_bad")
-    for q in (q_good, q_bad, q_files, q_files_bad):
+    q_table = ingest_to_table(stream, table, f"{root}/ckpt/table", ONCE)
+    q_files = ingest_to_parquet(stream, f"{root}/files", f"{root}/ckpt/files", ONCE)
+    for q in (q_table, q_files):
         run_to_completion(q, 120)
     n = src.count()
-    assert spark.read.table(table).count() == n and spark.read.parquet(f"{root}/files").count() == n
+    assert good_events(spark.read.table(table)).count() == n
+    assert good_events(read_landing(spark, f"{root}/files")).count() == n
