@@ -26,7 +26,6 @@ itself as next. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -153,18 +152,15 @@ def _dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lows = np.array([-r["low"] for r in ends], np.int64)
 
     @F.pandas_udf("array<int>")
-    def ranges(doc_id: pd.Series, text: pd.Series) -> pd.Series:
-        out = []
-        known = doc_id.notna()
-        home = np.searchsorted(lows, -doc_id.where(known, 0).astype("int64").to_numpy(), "left")
-        for k, (i, at) in enumerate(zip(doc_id.where(known, 0).astype("int64").tolist(), home.tolist())):
-            if not known.iloc[k]:
-                out.append([-1 - zlib.crc32(text.iloc[k].encode()) % n])
-            else:
-                out.append([at, heads[i]] if i in heads else [at])
-        return pd.Series(out)
-
-    return d.select("doc_id", "text", F.posexplode(ranges("doc_id", "text")).alias("copy", "range"))
+    def ranges(doc_id: pd.Series, spare: pd.Series) -> pd.Series:
+        known = doc_id.notna().to_numpy()
+        ids = doc_id.where(doc_id.notna(), 0).astype("int64")
+        home = np.where(known, np.searchsorted(lows, -ids.to_numpy(), "left"), -1 - spare.to_numpy() % n)
+        return pd.Series([[at, heads[i]] if ok and i in heads else [at] for ok, i, at in zip(known, ids, home.tolist())])
+
+    # a row without an id has any place: its text's hash spreads such rows
+    spare = F.crc32(F.col("text").cast("binary"))
+    return d.select("doc_id", "text", F.posexplode(ranges("doc_id", spare)).alias("copy", "range"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
