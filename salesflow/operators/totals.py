@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.money import exact_avg, exact_sum, merge_parts_sql, sum_parts_sql, total_sql
 
@@ -72,13 +73,20 @@ def store_sum_observing_rows(df: DataFrame, key: str = "tienda_id", amount: str
     return store_sum(observed, key, amount), obs
 
 
+def _total_order(df: DataFrame, order_by: list[str]) -> list[str]:
+    """The given columns, then all others that have an order: rows that tie on the former still have one order."""
+    rest = [f.name for f in df.schema.fields
+            if f.name not in order_by and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return [*order_by, *[f"`{c}`" for c in rest]]
+
+
 def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     """First ``n`` rows in a total order (top-n, no global sort of the input)."""
-    return df.orderBy(*order_by).limit(n)
+    return df.orderBy(*_total_order(df, order_by)).limit(n)
 
 
 def first_n(df: DataFrame, n: int | None, order_by: str = "id_transaccion") -> DataFrame:
-    """The first ``n`` rows by ``order_by``; all rows (unsorted) when ``n`` is None."""
+    """The first ``n`` rows by ``order_by``, ties by the other columns; all rows (unsorted) when ``n`` is None."""
     if n is None:
         return df
-    return df.orderBy(order_by).limit(int(n))
+    return df.orderBy(*_total_order(df, [order_by])).limit(int(n))

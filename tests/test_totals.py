@@ -60,3 +60,8 @@ def test_rounding_large_and_odd_amounts(spark):
     df = spark.createDataFrame([(v,) for v in values], "monto double")
     assert [r[0] for r in df.select(round_amount("monto")).collect()][:1] == [24606.15]
     assert df.select(round_amount("monto")).collect()[3][0] == float("inf")
+
+
+def test_first_n_has_one_order_for_ties(spark):
+    df = spark.createDataFrame([(1, x) for x in "dbca"], "id_transaccion int, t string").repartition(3)
+    assert [r["t"] for r in totals.first_n(df, 2).collect()] == ["a", "b"]
