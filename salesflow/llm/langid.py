@@ -9,7 +9,8 @@ Training uses a bounded sample, the only bound in this module: about ``SAMPLE_PE
 of each language, at most ``SAMPLE_DOCUMENTS`` in all, and ``SAMPLE_WINDOWS`` windows of each,
 spread over its text. The sample is chosen by a hash of the id, so it is the same on every run and
 at every partitioning, and the weights are a few tens of KB whatever the input. Prediction
-reads every byte of every text, in batches of windows of fixed size.
+reads every byte of every text, in batches of windows of fixed size. A window that a text does not fill is
+filled up with zero bytes; so are some windows in training, and no such position counts.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is every text if
 nothing can be learned from. Repeated rows repeat; an empty table gives an empty result. A null id
@@ -19,7 +20,6 @@ read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 WINDOW, HIDDEN, BATCH = 128, 12, 2048
 SAMPLE_PER_LANGUAGE, SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 400, 8000, 4
-TRAIN_WINDOW, TRAIN_BATCH, TRAIN_STEPS, RATE = 64, 192, 700, 0.02
-UNKNOWN = "und"
+TRAIN_WINDOW, TRAIN_BATCH, TRAIN_STEPS, RATE, CUT_SHORT = 64, 192, 700, 0.02, 0.4
+UNKNOWN, MIN_SCORE = "und", 0.25
 Weights = dict[str, np.ndarray]
 
 
@@ -123,8 +123,10 @@ def position_probabilities(w: Weights, windows: np.ndarray) -> np.ndarray:
 
 
 def gradients(w: Weights, windows: np.ndarray, label: np.ndarray) -> tuple[float, Weights]:
-    """Mean loss over all positions, and its gradients by backpropagation through time."""
+    """Mean loss over the positions that hold a byte (0 fills up), and its gradients by backpropagation through time."""
     x = np.ascontiguousarray(windows.T)
+    filled = (x != 0).astype(np.float32)
+    n = max(1.0, float(filled.sum()))
     forward, tape_f = _scan(x, w["in_f"], w["rec_f"], True)
     backward, tape_b = _scan(x[::-1], w["in_b"], w["rec_b"], True)
     backward = backward[::-1]
@@ -133,10 +135,10 @@ def gradients(w: Weights, windows: np.ndarray, label: np.ndarray) -> tuple[float
     p = np.exp(scores)
     p /= p.sum(2, keepdims=True)
     rows = np.arange(len(label))
-    loss = float(-np.log(p[:, rows, label] + 1e-9).mean())
+    loss = float(-(np.log(p[:, rows, label] + 1e-9) * filled).sum() / n)
     d = p
     d[:, rows, label] -= 1
-    d /= x.size
+    d *= (filled / n)[:, :, None]
     g: Weights = {"bias": d.sum((0, 1))}
     flat = d.reshape(-1, d.shape[2])
     g["out_f"] = forward.reshape(len(flat), -1).T @ flat
@@ -156,7 +158,10 @@ def train(windows: np.ndarray, label: np.ndarray, n_labels: int, steps: int = TR
     share /= share.sum()
     for step in range(1, steps + 1):
         at = rng.choice(len(windows), TRAIN_BATCH, p=share)
-        _, g = gradients(w, windows[at], label[at])
+        # some windows end early, as the last window of a text does
+        end = np.where(rng.random(TRAIN_BATCH) < CUT_SHORT, rng.integers(8, windows.shape[1], TRAIN_BATCH), windows.shape[1])
+        cut = np.where(np.arange(windows.shape[1])[None, :] < end[:, None], windows[at], 0)
+        _, g = gradients(w, cut, label[at])
         norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
         for k in w:
@@ -174,9 +179,7 @@ def _training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = np.frombuffer(text.encode(), np.uint8)
         room = len(raw) - TRAIN_WINDOW
         if room < 0:
-            if len(raw) < TRAIN_WINDOW // 2:
-                continue
-            raw, room = np.resize(raw, TRAIN_WINDOW), 0
+            raw, room = np.pad(raw, (0, -room)), 0
         n = min(SAMPLE_WINDOWS, 1 + room // TRAIN_WINDOW)
         for at in np.linspace(0, room, n).astype(int):
             rows.append(raw[at:at + TRAIN_WINDOW])
@@ -201,8 +204,6 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         "text", "lang").limit(SAMPLE_DOCUMENTS).collect()
     languages = sorted({r["lang"] for r in sample})
     windows, owner = _training_windows([r["text"] for r in sample])
-    if not len(windows):
-        return None
     label = np.array([languages.index(r["lang"]) for r in sample])[owner]
     return languages, train(windows, label, len(languages))
 
@@ -261,7 +262,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         run, f"{id_col} {kind}, held_out boolean, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, min_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
+def accepted(docs: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
     """The documents with a language: rows predicted ``und`` or below ``min_score`` go; all columns are kept."""
     model = learn(docs, id_col, text_col, lang_col)

@@ -39,7 +39,7 @@ def test_held_out_accuracy_and_defined_results(spark):
         assert (by[i].lang_pred, by[i].score) == ("und", 0.0)
     assert by[9004].lang_pred == "cc"
     kept = langid.accepted(crowded(df))
-    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.score >= 0.3}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.score >= langid.MIN_SCORE}
 
 
 def test_held_out_rows_teach_nothing(spark):
@@ -81,3 +81,12 @@ def test_every_position_is_labelled_and_pooled():
     p = langid.predict(w, [text.encode(), b"", b"x"], batch=2)
     assert np.allclose(p.sum(1), [1, 0, 1], atol=1e-5)
     assert np.allclose(p, langid.predict(w, [text.encode(), b"", b"x"]), atol=1e-6)
+
+
+def test_texts_shorter_than_a_window(spark):
+    """The end of a text, filled up to a window, must not decide."""
+    rows = corpus() + [(10_000 + i, " ".join(t.split()[:3]), lang) for i, t, lang in corpus(200, 7)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    truth = {i: lang for i, _, lang in rows}
+    short = [r for r in got if r.doc_id >= 10_000]
+    assert np.mean([truth[r.doc_id] == r.lang_pred for r in short]) > 0.85
