@@ -6,8 +6,9 @@ document's probabilities are the mean over all its positions. It is trained here
 backpropagation through time, from text and label alone.
 
 Training uses a bounded sample, the only bound in this module: about ``SAMPLE_PER_LANGUAGE`` documents
-of each language, at most ``SAMPLE_DOCUMENTS`` in all, and ``SAMPLE_WINDOWS`` windows of each,
-spread over its text. The sample is chosen by a hash of the id, so it is the same on every run and
+of different ids of each language, at most ``SAMPLE_DOCUMENTS`` in all, and ``SAMPLE_WINDOWS`` windows of each,
+spread over its text and cut where the text is read: two MB of windows come to the driver at most, and no
+text. The sample is chosen by a hash of the id, so it is the same on every run and
 at every partitioning, and the weights are a few tens of KB whatever the input. Prediction
 reads every byte of every text, in batches of windows of fixed size. A window that a text does not fill is
 filled up with zero bytes; so are some windows in training, and no such position counts.
@@ -172,19 +173,22 @@ def train(windows: np.ndarray, label: np.ndarray, n_labels: int, steps: int = TR
     return w
 
 
-def _training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows spread over each text, and the number of the text each is from."""
-    rows, owner = [], []
-    for i, text in enumerate(texts):
-        raw = np.frombuffer(text.encode(), np.uint8)
-        room = len(raw) - TRAIN_WINDOW
-        if room < 0:
-            raw, room = np.pad(raw, (0, -room)), 0
-        n = min(SAMPLE_WINDOWS, 1 + room // TRAIN_WINDOW)
-        for at in np.linspace(0, room, n).astype(int):
-            rows.append(raw[at:at + TRAIN_WINDOW])
-            owner.append(i)
-    return np.array(rows, np.uint8).reshape(-1, TRAIN_WINDOW), np.array(owner, np.int64)
+def _training_windows(text: str) -> np.ndarray:
+    """Windows spread over a text; one filled up with zero bytes if it is shorter."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    room = len(raw) - TRAIN_WINDOW
+    if room < 0:
+        raw, room = np.pad(raw, (0, -room)), 0
+    n = min(SAMPLE_WINDOWS, 1 + room // TRAIN_WINDOW)
+    return np.array([raw[at:at + TRAIN_WINDOW] for at in np.linspace(0, room, n).astype(int)], np.uint8)
+
+
+def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(order, lang, text) to (order, lang, windows): whole texts stay where they are read."""
+    for batch in batches:
+        windows = [_training_windows(text.as_py()).tobytes() for text in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(windows, pa.binary())],
+                                         ["order", "lang", "windows"])
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], Weights] | None:
@@ -192,7 +196,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                         F.col(lang_col).cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n"))
+    # ids, not rows: an id that very many rows share is in the sample as a whole or not at all
+    counts = {r["lang"]: max(1, r["n"]) for r in known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
               .orderBy(F.desc("n"), "lang").limit(SAMPLE_DOCUMENTS // 10).collect()}
     if not counts:
         return None
@@ -200,11 +205,13 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, SAMPLE_PER_LANGUAGE / n))).otherwise(share)
-    sample = known.where(order < share * float(1 << 40)).withColumn("order", order).orderBy("order", "text").select(
-        "text", "lang").limit(SAMPLE_DOCUMENTS).collect()
+    sample = (known.where(order < share * float(1 << 40)).select(order.alias("order"), "lang", "text")
+              .mapInArrow(_cut, "order bigint, lang string, windows binary")
+              .groupBy("order", "lang").agg(F.min("windows").alias("windows"))  # one row of each id
+              .orderBy("order", "windows", "lang").limit(SAMPLE_DOCUMENTS).collect())
     languages = sorted({r["lang"] for r in sample})
-    windows, owner = _training_windows([r["text"] for r in sample])
-    label = np.array([languages.index(r["lang"]) for r in sample])[owner]
+    windows = np.frombuffer(b"".join(r["windows"] for r in sample), np.uint8).reshape(-1, TRAIN_WINDOW)
+    label = np.repeat([languages.index(r["lang"]) for r in sample], [len(r["windows"]) // TRAIN_WINDOW for r in sample])
     return languages, train(windows, label, len(languages))
 
 

@@ -56,6 +56,14 @@ def test_nothing_to_learn_from(spark):
     assert langid.identify(df.limit(0)).collect() == []
 
 
+def test_one_id_may_hold_all_rows_of_a_language(spark):
+    rows = [(None, t, "aa") for _, t, lang in corpus(2400) if lang == "aa"] + [(i, t, lang) for i, t, lang in corpus(600) if lang == "bb"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(rows) > 2 * langid.SAMPLE_PER_LANGUAGE and langid.learn(df)[0] == ["aa", "bb"]
+    alone = df.where("lang = 'aa'")
+    assert {r.lang_pred for r in langid.identify(alone).collect()} == {"aa"}
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     w = {k: v.astype(np.float64) for k, v in langid.new_weights(3, hidden=4, seed=1).items()}
