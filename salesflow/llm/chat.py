@@ -5,18 +5,20 @@ the assistant and every other speaker as a named user; turns of the ``system`` r
 turns. The loss mask covers what the assistant says (text and closing tag) as spans of code points.
 
 A row holds at most ``MAX_TURNS`` consecutive turn numbers: longer dialogues go on in a next part
-with the same speaker, so that no row and no task gathers an unbounded conversation. The work is
-built-in expressions only: one grouping by (conversation, part), the distinct speakers, one join.
+with the same speaker. Where turn numbers repeat, a part of more than ``MAX_TURNS`` turns goes on in a
+next piece, so no row gathers an unbounded conversation whatever the numbers are. The work is built-in
+expressions only: one shuffle by (conversation, part), the distinct speakers, one join.
 
 Defined results: a null text is rendered as empty, a null role is the speaker ``unknown``, a null
-turn number counts as 0, a null conversation id is a conversation of its own, equal turn numbers are
-ordered by role and text, repeated rows are rendered as often as they occur. A conversation with
+turn number counts as 0, equal turn numbers are ordered by role and text, repeated rows are rendered
+as often as they occur. Nothing tells what a turn of null conversation id belongs to: it is a dialogue
+by itself, so any number of such turns is no group. A conversation with
 system turns only gives no row, an empty table no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_TURNS = 256
@@ -24,15 +26,20 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
 def rotate(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
-    """(conv_id, part, speaker, n_turns, text, mask: array of [from, to) code points, n_masked)."""
+    """(conv_id, part, piece, speaker, n_turns, text, mask: array of [from, to) code points, n_masked)."""
     t = turns.select(
         "conv_id", F.coalesce(F.col("turn").cast("bigint"), F.lit(0)).alias("turn"),
         F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("part", F.floor(F.col("turn") / max_turns).cast("bigint"))
-    dialogue = t.groupBy("conv_id", "part").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    speakers = t.where("role <> 'system'").select(F.col("conv_id").alias("c"), F.col("role").alias("speaker")).distinct()
-    said = dialogue.join(speakers, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+    nth = F.row_number().over(Window.partitionBy("conv_id", "part").orderBy("turn", "role", "text"))
+    turn = F.struct("turn", "role", "text")
+    dialogue = (t.where("conv_id is not null").withColumn("piece", F.floor((nth - 1) / max_turns).cast("bigint"))
+                .groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_list(turn)).alias("turns")))
+    heard = t.where("role <> 'system'")
+    speakers = heard.where("conv_id is not null").select(F.col("conv_id"), F.col("role").alias("speaker")).distinct()
+    alone = heard.where("conv_id is null").select(
+        "conv_id", "part", F.lit(0).cast("bigint").alias("piece"), F.array(turn).alias("turns"), F.col("role").alias("speaker"))
+    said = dialogue.join(speakers, "conv_id").unionByName(alone)
     said = said.withColumn("heads", F.transform("turns", lambda x: F.concat(
         F.lit(OPEN),
         F.when(x["role"] == F.col("speaker"), F.lit("assistant"))
@@ -51,7 +58,7 @@ def rotate(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
             (acc["at"] + x["head"]).alias("from"), (acc["at"] + x["head"] + x["body"]).alias("to")))))
         .otherwise(acc["spans"]).alias("spans")))
     return said.withColumn("mask", walked["spans"]).select(
-        "conv_id", "part", "speaker", F.size("turns").cast("bigint").alias("n_turns"), "text", "mask",
+        "conv_id", "part", "piece", "speaker", F.size("turns").cast("bigint").alias("n_turns"), "text", "mask",
         F.aggregate("mask", F.lit(0).cast("bigint"), lambda a, s: a + s["to"] - s["from"]).alias("n_masked"))
 
 
@@ -62,16 +69,18 @@ def digest(turns: DataFrame) -> DataFrame:
 
 
 ORACLE = f"""
-WITH t AS (SELECT conv_id, coalesce(turn, 0) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-    floor(coalesce(turn, 0) / {MAX_TURNS})::BIGINT AS part FROM conversations),
-s AS (SELECT DISTINCT conv_id AS c, role AS speaker FROM t WHERE role <> 'system'),
+WITH a AS (SELECT conv_id, coalesce(turn, 0) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+    floor(coalesce(turn, 0) / {MAX_TURNS})::BIGINT AS part,
+    CASE WHEN conv_id IS NULL THEN row_number() OVER () ELSE 0 END AS lone FROM conversations),
+t AS (SELECT *, ((row_number() OVER (PARTITION BY conv_id, lone, part ORDER BY turn, role, text) - 1) // {MAX_TURNS})::BIGINT AS piece FROM a),
+s AS (SELECT DISTINCT conv_id AS c, lone AS l, role AS speaker FROM t WHERE role <> 'system'),
 p AS (SELECT t.*, speaker, role = speaker AS own, '{OPEN}' || CASE WHEN role = speaker THEN 'assistant'
     WHEN role = 'system' THEN 'system' ELSE 'user name=' || role END || chr(10) AS head
-  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.c),
+  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.c AND lone = l),
 q AS (SELECT *, length(head) AS hl, length(text) + {len(CLOSE)} AS bl,
-    sum(length(head) + length(text) + {len(CLOSE)}) OVER (PARTITION BY conv_id, part, speaker ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS till FROM p)
-SELECT conv_id, part, speaker, count(*)::BIGINT AS n_turns,
+    sum(length(head) + length(text) + {len(CLOSE)}) OVER (PARTITION BY conv_id, lone, part, piece, speaker ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS till FROM p)
+SELECT conv_id, part, piece, speaker, count(*)::BIGINT AS n_turns,
   string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text,
-  coalesce(string_agg((till - bl)::BIGINT::VARCHAR || '-' || till::BIGINT::VARCHAR, ',' ORDER BY turn, role, text) FILTER (own), '') AS mask,
+  coalesce(string_agg((till - bl)::BIGINT::VARCHAR || '-' || till::BIGINT::VARCHAR, ',' ORDER BY turn, role, text, till) FILTER (own), '') AS mask,
   coalesce(sum(bl) FILTER (own), 0)::BIGINT AS n_masked
-FROM q GROUP BY conv_id, part, speaker"""
+FROM q GROUP BY conv_id, lone, part, piece, speaker"""

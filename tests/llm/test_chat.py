@@ -17,32 +17,41 @@ def turns(seed=0):
             rows.append((c, 0, "system", "be kind"))
         rows += [(c, k + 1, rng.choice(names), rng.choice(["hi", "", None, "日本 x" * k, "a\nb"])) for k in range(rng.randint(1, 9))]
     rows += [(100, 0, "system", "alone"), (101, 0, None, "who"), (101, 1, "user", "me"), (102, 5, "a", "tie"), (102, 5, "b", "tie"),
-             (102, 5, "b", "tie"), (103, None, "a", "no turn"), (None, 1, "x", "y"), (None, 2, "z", "w")]
+             (102, 5, "b", "tie"), (103, None, "a", "no turn"), (None, 1, "x", "y"), (None, 2, "z", "w"), (None, 2, "z", "w"), (None, None, "system", "v"), (None, 3, None, None)]
     rows += [(104, k, "long" if k % 2 else "talk", f"t{k}") for k in range(600)]
+    rows += [(105, rng.choice([None, 0, 3]), rng.choice(["same", "other"]), rng.choice(["again", "x"])) for _ in range(700)]
     rng.shuffle(rows)
     return rows
 
 
 def brute(rows):
-    out = {}
-    for c, speaker in {(c, r or "unknown") for c, _, r, _ in rows if r != "system"}:
-        mine = sorted(((t or 0, r or "unknown", x or "") for d, t, r, x in rows if d == c))
+    rows = [((c,) if c is not None else (None, i), t or 0, r or "unknown", x or "") for i, (c, t, r, x) in enumerate(rows)]
+    out, got = {}, []
+    for c, speaker in {(c, r) for c, _, r, _ in rows if r != "system"}:
+        mine = sorted((t, r, x) for d, t, r, x in rows if d == c)
+        seen = {}
         for t, r, x in mine:
-            text, spans, n = out.get((c, t // chat.MAX_TURNS, speaker), ("", [], 0))
+            part = t // chat.MAX_TURNS
+            seen[part] = seen.get(part, -1) + 1
+            where = (c, part, seen[part] // chat.MAX_TURNS, speaker)
+            text, spans, n = out.get(where, ("", [], 0))
             who = "assistant" if r == speaker else "system" if r == "system" else f"user name={r}"
             head = f"<|im_start|>{who}\n"
             a = len(text) + len(head)
             text += f"{head}{x}<|im_end|>\n"
             if r == speaker:
                 spans = spans + [(a, len(text))]
-            out[c, t // chat.MAX_TURNS, speaker] = (text, spans, n + 1)
-    return sorted(((c, p, s, n, text, spans, sum(b - a for a, b in spans)) for (c, p, s), (text, spans, n) in out.items()), key=str)
+            out[where] = (text, spans, n + 1)
+    for (c, p, piece, s), (text, spans, n) in out.items():
+        assert n <= chat.MAX_TURNS
+        got.append((c[0], p, piece, s, n, text, spans, sum(b - a for a, b in spans)))
+    return sorted(got, key=str)
 
 
 def test_whole_result_against_brute_force(spark):
     rows = turns()
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    got = sorted(((*r[:5], [tuple(s) for s in r[5]], r[6]) for r in chat.rotate(df).collect()), key=str)
+    got = sorted(((*r[:6], [tuple(s) for s in r[6]], r[7]) for r in chat.rotate(df).collect()), key=str)
     assert got == brute(rows)
     for *_, text, spans, _ in got:
         assert all(text[b - len(chat.CLOSE):b] == chat.CLOSE for a, b in spans)
@@ -57,7 +66,7 @@ def test_against_sql(spark):
     assert got == sorted(map(str, con.execute(chat.ORACLE).fetchall()))
 
 
-@pytest.mark.parametrize("extra", ["part", "speaker", "turns", "c", "heads", "mask"])
+@pytest.mark.parametrize("extra", ["part", "piece", "speaker", "turns", "c", "heads", "mask"])
 def test_extra_columns_and_empty_table(spark, extra):
     from pyspark.sql import functions as F
 
