@@ -7,7 +7,7 @@ turns. The loss mask covers what the assistant says (text and closing tag) as sp
 A row holds at most ``MAX_TURNS`` consecutive turn numbers: longer dialogues go on in a next part
 with the same speaker. Where turn numbers repeat, a part of more than ``MAX_TURNS`` turns goes on in a
 next piece, so no row gathers an unbounded conversation whatever the numbers are. The work is built-in
-expressions only: one shuffle by (conversation, part), the distinct speakers, one join.
+expressions only: one shuffle of texts, by (conversation, part), to which the distinct speakers come.
 
 Defined results: a null text is rendered as empty, a null role is the speaker ``unknown``, a null
 turn number counts as 0, equal turn numbers are ordered by role and text, repeated rows are rendered
@@ -36,10 +36,12 @@ def rotate(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
     dialogue = (t.where("conv_id is not null").withColumn("piece", F.floor((nth - 1) / max_turns).cast("bigint"))
                 .groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_list(turn)).alias("turns")))
     heard = t.where("role <> 'system'")
-    speakers = heard.where("conv_id is not null").select(F.col("conv_id"), F.col("role").alias("speaker")).distinct()
+    speakers = heard.where("conv_id is not null").select("conv_id", F.col("role").alias("speaker")).distinct()
+    # the few columns of who speaks go to the parts, so that texts move once and a long conversation stays spread
+    voices = t.where("conv_id is not null").select("conv_id", "part").distinct().join(speakers, "conv_id")
     alone = heard.where("conv_id is null").select(
         "conv_id", "part", F.lit(0).cast("bigint").alias("piece"), F.array(turn).alias("turns"), F.col("role").alias("speaker"))
-    said = dialogue.join(speakers, "conv_id").unionByName(alone)
+    said = dialogue.join(voices, ["conv_id", "part"]).unionByName(alone)
     said = said.withColumn("heads", F.transform("turns", lambda x: F.concat(
         F.lit(OPEN),
         F.when(x["role"] == F.col("speaker"), F.lit("assistant"))
