@@ -19,8 +19,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by SimHash the document of the smallest id stays."""
-    return simhash.deduplicated(docs)
+    """Of each group linked by SimHash one document stays, that of the smallest id."""
+    return simhash.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

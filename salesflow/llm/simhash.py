@@ -62,16 +62,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed 64-bit integer."""
+def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
+                     key_col: str | None = None) -> DataFrame:
+    """(doc_id, fp) with the fingerprint as a signed 64-bit integer, and a string column as ``key`` if one is named."""
+    more = [] if key_col is None else ["key"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), *batch.columns[2:]],
+                                             ["doc_id", "fp", *more])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(
-        run, "doc_id bigint, fp bigint")
+    return docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string"), *([key_col] if more else []),
+    ).mapInArrow(run, "doc_id bigint, fp bigint" + (", key string" if more else ""))
 
 
 def band_masks(max_bits: int = MAX_BITS, bands: int = BANDS) -> list[int]:
@@ -174,20 +178,47 @@ def linked(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS) -> DataFrame:
-    """Per document: id, fingerprint (16 hex digits), component_id."""
-    marked = stored(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
+def _groups(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, component, component_id) of the fingerprints of ``marked`` (doc_id, fp); component is a fingerprint of the group."""
     classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "fp-classes")
     joined = components(linked(classes.select("fp"), max_bits), "fp-components")
     named = classes.join(joined, classes.fp == joined.id, "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("component"))
     smallest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    label = stored(named.join(smallest, "component").select("fp", "component_id"), "fp-labels")
-    return marked.join(label, "fp").select(
+    return stored(named.join(smallest, "component").select("fp", "component", "component_id"), "fp-labels")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """Per document: id, fingerprint (16 hex digits), component_id."""
+    marked = stored(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
+    return marked.join(_groups(marked, max_bits), "fp").select(
         F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, that of the smallest id and then the smallest text; all columns are kept.
+
+    A row without an id stays only where no row of its component has one. Rows that share an id but not
+    a component are different documents. Texts are compared only where rows of one component share its id.
+    """
+    text = F.col(text_col).cast("string")
+    key = F.concat(F.coalesce(F.col(id_col).cast("bigint").cast("string"), F.lit("")), F.lit(":"),
+                   F.coalesce(F.md5(text.cast("binary")), F.lit("")))  # of the id and text of a row
+    keyed = docs.withColumn("__key", key)
+    marked = stored(with_fingerprint(keyed, id_col, text_col, key_col="__key"), "keyed-fingerprints")
+    first = marked.join(_groups(marked), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        "component", F.col("key").alias("__key")).distinct()
+    first = stored(first, "first-rows")
+    counted = stored(first.groupBy("component").agg(F.min("__key").alias("__key"), F.count("*").alias("n")), "first-keys")
+    keep, tied = counted.where("n = 1").select("__key"), counted.where("n > 1").select("component")
+    if not tied.isEmpty():
+        texts = keyed.select("__key", text.alias("text")).join(first.join(tied, "component"), "__key")
+        smallest = texts.groupBy("component").agg(F.min(F.struct("text", "__key")).alias("low"))
+        keep = keep.unionByName(smallest.select("low.__key"))
+    return keyed.dropDuplicates(["__key"]).join(keep, "__key").select(docs.columns)
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component; all columns are kept.
 

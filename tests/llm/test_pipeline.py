@@ -57,6 +57,13 @@ def test_changed_texts_have_their_new_length(spark):
     assert out.where(F.length(F.coalesce("text", F.lit(""))) != F.col("n_chars")).count() == 0
 
 
+def test_shared_and_missing_ids_lose_no_group(spark):
+    """With the ids that two texts share and the rows without an id."""
+    rows = documents(5, 60)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted_rows(corpus_pipeline.near_duplicates(spark, df, "")) == test_simhash.one_of_each(rows)
+
+
 def test_registered_names():
     import __spark_entry__
 

@@ -102,3 +102,29 @@ def test_components(spark, edges):
     want = reach({x for e in known for x in e}, known)
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == want
+
+
+def one_of_each(rows):
+    fp = [slow_fingerprint(t) for _, t in rows]
+    up = reach(range(len(rows)), [(i, j) for i, j in combinations(range(len(rows)), 2) if (fp[i] ^ fp[j]).bit_count() <= 2])
+    best = {}
+    for i, (d, t) in enumerate(rows):
+        mine = (d is None, d or 0, t is not None, t or "")
+        best[up[i]] = min(best.get(up[i], (mine, (d, t))), (mine, (d, t)), key=lambda x: x[0])
+    return sorted((r for _, r in best.values()), key=str)
+
+
+def test_one_row_of_every_group_stays(spark):
+    """Also where two groups share an id, a group's smallest id has another text first in order, or no row has an id."""
+    near, far = "the quick brown fox jumps over the lazy dog", "zu längst ou x of and License"
+    rows = [(3, near), (5, near), (5, far), (9, far), (6, "x y z"), (6, "u v w"), (None, "no id a b"), (None, "no id a b"), (None, far)]
+    assert sorted_rows(simhash.one_of_each(frame(spark, rows))) == one_of_each(rows)
+    assert one_of_each(rows) == sorted([(3, near), (5, far), (6, "x y z"), (6, "u v w"), (None, "no id a b")], key=str)
+    words = [f"w{i}" for i in range(300)]  # the smallest id has two near texts
+    tied = [(1, " ".join(words + [x])) for x in "ba"] + [(2, " ".join(words)), (1, "other words here")]
+    assert len(one_of_each(tied)) == 2 and sorted_rows(simhash.one_of_each(frame(spark, tied))) == one_of_each(tied)
+    rows = documents(2, 60)
+    df = crowded(frame(spark, rows))
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns and sorted_rows(got.select("doc_id", "text")) == one_of_each(rows)
+    assert simhash.one_of_each(df.limit(0)).collect() == []
