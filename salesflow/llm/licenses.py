@@ -14,9 +14,12 @@ not occur even as substrings; both tests are upper bounds of coverage, so no lic
 
 Every text is scanned whole, by itself, in the task that reads it; there is no shuffle.
 
+A template's naming words (``NAMING``: what tells its license from its neighbours, such as the abbreviation and the
+version) must all be aligned, each phrase of them with consecutive words of the text, so that the one word that
+differs in another license's notice, or is put in between, is never among those that may be missing.
+
 Defined results: a null, empty or blank text has no license (null name, coverage 0, no places). Among
-templates found the one with the highest coverage is reported, then the longest, then the first in the list; its
-first best place counts. Repeated rows repeat; an empty table gives an empty result; other columns are not
+templates found the one with the highest coverage is reported, then the longest, then the first in the list, with its first best place. Repeated rows repeat; an empty table gives an empty result; other columns are not
 read.
 """
 
@@ -57,6 +60,52 @@ TEMPLATES: Mapping[str, str] = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."),
+    # neighbours of the licenses above: the same wording but for the words that name them
+    "Apache": "Released under the Apache License.",
+    "BSD": "Released under the BSD License.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-v2": "This work is licensed under the GNU General Public License v2.",
+    "GPL-3.0-v3": "This work is licensed under the GNU General Public License v3.",
+    "LGPL-2.1": "Licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0": "Licensed under the GNU Affero General Public License, version 3.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-SA-4.0-long": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC-BY-NC-4.0-long": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+}
+
+# The words without which a notice is another license's; words of one phrase follow each other.
+NAMING: Mapping[str, tuple[str, ...]] = {
+    "MIT": ("mit",),
+    "Apache-2.0": ("apache", "2.0"),
+    "GPL-3.0": ("gnu general public license", "version 3"),
+    "CC-BY-NC-4.0": ("cc by nc 4.0",),
+    "CC-BY-4.0": ("attribution 4.0",),
+    "MPL-2.0": ("mozilla", "2.0"),
+    "BSD-3-Clause": ("bsd",),
+    "Apache-2.0-header": ("apache", "2.0"),
+    "GPL-3.0-header": ("gnu general public license", "version 3"),
+    "Apache": ("apache",),
+    "BSD": ("bsd",),
+    "GPL-2.0": ("gnu general public license", "version 2"),
+    "GPL-2.0-v2": ("gnu general public license", "v2"),
+    "GPL-3.0-v3": ("gnu general public license", "v3"),
+    "LGPL-2.1": ("gnu lesser general public license", "version 2.1"),
+    "LGPL-3.0": ("gnu lesser general public license", "version 3"),
+    "AGPL-3.0": ("gnu affero general public license", "version 3"),
+    "CC-BY-4.0-short": ("cc by 4.0",),
+    "CC-BY-SA-4.0": ("cc by sa 4.0",),
+    "CC-BY-ND-4.0": ("cc by nd 4.0",),
+    "CC-BY-NC-SA-4.0": ("cc by nc sa 4.0",),
+    "CC-BY-NC-ND-4.0": ("cc by nc nd 4.0",),
+    "CC-BY-SA-4.0-long": ("attribution sharealike 4.0",),
+    "CC-BY-NC-4.0-long": ("attribution noncommercial 4.0",),
 }
 WORD = re.compile(r"\w+(?:\.\w+)*")
 
@@ -111,19 +160,34 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _phrases(template: list[str], naming: tuple[str, ...]) -> list[tuple[int, int]]:
+    """First and last place in the template of each naming phrase."""
+    out = []
+    for words in map(str.split, naming):
+        at = next(i for i in range(len(template)) if template[i:i + len(words)] == words)
+        out.append((at, at + len(words) - 1))
+    return out
+
+
 class Scanner:
     """The templates, prepared once per task."""
 
-    def __init__(self, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> None:
+    def __init__(self, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
+                 naming: Mapping[str, tuple[str, ...]] = NAMING) -> None:
         self.threshold = threshold
         self.prepared = []
         for name, text in templates.items():
             words = words_of(text)
             count = Counter(words)
+            # naming words are for the fixed wording only, not for another template of that name
+            named = naming.get(name, ()) if text == TEMPLATES.get(name) else ()
             # long words first: the test that rejects most texts soonest
-            self.prepared.append((name, words, sorted(count.items(), key=lambda x: (-len(x[0]), x[0]))))
+            self.prepared.append((name, words, sorted(count.items(), key=lambda x: (-len(x[0]), x[0])),
+                                  sorted({w for p in named for w in p.split()}, key=lambda w: (-len(w), w)), _phrases(words, named)))
 
-    def _may_hold(self, text: str, words: list[str], counts: list[tuple[str, int]]) -> bool:
+    def _may_hold(self, text: str, words: list[str], counts: list[tuple[str, int]], named: list[str]) -> bool:
+        if any(word not in text for word in named):
+            return False
         spare = len(words) * (1 - self.threshold) + 1e-9
         for word, n in counts:
             if word not in text:
@@ -132,36 +196,49 @@ class Scanner:
                     return False
         return True
 
-    def _best(self, text: list[str], template: list[str]) -> tuple[float, int, int, int] | None:
-        """(coverage, words aligned, first place, last place) in the first best stretch."""
+    def _hits(self, text: list[str], template: list[str], phrases: list[tuple[int, int]]) -> list[tuple[float, int, int, int]]:
+        """(coverage, words aligned, first place, last place) of all places, best first; none overlap."""
         m, own = len(template), set(template)
         hits = [0]
         for w in text:
             hits.append(hits[-1] + (w in own))
         step, width = max(1, m // 2), m + (m + 1) // 2
         starts = set(range(0, max(1, len(text) - m + step), step)) | {i for i, w in enumerate(text) if w == template[0]}
-        best, need = None, self.threshold * m - 1e-9
+        found, need = set(), self.threshold * m - 1e-9
         for at in sorted(starts):
             end = min(len(text), at + width)
             if hits[end] - hits[min(at, end)] < need:
                 continue
             pairs = align(template, text[at:end])
-            if len(pairs) >= need and (best is None or len(pairs) > best[1]):
-                places = [at + j for _, j in pairs]
-                best = (len(pairs) / m, len(pairs), places[0], places[-1])
-        return best
+            if len(pairs) < need:
+                continue
+            place = dict(pairs)
+            if all(place.get(k, -1) == place.get(a, -2) + k - a for a, b in phrases for k in range(a, b + 1)):
+                found.add((-len(pairs), at + pairs[0][1], at + pairs[-1][1]))
+        taken: list[tuple[int, int]] = []  # places by their first word
+        out = []
+        for n, first, last in sorted(found):
+            i = bisect_left(taken, (first, last))
+            if (i == 0 or taken[i - 1][1] < first) and (i == len(taken) or last < taken[i][0]):
+                taken.insert(i, (first, last))
+                out.append((-n / m, -n, first, last))
+        return out
 
-    def scan(self, text: str | None) -> list[tuple[str, float, int, int, int]]:
-        """(license, coverage, words aligned, first place, last place) of every license found, best first."""
+    def scan_all(self, text: str | None) -> list[tuple[str, list[tuple[float, int, int, int]]]]:
+        """(license, places) of every license found, best first; a place is (coverage, words aligned, first place, last place)."""
         low = (text or "").lower()
-        possible = [x for x in self.prepared if self._may_hold(low, x[1], x[2])]
+        possible = [x for x in self.prepared if self._may_hold(low, *x[1:4])]
         if not possible:
             return []
         words = words_of(low)
-        found = [(-hit[0], -len(template), order, (name, *hit)) for order, (name, template, _) in enumerate(possible)
-                 if template and (hit := self._best(words, template))]
+        found = [(-hits[0][0], -len(template), order, (name, hits)) for order, (name, template, *_, phrases) in enumerate(possible)
+                 if template and (hits := self._hits(words, template, phrases))]
         return [x[3] for x in sorted(found)]
 
+    def scan(self, text: str | None) -> list[tuple[str, float, int, int, int]]:
+        """(license, coverage, words aligned, first place, last place) of every license found, best first."""
+        return [(name, *hits[0]) for name, hits in self.scan_all(text)]
+
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

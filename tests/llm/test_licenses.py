@@ -80,3 +80,23 @@ def test_alignment_is_increasing_and_longest():
             longest[k] = 1 + max([longest[x] for x in range(k) if v[x] < v[k]], default=0)
         assert len(picked) == max(longest, default=0)
     assert align("x a y b".split(), "a x b y".split()) == [(1, 0), (3, 2)] or len(align("x a y b".split(), "a x b y".split())) == 2
+
+
+def test_a_neighbour_is_never_taken_for_a_license():
+    scanner = Scanner()
+    for text, want in [
+            ("Released under the BSD License.", "BSD"), ("Released under the Apache License.", "Apache"),
+            ("Released under the ISC License.", None), ("Released under the MIT License.", "MIT"),
+            ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0-short"),
+            ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY-NC 3.0.", None),
+            ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+            ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+            ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+            ("This work is licensed under the GNU General Public License, version 4.", None),
+            ("Licensed under the Educational Community License, Version 2.0.", None),
+            ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0-long")]:
+        names = [name for name, *_ in scanner.scan(f"some words {text} and more")]
+        assert names[:1] == ([want] if want else []), text
+        assert len(names) <= 1
+    for name, notice in TEMPLATES.items():
+        assert scanner.scan(notice)[0][1] == 1.0 and name in [x[0] for x in scanner.scan(notice)]
