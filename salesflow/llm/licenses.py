@@ -18,8 +18,10 @@ A template's naming words (``NAMING``: what tells its license from its neighbour
 version) must all be aligned, each phrase of them with consecutive words of the text, so that the one word that
 differs in another license's notice, or is put in between, is never among those that may be missing.
 
-Defined results: a null, empty or blank text has no license (null name, coverage 0, no places). Among
-templates found the one with the highest coverage is reported, then the longest, then the first in the list, with its first best place. Repeated rows repeat; an empty table gives an empty result; other columns are not
+Defined results: a null, empty or blank text has no license (null name, coverage 0, no places). All templates found
+are listed, each with all its places that do not overlap (better ones first, then earlier ones). The one with the
+highest coverage is reported besides, then the longest, then the first in the list, with its first best place. A text may
+hold a longer and a shorter wording of one notice; both are listed. Repeated rows repeat; an empty table gives an empty result; other columns are not
 read.
 """
 
@@ -240,25 +242,34 @@ class Scanner:
         return [(name, *hits[0]) for name, hits in self.scan_all(text)]
 
 
+LISTED = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("n_aligned", pa.int64()),
+                             ("first_word", pa.int64()), ("last_word", pa.int64())]))
+
+
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, license, coverage, n_aligned, first_word, last_word (places of words in the text), n_found."""
+    """Per row: id, license, coverage, n_aligned, first_word, last_word (places of words in the text), n_found, and
+    found: these five for every place of every license, the best license first."""
     wording = dict(templates)
     kind = dict(docs.dtypes)[id_col]
+    names = LISTED.value_type.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(wording, threshold)
         for batch in batches:
-            rows = []
+            rows, listed = [], []
             for text in batch.column(1):
-                found = scanner.scan(text.as_py())
-                rows.append((*(found[0] if found else (None, 0.0, 0, None, None)), len(found)))
+                found = scanner.scan_all(text.as_py())
+                best = (found[0][0], *found[0][1][0]) if found else (None, 0.0, 0, None, None)
+                rows.append((*best, len(found)))
+                listed.append([dict(zip(names, (name, *hit))) for name, hits in found for hit in hits])
             cols = list(zip(*rows)) if rows else [[]] * 6
             types = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types))],
-                [id_col, "license", "coverage", "n_aligned", "first_word", "last_word", "n_found"])
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types)), pa.array(listed, LISTED)],
+                [id_col, *names, "n_found", "found"])
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
         run, f"{id_col} {kind}, license string, coverage double, n_aligned bigint, first_word bigint, "
-             "last_word bigint, n_found bigint")
+             "last_word bigint, n_found bigint, found array<struct<license: string, coverage: double, n_aligned: bigint, "
+             "first_word: bigint, last_word: bigint>>")

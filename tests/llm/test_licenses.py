@@ -100,3 +100,15 @@ def test_a_neighbour_is_never_taken_for_a_license():
         assert len(names) <= 1
     for name, notice in TEMPLATES.items():
         assert scanner.scan(notice)[0][1] == 1.0 and name in [x[0] for x in scanner.scan(notice)]
+
+
+def test_every_license_and_place_is_in_the_result(spark):
+    apache, nc, mit = TEMPLATES["Apache-2.0"], TEMPLATES["CC-BY-NC-4.0"], TEMPLATES["MIT"]
+    rows = [(1, f"first {apache} then {nc} and {mit} or {mit}"), (2, None), (3, "no notice")]
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    r = got[1]
+    places = {(x.license, x.coverage, x.first_word, x.last_word) for x in r.found}
+    assert {("Apache-2.0", 1.0, 1, 7), ("CC-BY-NC-4.0", 1.0, 9, 14), ("MIT", 1.0, 16, 20), ("MIT", 1.0, 22, 26)} <= places
+    assert (r.license, r.first_word, r.last_word) == tuple(r.found[0][k] for k in ("license", "first_word", "last_word"))
+    assert r.n_found == len({x.license for x in r.found}) and len(r.found) == len(places)
+    assert [len(got[i].found) for i in (2, 3)] == [0, 0]
