@@ -5,11 +5,13 @@ backwards, labels every byte position with a probability for each language it ha
 document's probabilities are the mean over all its positions. It is trained here, in numpy, by
 backpropagation through time, from text and label alone.
 
-Training uses a bounded sample, the only bound in this module: about ``SAMPLE_PER_LANGUAGE`` documents
-of different ids of each language, at most ``SAMPLE_DOCUMENTS`` in all, and ``SAMPLE_WINDOWS`` windows of each,
+Training uses a bounded sample: about ``SAMPLE_PER_LANGUAGE`` documents of different ids of each language, at most
+``SAMPLE_DOCUMENTS`` in all, of which every language has an equal quota, and ``SAMPLE_WINDOWS`` windows of each,
 spread over its text and cut where the text is read: two MB of windows come to the driver at most, and no
 text. The sample is chosen by a hash of the id, so it is the same on every run and
-at every partitioning, and the weights are a few tens of KB whatever the input. Prediction
+at every partitioning, and the weights are a few tens of KB whatever the input. A language with fewer documents
+than its quota is sampled whole. The other bound is that of the labels: of more than ``LABELS`` the most frequent are
+learned, since every label takes memory at every position; documents of the others get a label that was. Prediction
 reads every byte of every text, in batches of windows of fixed size. A window that a text does not fill is
 filled up with zero bytes; so are some windows in training, and no such position counts.
 
@@ -26,11 +28,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW, HIDDEN, BATCH = 128, 12, 2048
-SAMPLE_PER_LANGUAGE, SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 400, 8000, 4
+SAMPLE_PER_LANGUAGE, SAMPLE_DOCUMENTS, SAMPLE_WINDOWS, LABELS = 400, 8000, 4, 800
 TRAIN_WINDOW, TRAIN_BATCH, TRAIN_STEPS, RATE, CUT_SHORT = 64, 192, 700, 0.02, 0.4
 UNKNOWN, MIN_SCORE = "und", 0.25
 Weights = dict[str, np.ndarray]
@@ -198,17 +200,20 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     # ids, not rows: an id that very many rows share is in the sample as a whole or not at all
     counts = {r["lang"]: max(1, r["n"]) for r in known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(SAMPLE_DOCUMENTS // 10).collect()}
+              .orderBy(F.desc("n"), "lang").limit(LABELS).collect()}
     if not counts:
         return None
+    quota = max(1, SAMPLE_DOCUMENTS // len(counts))
+    drawn = min(SAMPLE_PER_LANGUAGE, 2 * quota)  # more than the quota, so that a small one is filled
+    limits = [(lang, min(1.0, drawn / n) * float(1 << 40)) for lang, n in counts.items()]
+    below = F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, below double"))
     order = F.pmod(F.xxhash64(F.lit(11), F.col("doc_id")), F.lit(1 << 40))
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, SAMPLE_PER_LANGUAGE / n))).otherwise(share)
-    sample = (known.where(order < share * float(1 << 40)).select(order.alias("order"), "lang", "text")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "windows"))
+    sample = (known.join(below, "lang").where(order < F.col("below")).select(order.alias("order"), "lang", "text")
               .mapInArrow(_cut, "order bigint, lang string, windows binary")
               .groupBy("order", "lang").agg(F.min("windows").alias("windows"))  # one row of each id
-              .orderBy("order", "windows", "lang").limit(SAMPLE_DOCUMENTS).collect())
+              .withColumn("rank", rank).where(F.col("rank") <= quota)
+              .orderBy("order", "windows", "lang").collect())
     languages = sorted({r["lang"] for r in sample})
     windows = np.frombuffer(b"".join(r["windows"] for r in sample), np.uint8).reshape(-1, TRAIN_WINDOW)
     label = np.repeat([languages.index(r["lang"]) for r in sample], [len(r["windows"]) // TRAIN_WINDOW for r in sample])

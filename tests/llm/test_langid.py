@@ -98,3 +98,23 @@ def test_texts_shorter_than_a_window(spark):
     truth = {i: lang for i, _, lang in rows}
     short = [r for r in got if r.doc_id >= 10_000]
     assert np.mean([truth[r.doc_id] == r.lang_pred for r in short]) > 0.85
+
+
+def test_rare_languages_are_in_the_sample(spark, monkeypatch):
+    """More labels than the sample holds at SAMPLE_PER_LANGUAGE each, of very different size."""
+    monkeypatch.setattr(langid, "SAMPLE_PER_LANGUAGE", 4)
+    monkeypatch.setattr(langid, "SAMPLE_DOCUMENTS", 80)
+    monkeypatch.setattr(langid, "LABELS", 30)
+    monkeypatch.setattr(langid, "train", lambda windows, label, n: np.bincount(label, minlength=n))
+    size = {f"c{k:02}": 400 for k in range(20)} | {f"r{k}": 4 for k in range(5)}
+    rows, at = [], 0
+    for lang, n in size.items():
+        for _ in range(n):
+            while zlib.crc32(str(at).encode()) % 4 == 2:  # held out
+                at += 1
+            rows.append((at, "one window", lang))
+            at += 1
+    languages, count = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    have = dict(zip(languages, count.tolist()))
+    assert sorted(have) == sorted(size) and sum(have.values()) <= 80
+    assert all(have[f"r{k}"] == 3 for k in range(5))
