@@ -1,11 +1,12 @@
 """Embedding near-duplicates by lattice hashing.
 
 In each of ``TABLES`` tables a vector, scaled to length one, is projected to eight random orthonormal
-directions, stretched by ``STRETCH`` and decoded to the nearest point of the E8 lattice: its home
+directions, stretched and decoded to the nearest point of the E8 lattice: its home
 cell. It also visits the ``PROBES`` neighbouring lattice points (of the 240 minimal vectors around
 the home) that lie nearest to it. Two vectors meet where one is at home and the other is at home or
 visits, and a meeting is confirmed by the cosine in double precision. Vectors meet only inside their
-label.
+label. Eight of d directions keep sqrt(8/d) of a distance, so the stretch is ``STRETCH`` at ``WIDTH`` components and
+grows with the root of the number of components: the share of links met is about the same at every width.
 
 Equal vectors of a label are folded into one class before anything is compared, so a group of copies
 of any size is one row. Only the keys of cells travel at first; vectors are sent on only to cells in
@@ -38,7 +39,7 @@ from .common import components, stored
 from .simhash import forest
 
 COSINE, TABLES, PROBES, STRETCH, BLOCK = 0.93, 4, 8, 7.0, 512
-DIMS = 8
+DIMS, WIDTH = 8, 64
 PAIRS_AT_ONCE = 1 << 16
 
 
@@ -80,10 +81,16 @@ def _directions(table: int, dims: int) -> np.ndarray:
     return np.linalg.qr(g)[0] if dims >= DIMS else g / np.sqrt(dims)
 
 
+def stretch_of(dims: int) -> float:
+    """The stretch of vectors of so many components."""
+    return STRETCH * float(np.sqrt(dims / WIDTH))
+
+
 def cells(unit: np.ndarray, label: np.ndarray, tables: int = TABLES, probes: int = PROBES,
-          stretch: float = STRETCH) -> np.ndarray:
+          stretch: float | None = None) -> np.ndarray:
     """64-bit cell keys, (rows, tables, 1 + probes); the first of each table is the home."""
     rows, dims = unit.shape
+    stretch = stretch_of(dims) if stretch is None else stretch
     weights = np.random.default_rng(7).integers(1, 1 << 62, DIMS + 3, np.int64) * 2 + 1  # products wrap around
     out = np.empty((rows, tables, 1 + probes), np.int64)
     for t in range(tables):

@@ -88,6 +88,21 @@ def test_recall_at_the_threshold():
         assert met.mean() >= least
 
 
+@pytest.mark.parametrize("dims", [2, 4, 8, 16, 32, 128, 768])
+def test_recall_and_cells_at_other_widths(dims):
+    """As many pairs meet as at 64 components, and random vectors do not crowd into a few cells."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2000, dims))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    o = rng.standard_normal((2000, dims))
+    o -= (o * x).sum(1)[:, None] * x
+    o /= np.linalg.norm(o, axis=1)[:, None]
+    a, b = (lattice.cells(v, np.zeros(2000)) for v in (x, 0.93 * x + np.sqrt(1 - 0.93**2) * o))
+    assert ((a == b[:, :, :1]) | (b == a[:, :, :1])).any((1, 2)).mean() >= 0.9
+    assert dims < 8 or np.unique(a[:, 0, 0], return_counts=True)[1].max() < 100
+    assert lattice.stretch_of(64) == lattice.STRETCH
+
+
 def test_decoder_finds_the_nearest_point():
     rng = np.random.default_rng(1)
     z = rng.standard_normal((300, 8)) * 3
