@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bytebpe, chat, convrepair, ctph, langid, lattice, licenses, packing, sharding, simhash, suffixes, urlfilter
+from . import bytebpe, chat, collocations, convrepair, ctph, langid, lattice, licenses, packing, sharding, simhash, suffixes, urlfilter
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -57,6 +57,10 @@ def op10_lookup_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convrepair.report(convrepair.damage(_table(spark, sf_dir, "conversations")))
 
@@ -71,11 +75,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_simhash_pivots, op3_suffix_dedup, op4_language_id, op5_chat_perspectives, op6_byte_bpe,
         op7_embedding_lattice, op8_piecewise_fingerprints, op9_length_buckets, op10_lookup_sharding,
-        op12_conversation_repair, op13_url_filter)
+        op11_phrase_collocations, op12_conversation_repair, op13_url_filter)
 }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express; the others are tested by brute force."""
     return {"op5_chat_perspectives": chat.ORACLE, "op9_length_buckets": packing.oracle_sql(),
-            "op13_url_filter": urlfilter.oracle_sql()}
+            "op11_phrase_collocations": collocations.oracle_sql(), "op13_url_filter": urlfilter.oracle_sql()}
