@@ -53,7 +53,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-def _hadoop(spark: SparkSession, folder: str):
+def hadoop_path(spark: SparkSession, folder: str):
     """The folder's file system and path."""
     sc = spark.sparkContext
     path = sc._jvm.org.apache.hadoop.fs.Path(folder)
@@ -72,7 +72,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     earlier by ``drop_scratch``. Nothing that is to stay may be written there.
     """
     folder = scratch_root(spark)
-    fs, path = _hadoop(spark, folder)
+    fs, path = hadoop_path(spark, folder)
     if not fs.exists(path):
         fs.mkdirs(path)
         fs.deleteOnExit(path)
@@ -81,7 +81,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete all that this application has written to its scratch folder; results read from it are gone too."""
-    fs, path = _hadoop(spark, scratch_root(spark))
+    fs, path = hadoop_path(spark, scratch_root(spark))
     fs.delete(path, True)
 
 
