@@ -38,6 +38,11 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**trigger) if trigger else writer
 
 
+def start(writer, trigger: dict | None = None) -> StreamingQuery:
+    """Start a stream writer that needs no path or table (one batch function)."""
+    return _trigger(writer, trigger).start()
+
+
 def append_to_table(df: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
                     query_name: str | None = None) -> StreamingQuery:
     """Append a stream to a catalog table (the table must exist; see ``ensure_table``)."""

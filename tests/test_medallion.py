@@ -68,3 +68,45 @@ def test_layers_keep_order_and_descriptions(spark):
         assert told["Comment"] == SILVER_CONTRACT.description
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def days(spark, *rows):
+    import datetime as dt
+    return bronze(spark, [(i, 1, m, dt.datetime(*d)) for i, m, d in rows])
+
+
+def test_rebuilt_months_read_and_write_these_months_only(spark):
+    from salesflow.plans.medallion import build_silver_version, rebuild_silver_months
+    root, landing = scratch_path(spark, "silver"), scratch_path(spark, "bronze")
+    first = days(spark, (1, 1.0, (2024, 1, 31)), (2, 2.0, (2024, 2, 1)), (3, 3.0, (2024, 2, 29)), (4, 4.0, (2024, 12, 31)), (5, 5.0, (2025, 1, 1)))
+    before = build_silver_version(spark, first, root).inputFiles()
+    days(spark, (1, 10.0, (2024, 1, 31)), (3, 30.0, (2024, 2, 29)), (6, 60.0, (2024, 2, 10)), (4, 40.0, (2024, 12, 31))).write.parquet(landing)
+    silver = rebuild_silver_months(spark, spark.read.parquet(landing), root, [(2024, 2), (2025, 1)])
+    # January and December 2024 stay as they were, January 2025 has no sales any more
+    assert sorted((r.venta_id, r.monto) for r in silver.collect()) == [(1, 1.0), (3, 30.0), (4, 4.0), (6, 60.0)]
+    kept = [f for f in before if "anio_venta=2024/mes_venta=2" not in f and "anio_venta=2025" not in f]
+    assert len(kept) == 2 and set(kept) < set(silver.inputFiles())
+    assert silver.schema["monto"].metadata["comment"]
+
+
+def test_rebuilt_months_reach_the_scan(spark):
+    from pyspark.sql import functions as F
+    from salesflow.operators.layers import to_silver
+    landing = scratch_path(spark, "bronze")
+    days(spark, (1, 1.0, (2024, 1, 31))).write.parquet(landing)
+    plan = to_silver(spark.read.parquet(landing)).where(F.expr("fecha_venta >= TIMESTAMP_NTZ '2024-01-01 00:00:00'"))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(fecha" in plan
+
+
+def test_a_failing_rebuild_leaves_silver_as_it_was(spark):
+    from salesflow.plans.medallion import build_silver_version, rebuild_silver_months
+    root = scratch_path(spark, "silver")
+    import datetime as dt
+    build_silver_version(spark, days(spark, (1, 1.0, (2024, 1, 31))), root)
+    bad = bronze(spark, [(None, 1, 5.0, dt.datetime(2024, 1, 2))])
+    for rebuild in (lambda: build_silver_version(spark, bad, root), lambda: rebuild_silver_months(spark, bad, root, [(2024, 1)])):
+        with pytest.raises(DataQualityError, match="venta_id not_null: 1"):
+            rebuild()
+    from salesflow.sources.versions import read_layer
+    assert [r.venta_id for r in read_layer(spark, root).collect()] == [1]
+    assert [r.venta_id for r in rebuild_silver_months(spark, bad, root, []).collect()] == [1]
