@@ -6,7 +6,9 @@ in PERMISSIVE mode; good rows and quarantined rows come out of the same parse.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,13 +16,14 @@ from ..functions.jsonfmt import infer_json_schema, parse_json_permissive, row_to
 from ..schemas import CORRUPT_COLUMN, GOOD, QUARANTINE, SALE_EVENT
 
 
-def encode_messages(df: DataFrame, key: str | None = "tienda_id", columns: list[str] | None = None) -> DataFrame:
-    """(key, value) text per row: key = the key column as text ('' when NULL), value = JSON.
+def encode_messages(df: DataFrame, key: str | None = "tienda_id", columns: list[str] | None = None,
+                    also: Sequence[Column] = ()) -> DataFrame:
+    """(key, value) text per row: key = the key column as text ('' when NULL), value = JSON; ``also`` are further columns.
 
-    A broker assigns partitions by key, so rows are not grouped by key here.
+    A broker assigns partitions by key, so rows are not grouped by key here (``operators.ordered`` numbers them within it).
     """
     key_col = F.coalesce(F.col(key).cast("string"), F.lit("")) if key else F.lit(None).cast("string")
-    return df.select(key_col.alias("key"), row_to_json(df, columns).alias("value"))
+    return df.select(key_col.alias("key"), row_to_json(df, columns).alias("value"), *also)
 
 
 def as_binary_messages(messages: DataFrame) -> DataFrame:
