@@ -20,7 +20,7 @@ How phrases are counted without moving their texts, in four steps over tables in
 A phrase of any frequency has one entry a block. What is frequent, and the candidates' parts, are joined by Spark; a word that is
 part of a third of all candidates meets one row on the other side, and adaptive execution splits its rows.
 
-Rows sent in step 2 are blocks x parts, each with the entries of a block that fall in a part: about 330 at 30 GB, 10 at
+Rows sent in step 2 are blocks x parts, each with the entries of a block that fall in a part: about 170 at 30 GB, 5 at
 1 TB. There ``block_bytes`` and ``part_entries`` should be raised with the memory of a task (64 MB and 32 million entries
 give 1,200 at 1 TB and 12 at 100 TB).
 
@@ -47,8 +47,9 @@ from .common import stored
 
 WORDS = 3  # in a phrase, at most
 LEAST, BEST, INSIDE = 10, 2000, 50
-BLOCK_BYTES, PART_ENTRIES = 8 << 20, 4 << 20
+BLOCK_BYTES, PART_ENTRIES = 4 << 20, 4 << 20
 SEGMENT = 1 << 18  # places whose powers are kept
+CHUNK = 1 << 16  # phrases in a batch
 _WORD, _BLANK, _BREAK = range(3)
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[[0x20, 0x09]] = _BLANK
@@ -127,7 +128,6 @@ class Block:
         self.counts, self.lang = self.first < counted[run], lang[run]
         # words of one piece have the same number of breaks and of runs before them
         self.piece = np.cumsum(kind == _BREAK)[self.first] + run
-        self.bytes_in_words = in_word
 
     def words_of_lang(self) -> list[int]:
         return np.bincount(self.lang[self.counts], minlength=len(self.langs)).tolist()
@@ -156,11 +156,13 @@ class Block:
         _, some, number = np.unique(self.symbol, return_index=True, return_inverse=True)
         size, like = self.last - self.first, some[number]
         same = size == size[like]
-        place = np.flatnonzero(self.bytes_in_words)
-        other = np.minimum(place + np.repeat(self.first[like] - self.first, size), len(self.data) - 1)
-        differ = np.concatenate([[0], np.cumsum(self.data[place] != self.data[other])])
-        edge = np.cumsum(size)
-        same &= differ[edge] == differ[edge - size]
+        for at in range(0, len(size), SEGMENT):  # the bytes of some words at a time
+            words = slice(at, at + SEGMENT)
+            n, edge = size[words], np.cumsum(size[words])
+            place = np.arange(edge[-1]) + np.repeat(self.first[words] - edge + n, n)
+            other = np.minimum(place + np.repeat((self.first[like] - self.first)[words], n), len(self.data) - 1)
+            differ = np.concatenate([[0], np.cumsum(self.data[place] != self.data[other])])
+            same[words] &= differ[edge] == differ[edge - n]
         raw = self.data.tobytes()
         texts = [raw[a:b].decode() for a, b in zip(self.first[some].tolist(), self.last[some].tolist())]
         known: dict[str, int] = {}
@@ -172,41 +174,38 @@ class Block:
             number[w] = known[text]
         return number, texts
 
-    def frequent(self, marked: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
-        """(language, phrase, number of words, count) of the entries that are marked."""
+    def frequent(self, marked: np.ndarray) -> Iterator[tuple[np.ndarray, list[str], np.ndarray, np.ndarray]]:
+        """(language, phrase, number of words, count) of the entries that are marked, ``CHUNK`` at a time."""
         key, at, n = self.phrases()
-        order = np.argsort(key, kind="stable")
-        fresh = np.diff(key[order], prepend=~key[order[:1]]) != 0
-        entry = np.cumsum(fresh) - 1
-        order, entry = order[marked[entry]], entry[marked[entry]]
-        number, texts = self.word_ids()
-        number = np.concatenate([number, np.zeros(self.length, number.dtype)])
+        order = np.argsort(key, kind="stable").astype(np.int32)
+        key = key[order]
+        entry = np.cumsum(np.diff(key, prepend=~key[:1]) != 0, dtype=np.int32) - 1
+        del key
+        keep = marked[entry]
+        order, entry = order[keep], entry[keep]
         at, n = at[order], n[order]
+        del order, keep
+        number, texts = self.word_ids()
+        number = np.concatenate([number, np.zeros(self.length, number.dtype)]).astype(np.int32)
         start = np.flatnonzero(np.diff(entry, prepend=-1))
-        like = np.repeat(start, np.diff(np.append(start, len(entry))))
+        count = np.diff(np.append(start, len(entry)))
+        del entry
+        like = np.repeat(start.astype(np.int32), count)
         same = (n == n[like]) & (self.lang[at] == self.lang[at[like]])
         for k in range(self.length):
             same &= (k >= n) | (number[at + k] == number[at[like] + k])
-
-        def text(i: int) -> str:
-            return " ".join([texts[x] for x in number[at[i]:at[i] + n[i]].tolist()])
-
-        count = np.diff(np.append(start, len(entry)))
-        phrases: list[str] = []
-        a, size = at[start], n[start]
-        ids = [number[a + k].tolist() for k in range(self.length)]
-        for j, s in enumerate(size.tolist()):
-            phrases.append(texts[ids[0][j]] if s == 1 else " ".join([texts[x[j]] for x in ids[:s]]))
-        lang = self.lang[a]
-        if not same.all():  # collisions: counted by their own text
-            odd = np.flatnonzero(~same)
-            np.subtract.at(count, np.searchsorted(start, odd, "right") - 1, 1)
-            more = Counter((int(self.lang[at[i]]), text(i), int(n[i])) for i in odd.tolist())
-            lang = np.concatenate([lang, [x for x, _, _ in more]])
-            phrases += [x for _, x, _ in more]
-            size = np.concatenate([size, [x for _, _, x in more]])
-            count = np.concatenate([count, list(more.values())])
-        return lang, phrases, size, count
+        odd = np.flatnonzero(~same)  # collisions: counted by their own text
+        np.subtract.at(count, np.searchsorted(start, odd, "right") - 1, 1)
+        del like, same
+        for a in range(0, len(start), CHUNK):
+            some = start[a:a + CHUNK]
+            ids, size = [number[at[some] + k].tolist() for k in range(self.length)], n[some]
+            phrases = [texts[ids[0][j]] if s == 1 else " ".join([texts[x[j]] for x in ids[:s]]) for j, s in enumerate(size.tolist())]
+            yield self.lang[at[some]], phrases, size, count[a:a + CHUNK]
+        if len(odd):
+            more = Counter((int(self.lang[at[i]]), " ".join([texts[x] for x in number[at[i]:at[i] + n[i]].tolist()]), int(n[i])) for i in odd.tolist())
+            lang, phrases, size = zip(*more)
+            yield np.array(lang), list(phrases), np.array(size), np.array(list(more.values()))
 
 
 # ---- step 1: blocks -----------------------------------------------------------------------------
@@ -357,11 +356,11 @@ def _written(blocks: DataFrame, marks: DataFrame, words: int, parts: int, bits:
                 for mark in marks.as_py():
                     a, b = at[mark["part"]], at[mark["part"] + 1]
                     marked[a:b] = np.unpackbits(np.frombuffer(mark["bits"], np.uint8), count=b - a).astype(bool)
-                lang, phrases, size, count = block.frequent(marked)
-                names = pa.DictionaryArray.from_arrays(pa.array(lang, pa.int32()), pa.array(langs, pa.string())).cast(pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [names, pa.array(phrases, pa.string()), pa.array(size, pa.int32()), pa.array(count, pa.int64())],
-                    ["lang", "phrase", "words", "n"])
+                for lang, phrases, size, count in block.frequent(marked):
+                    names = pa.DictionaryArray.from_arrays(pa.array(lang, pa.int32()), pa.array(langs, pa.string())).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays(
+                        [names, pa.array(phrases, pa.string()), pa.array(size, pa.int32()), pa.array(count, pa.int64())],
+                        ["lang", "phrase", "words", "n"])
 
     return blocks.join(marks, "block").select("langs", "runs", "body", "marks").mapInArrow(
         run, "lang string, phrase string, words int, n bigint")

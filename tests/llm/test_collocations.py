@@ -124,8 +124,8 @@ def test_cut_texts_count_the_same(size):
         if runs:
             block = collocations.Block(b"".join(parts), np.array(runs, np.int64).T.copy(), ["en"])
             key, _ = block.entries()
-            _, phrases, _, n = block.frequent(np.ones(len(key), bool))
-            seen.update(dict(zip(phrases, n.tolist())))
+            for _, phrases, _, n in block.frequent(np.ones(len(key), bool)):
+                seen.update(dict(zip(phrases, n.tolist())))
         assert seen == Counter({" ".join(p[1:]): c for p, c in counts([(0, raw.decode(), "en")])[0].items()})
 
 
