@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,27 +71,31 @@ def to_gold(silver: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
                  exact_avg("monto").alias("monto_promedio_por_transaccion"), *more))
 
 
-def silver_gold_report(silver: DataFrame) -> DataFrame:
+def silver_gold_report(silver: DataFrame, gold_model: Callable[..., DataFrame] = to_gold) -> DataFrame:
     """The contract tests of silver and of the gold made from it, from one pass over silver.
 
-    Silver's NULL counts ride along with the per-store aggregates of gold: what is tested afterwards
-    has one row per store.
+    Silver's NULL counts ride along with the per-store aggregates of gold: what is tested afterwards has one row per
+    store. Gold's key is counted over its rows, which are already partitioned by it, so the test costs no further shuffle.
     """
     nulls = {c: f"__null_{c}" for c in SILVER_CONTRACT.tested("not_null")}
-    gold = to_gold(silver, [F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()])
-    per_store = [F.count_if(F.col(c).isNull()).alias(c) for c in GOLD_CONTRACT.tested("not_null")]
-    sums = gold.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in nulls.values()], *per_store)
-    # grouping by the store makes it unique; the test stays in the report
-    unique = {c: F.lit(0).cast("bigint") for c in GOLD_CONTRACT.tested("unique") if c == "tienda_id"}
-
-    def row(model: str, column: str, test: str, failures: Column) -> Column:
+    gold = gold_model(silver, [F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()])
+    (key,), rows = GOLD_CONTRACT.tested("unique"), F.col("__rows")
+    tested = GOLD_CONTRACT.tested("not_null")
+    per_key = gold.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(n).alias(n) for n in nulls.values()],
+                                    *[F.count_if(F.col(c).isNull()).alias(f"__gold_{c}") for c in tested])
+    counts = {"unique": F.count_if(F.col(key).isNotNull() & (rows > 1))}
+    counts |= {n: F.coalesce(F.sum(n), F.lit(0)) for n in nulls.values()}
+    counts |= {f"__gold_{c}": F.coalesce(F.sum(f"__gold_{c}"), F.lit(0)) for c in tested}
+    sums = per_key.agg(*[c.alias(n) for n, c in counts.items()])
+
+    def row(model: str, column: str, test: str, failures: str) -> Column:
         return F.struct(F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test"),
-                        failures.alias("failures"))
+                        F.col(failures).alias("failures"))
 
     return sums.select(F.inline(F.array(
-        *[row(SILVER_CONTRACT.name, c, "not_null", F.col(n)) for c, n in nulls.items()],
-        *[row(GOLD_CONTRACT.name, c, "unique", n) for c, n in unique.items()],
-        *[row(GOLD_CONTRACT.name, c, "not_null", F.col(c)) for c in GOLD_CONTRACT.tested("not_null")])))
+        *[row(SILVER_CONTRACT.name, c, "not_null", n) for c, n in nulls.items()],
+        row(GOLD_CONTRACT.name, key, "unique", "unique"),
+        *[row(GOLD_CONTRACT.name, c, "not_null", f"__gold_{c}") for c in tested])))
 
 
 def with_comments(df: DataFrame, contract: ModelContract) -> DataFrame:

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.jsonfmt import json_write_options
+from ..functions.jsonfmt import TIMESTAMP_TEXT_FORMAT, json_write_options
+from ..operators.layers import to_bronze
 from ..operators.messages import encode_messages
 from ..sources.files import write_csv
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
@@ -80,3 +81,30 @@ def damaged_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_csv(spark: SparkSession, sf_dir: str, path: str, partitions: int | None = None) -> str:
     """V3 written as a CSV folder with a header (the raw landing files of bronze)."""
     return write_csv(spread(sales_from_orders(spark, sf_dir), partitions), path)
+
+
+def damaged_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged order text, typed: pending orders have no amount, urgent finished ones no date."""
+    return to_bronze(damaged_raw_orders(spark, sf_dir))
+
+
+def clashing_orders(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """V3 as a Parquet folder whose files disagree: the order key modulo 5 tells how its amount and date are written.
+
+    0: amount INT (whole units); 1: amount BIGINT, date as text; 2: amount DOUBLE, columns in another order; 3: amount as text,
+    that of pending orders the word 'pending'; 4: amount DECIMAL, no store.
+    """
+    o = table(spark, sf_dir, "orders")
+    key, store, price, when = (F.col("o_orderkey").alias("id_transaccion"), (F.col("o_custkey") % 100 + 1).cast("int").alias("tienda_id"),
+                               F.col("o_totalprice"), F.col("o_orderdate").alias("fecha"))
+    text = F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(price.cast("string"))
+    shapes = [
+        [key, store, F.floor(price).cast("int").alias("monto"), when],
+        [key, store, F.floor(price).cast("bigint").alias("monto"), F.date_format("o_orderdate", TIMESTAMP_TEXT_FORMAT).alias("fecha")],
+        [price.alias("monto"), when, store, key],
+        [key, store, text.alias("monto"), when],
+        [key, price.cast("decimal(18,2)").alias("monto"), when],
+    ]
+    for kind, columns in enumerate(shapes):
+        o.where(F.col("o_orderkey") % 5 == kind).select(*columns).write.mode("append").parquet(path)
+    return path

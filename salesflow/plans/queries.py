@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 from ..functions.dates import epoch_seconds, from_epoch_seconds
 from ..functions.money import round_amount as round_money
 from ..operators import layers, messages, quality, totals
-from ..schemas import LANDING
+from ..schemas import BRONZE_SALES, LANDING
 from ..session import scratch_path, unique_name
-from ..sources import files
+from ..sources import files, mixed
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
-from ..streaming import ingest, sinks
+from ..sources.versions import read_manifest
+from ..streaming import gold, ingest, sinks
 from ..streaming import sources as stream_sources
-from . import inputs, sql_models
-from .medallion import LayerPaths, build_gold, build_silver, run_medallion
+from . import inputs, models, sql_models
+from .medallion import LayerPaths, build_gold, build_silver, build_silver_version, rebuild_silver_months, run_medallion
+from .sales_models import SALES_MODELS, SOURCE
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -31,6 +33,9 @@ AVAILABLE_NOW = {"availableNow": True}
 MIN_AMOUNT = 100.0
 PUBLISH_LIMIT = 100
 
+HIGH_AMOUNT = 30_000.0  # a threshold that takes out about a third of the line items; all of them are above MIN_AMOUNT
+CORRECTED_MONTHS = [(1997, 3), (1997, 4), (1999, 12)]
+
 BATCH_BYTES = 64 << 20  # of message files a micro-batch takes
 
 # ---- step 1: the benchmark query and its variants -------------------------------------------
@@ -50,6 +55,14 @@ def filter_min_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.filter_min_amount(sales_from_lineitem(spark, sf_dir), MIN_AMOUNT)
 
 
+def store_totals_high_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return totals.store_totals(sales_from_lineitem(spark, sf_dir), HIGH_AMOUNT)
+
+
+def filter_high_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return totals.filter_min_amount(sales_from_lineitem(spark, sf_dir), HIGH_AMOUNT)
+
+
 def store_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.store_sum(sales_from_lineitem(spark, sf_dir))
 
@@ -163,6 +176,43 @@ def gold_sql_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_models.gold_model(spark, view)
 
 
+def _clashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = inputs.clashing_orders(spark, sf_dir, scratch_path(spark, "clashing-parquet"))
+    return mixed.read_mixed_parquet(spark, path, BRONZE_SALES)
+
+
+def mixed_parquet_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of INT, BIGINT, DOUBLE, DECIMAL and text amounts, one of them without stores, as one table."""
+    return mixed.good_rows(_clashing(spark, sf_dir), BRONZE_SALES)
+
+
+def mixed_parquet_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed.rejected_rows(_clashing(spark, sf_dir)).drop("file")
+
+
+def silver_month_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver built once, then three months made anew from bronze with every amount one higher."""
+    root, bronze = scratch_path(spark, "silver-versions"), sales_from_orders(spark, sf_dir)
+    build_silver_version(spark, bronze, root)
+    return rebuild_silver_months(spark, bronze.withColumn("monto", F.col("monto") + 1), root, CORRECTED_MONTHS)
+
+
+def model_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five models built in the order of their references; the last reads both gold models."""
+    root = scratch_path(spark, "models")
+    outcomes = models.build_models(spark, SALES_MODELS, {SOURCE: sales_from_orders(spark, sf_dir)}, root)
+    if any(o.status != "built" for o in outcomes):
+        raise RuntimeError(f"not all models were built: {outcomes}")
+    return models.read_model(spark, root, "report_stores")
+
+
+def model_graph_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same models over damaged orders: silver fails its tests, what reads it is skipped, another model is built."""
+    count = models.Model("bronze_count", "SELECT COUNT(*) AS n_rows FROM {{ source('bronze', 'sales') }}")
+    outcomes = models.build_models(spark, [*SALES_MODELS, count], {SOURCE: inputs.damaged_bronze(spark, sf_dir)}, scratch_path(spark, "models"))
+    return models.build_report(spark, outcomes).drop("detail")
+
+
 # ---- step 4: data quality --------------------------------------------------------------------
 
 
@@ -220,6 +270,14 @@ def publish_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.event_messages(spark, sf_dir)
 
 
+def publish_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages numbered by time within their store, written by the publishing job and read back."""
+    root = scratch_path(spark, "publish-ordered")
+    sales = inputs.producer_rows(sales_from_events(spark, sf_dir))
+    ingest.publish_in_order(sales, f"{root}/runs", fmt="parquet", path=f"{root}/topic")
+    return spark.read.parquet(f"{root}/topic")
+
+
 def decode_sales_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.decode_messages(inputs.lineitem_messages(spark, sf_dir))
 
@@ -317,10 +375,25 @@ def stream_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_medallion(spark, layers.to_bronze(events), scratch_path(spark, "warehouse"))
 
 
+def stream_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold kept by partial sums, batch by batch; the last batch comes a second time."""
+    root = scratch_path(spark, "stream-gold")
+    msgs = inputs.event_messages(spark, sf_dir)
+    n_files = 6
+    topic = _publish_files(spark, msgs.repartition(n_files), f"{root}/topic")
+    stream = stream_sources.message_file_stream(spark, topic, files_per_batch=1)
+    sinks.run_to_completion(gold.ingest_to_gold(stream, f"{root}/gold", f"{root}/checkpoint", "events", AVAILABLE_NOW))
+    last = read_manifest(spark, f"{root}/gold")[1]["applied"]["events"]
+    gold.apply_batch(gold.silver_of_messages(msgs), f"{root}/gold", "events", last)
+    return gold.read_gold(spark, f"{root}/gold")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_totals_min_amount": store_totals_min_amount,
     "event_totals_min_amount": event_totals_min_amount,
     "filter_min_amount": filter_min_amount,
+    "store_totals_high_amount": store_totals_high_amount,
+    "filter_high_amount": filter_high_amount,
     "store_sum": store_sum,
     "store_sum_net": store_sum_net,
     "row_count": row_count,
@@ -338,6 +411,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_sql_model": silver_sql_model,
     "gold_sql_model": gold_sql_model,
     "materialize_layer": materialize_layer,
+    "mixed_parquet_good": mixed_parquet_good,
+    "mixed_parquet_rejects": mixed_parquet_rejects,
+    "silver_month_rebuild": silver_month_rebuild,
+    "model_graph": model_graph,
+    "model_graph_report": model_graph_report,
     "round_amount": round_amount,
     "epoch_to_timestamp": epoch_to_timestamp,
     "dq_report": dq_report,
@@ -349,6 +427,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "storage_report": storage_report,
     "first_n_to_publish": first_n_to_publish,
     "publish_encode": publish_encode,
+    "publish_ordered": publish_ordered,
     "decode_sales_json": decode_sales_json,
     "decode_quarantine": decode_quarantine,
     "json_inferred_columns": json_inferred_columns,
@@ -358,4 +437,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_quarantine": stream_quarantine,
     "stream_resume": stream_resume,
     "stream_to_gold": stream_to_gold,
+    "stream_gold_incremental": stream_gold_incremental,
 }

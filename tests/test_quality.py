@@ -78,3 +78,20 @@ def test_reconcile_is_one_shuffle_without_a_join(spark):
     plan = quality.reconcile(df, df, "k")._jdf.queryExecution().executedPlan().toString()
     initial = plan.split("Initial Plan")[-1]
     assert initial.count("Exchange hashpartitioning") <= 1 and "Join" not in initial
+
+
+def test_a_doubled_store_fails_the_report(spark):
+    """Each test of the two-layer report can fail."""
+    import datetime as dt
+    from salesflow.operators.layers import silver_gold_report, to_gold
+    from salesflow.schemas import GOLD_CONTRACT, SILVER_CONTRACT
+    silver = spark.createDataFrame([(1, 1, 5.0, dt.datetime(2024, 1, 1)), (None, 2, 3.0, None), (3, None, 1.0, None)],
+                                   "venta_id bigint, tienda_id int, monto double, fecha_venta timestamp_ntz")
+    doubled = silver_gold_report(silver, lambda s, more: to_gold(s, more).unionByName(to_gold(s, more).where("tienda_id = 1 OR tienda_id IS NULL")))
+    told = {(r.model, r.column_name, r.test): r.failures for r in doubled.collect()}
+    assert told[GOLD_CONTRACT.name, "tienda_id", "unique"] == 1 and told[GOLD_CONTRACT.name, "tienda_id", "not_null"] == 2
+    told = {(r.model, r.column_name, r.test): r.failures for r in silver_gold_report(silver).collect()}
+    assert told[GOLD_CONTRACT.name, "tienda_id", "unique"] == 0 and told[GOLD_CONTRACT.name, "tienda_id", "not_null"] == 1
+    assert told[SILVER_CONTRACT.name, "fecha_venta", "not_null"] == 2 and told[SILVER_CONTRACT.name, "venta_id", "not_null"] == 1
+    plan = silver_gold_report(silver)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -65,3 +65,14 @@ def test_rounding_large_and_odd_amounts(spark):
 def test_first_n_has_one_order_for_ties(spark):
     df = spark.createDataFrame([(1, x) for x in "dbca"], "id_transaccion int, t string").repartition(3)
     assert [r["t"] for r in totals.first_n(df, 2).collect()] == ["a", "b"]
+
+
+def test_a_threshold_that_bites(spark):
+    """The reference's threshold keeps every line item, so a lost filter would not show; this one takes some out."""
+    from salesflow.plans import queries
+    sf = "/root/testdata/sf0.001"
+    every = queries.row_count(spark, sf).first()["n_rows"]
+    high = queries.filter_high_amount(spark, sf)
+    assert 0 < high.count() < every and high.where("monto <= 30000").count() == 0
+    plan = queries.store_totals_high_amount(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(l_extendedprice,30000.0)" in plan
