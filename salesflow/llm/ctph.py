@@ -2,7 +2,11 @@
 
 A rolling hash over the last seven bytes ends a chunk wherever it falls into one residue class of
 the block size, so boundaries depend on nearby content only and an edit changes the signature where
-it happened. Each chunk gives one of 64 characters. A fingerprint is ``block:signature:signature``,
+it happened. Each chunk gives one of 64 characters. The block size is the smallest that makes 64 chunks or fewer of a
+text by its length, or less if it makes under 32. Texts that repeat themselves may still have a boundary in every period, so a signature is
+bounded: of a run of one character the first ``RUN`` stay, and the last of ``MOST`` characters covers all that is left of the
+text. A signature has 256 characters at most, which ordinary texts never reach, and comparing two takes a
+bounded time whatever the texts are. A fingerprint is ``block:signature:signature``,
 the second signature taken at twice the block size. Two fingerprints are compared at the block sizes
 they share: likeness is one minus the insert/delete distance over the joined length of the
 signatures, and 0 unless the signatures have a run of seven characters in common (a third of the
@@ -35,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMALLEST, WINDOW, LENGTH, COMMON = 4, 7, 64, 7  # block sizes are powers of two
+RUN, MOST = 3, 4 * LENGTH
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -77,19 +82,31 @@ def fingerprint(text: bytes) -> str:
         rolling[WINDOW:] = (total[WINDOW + 1:] - total[1:-WINDOW]) * scale[1:-WINDOW]
     rolling = _mixed(rolling)
 
-    def signature(size: int) -> str:
+    def signature(size: int) -> tuple[str, int]:
+        """(the signature, the number of chunks)."""
         cut = np.flatnonzero(rolling & np.uint64(size - 1) == np.uint64(size - 1)) + 1
         if len(cut) == 0 or cut[-1] != n:
             cut = np.append(cut, n)
         first = np.concatenate([[0], cut[:-1]])
-        chunk = _mixed((total[cut] - total[first]) * scale[first])
-        return ALPHABET[(chunk >> np.uint64(40)).astype(np.int64) & 63].tobytes().decode()
 
-    one = signature(block)
-    while block > SMALLEST and len(one) < LENGTH // 2:
+        def letters(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return ALPHABET[(_mixed((total[b] - total[a]) * scale[a]) >> np.uint64(40)).astype(np.int64) & 63]
+
+        chunk = letters(first, cut)
+        again = np.zeros(len(chunk), bool)
+        if len(chunk) > RUN:  # a run of one letter stands for itself RUN times
+            again[RUN:] = np.all([chunk[RUN:] == chunk[RUN - k:-k] for k in range(1, RUN + 1)], 0)
+        kept = np.flatnonzero(~again)
+        if len(kept) > MOST:  # the last letter covers all that is left
+            rest = cut[kept[MOST - 2]:kept[MOST - 2] + 1]
+            return (chunk[kept[:MOST - 1]].tobytes() + letters(rest, np.array([n])).tobytes()).decode(), len(chunk)
+        return chunk[kept].tobytes().decode(), len(chunk)
+
+    one, chunks = signature(block)
+    while block > SMALLEST and chunks < LENGTH // 2:
         block //= 2
-        one = signature(block)
-    return f"{block}:{one}:{signature(block * 2)}"
+        one, chunks = signature(block)
+    return f"{block}:{one}:{signature(block * 2)[0]}"
 
 
 def _common_run(a: str, b: str) -> bool:

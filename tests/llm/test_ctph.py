@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -89,3 +90,41 @@ def test_signature_likeness_is_the_insert_delete_distance():
         got = ctph.signature_likeness(a, b)
         assert got == (1.0 if a == b else 2 * slow_subsequence(a, b) / (len(a) + len(b)))
     assert ctph.likeness("4:ABC:AB", "64:ABC:AB") == 0.0 and ctph.likeness("4::", "4::") == 1.0
+
+
+@pytest.mark.parametrize("unit", ["abc ", "the same line over and over again, with its end\n", "ab" * 40 + "\n", "a"])
+def test_long_repetitive_texts_have_bounded_signatures(unit):
+    """Sixteen MB: fingerprinted and compared in linear time."""
+    rng = random.Random(5)
+    text = unit * (16_000_000 // len(unit))
+    tail = text[:len(text) * 2 // 3] + prose(rng, 800_000).decode()[:len(text) // 3]
+    start = time.process_time()
+    a, b = ctph.fingerprint(text.encode()), ctph.fingerprint(tail.encode())
+    told = ctph.likeness(a, b)
+    assert time.process_time() - start < 20  # a quadratic comparison takes many minutes
+    assert max(map(len, (*a.split(":")[1:], *b.split(":")[1:]))) <= ctph.MOST
+    assert 0 <= told <= 1 and ctph.likeness(a, a) == 1.0
+
+
+def test_comparing_takes_a_bounded_time():
+    rng = random.Random(6)
+    a, b = ("".join(rng.choices("ABCDEFGH", k=ctph.MOST)) for _ in range(2))
+    start = time.process_time()
+    for _ in range(100):
+        ctph.likeness(f"4:{a}:{b}", f"4:{b}:{a}")
+    assert time.process_time() - start < 2
+
+
+def test_runs_are_folded_and_the_last_letter_covers_the_rest():
+    rng = random.Random(7)
+    assert "AAAA" not in ctph.fingerprint(b"-" * 5000 + prose(rng, 500))
+    long = b"abcdefgh" * 2000 + prose(rng, 3)
+    # what comes after the last boundary that has a letter still changes the fingerprint
+    assert ctph.fingerprint(long + b"x") != ctph.fingerprint(long + b"y")
+
+
+def test_ordinary_texts_are_never_cut():
+    rng = random.Random(8)
+    for n in (10, 100, 1000, 10_000):
+        parts = ctph.fingerprint(prose(rng, n)).split(":")
+        assert len(parts[1]) < 2 * ctph.LENGTH and len(parts[2]) < 2 * ctph.LENGTH
