@@ -1,4 +1,5 @@
 import random
+import resource
 import zlib
 
 import numpy as np
@@ -39,7 +40,7 @@ def test_held_out_accuracy_and_defined_results(spark):
         assert (by[i].lang_pred, by[i].score) == ("und", 0.0)
     assert by[9004].lang_pred == "cc"
     kept = langid.accepted(crowded(df))
-    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.score >= langid.MIN_SCORE}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.score >= langid.least_score(len(VOICES))}
 
 
 def test_held_out_rows_teach_nothing(spark):
@@ -104,7 +105,6 @@ def test_rare_languages_are_in_the_sample(spark, monkeypatch):
     """More labels than the sample holds at SAMPLE_PER_LANGUAGE each, of very different size."""
     monkeypatch.setattr(langid, "SAMPLE_PER_LANGUAGE", 4)
     monkeypatch.setattr(langid, "SAMPLE_DOCUMENTS", 80)
-    monkeypatch.setattr(langid, "LABELS", 30)
     monkeypatch.setattr(langid, "train", lambda windows, label, n: np.bincount(label, minlength=n))
     size = {f"c{k:02}": 400 for k in range(20)} | {f"r{k}": 4 for k in range(5)}
     rows, at = [], 0
@@ -118,3 +118,45 @@ def test_rare_languages_are_in_the_sample(spark, monkeypatch):
     have = dict(zip(languages, count.tolist()))
     assert sorted(have) == sorted(size) and sum(have.values()) <= 80
     assert all(have[f"r{k}"] == 3 for k in range(5))
+
+
+def test_thousands_of_labels_train_and_predict_in_bounded_memory():
+    """No label is left out; the arrays of a step hold CELLS numbers, whatever the number of labels."""
+    rng = np.random.default_rng(3)
+    n = 2000
+    windows, label = rng.integers(1, 255, (n, langid.TRAIN_WINDOW)).astype(np.uint8), np.arange(n)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    w = langid.train(windows, label, n, steps=1)
+    p = langid.predict(w, [b"some text " * 600, b"x"])
+    assert p.shape == (2, n) and np.allclose(p.sum(1), 1, atol=1e-3)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600_000  # KB
+
+
+def test_noise_with_letters_is_rejected_and_clean_texts_stay(spark):
+    rows = corpus(600)
+    noise = [(20_000 + i, "".join(random.Random(i).choices("qxzjkvwpbfgy7&#%0123 ", k=300)), None) for i in range(60)]
+    df = spark.createDataFrame(rows + noise, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in langid.accepted(df).collect()}
+    assert kept >= {i for i, _, _ in rows}
+    assert len(kept & {i for i, _, _ in noise}) < 60
+    assert langid.least_score(1) < 1 and langid.least_score(4) > 0.36 and langid.least_score(1000) < 0.152
+
+
+def test_gradients_in_parts_are_those_of_the_batch(monkeypatch):
+    rng = np.random.default_rng(4)
+    w, windows, label = langid.new_weights(5), rng.integers(0, 9, (40, 20)).astype(np.uint8), rng.integers(0, 5, 40)
+    whole = langid._summed(w, windows, label)
+    monkeypatch.setattr(langid, "CELLS", 20 * 5 * 7)
+    parts = langid._summed(w, windows, label)
+    assert all(np.allclose(whole[k], parts[k], atol=1e-5) for k in w)
+
+
+def test_states_for_prediction_are_those_of_training():
+    rng = np.random.default_rng(5)
+    w, x = langid.new_weights(3, seed=4), rng.integers(0, 256, (50, 30)).astype(np.uint8)
+    w["rec_f"] *= 4
+    assert np.abs(langid._states(x, w["in_f"], w["rec_f"]).transpose(0, 2, 1) - langid._scan(x, w["in_f"], w["rec_f"])[0]).max() < 2e-3
+    y = np.linspace(-9, 9, 1001, dtype=np.float32)[None]
+    z = y.copy()
+    langid._tanh(z, np.empty_like(z), np.empty_like(z))
+    assert np.abs(z - np.tanh(y)).max() < 2e-4

@@ -21,7 +21,7 @@ def test_run_against_brute_force(spark, tmp_path):
     df.write.parquet(f"file://{tmp_path}/documents.parquet")
     got = sorted_rows(corpus_pipeline.run(spark, f"file://{tmp_path}"))
     score = {r.doc_id: r.score for r in langid.identify(df).collect()}
-    left = [(r.doc_id, r.text) for r in df.collect() if score[r.doc_id] >= langid.MIN_SCORE]
+    left = [(r.doc_id, r.text) for r in df.collect() if score[r.doc_id] >= langid.least_score(2)]
     first = {d for d, _, c in test_simhash.brute(left) if d == c}
     left = [(d, t) for d, t in left if d in first]
     seen, kept = {}, []
