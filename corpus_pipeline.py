@@ -14,7 +14,7 @@ from salesflow.llm.common import stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no letter, or no language with a score of 0.25) go."""
+    """Documents without a language go: no letter, or a score that is hardly better than chance among the languages."""
     return langid.accepted(docs)
 
 
