@@ -9,6 +9,7 @@ output exactly-once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import LANDING_DDL
@@ -17,21 +18,89 @@ from ..schemas import LANDING_DDL
 PRODUCTION_TRIGGER = {"processingTime": "30 seconds"}
 
 
+class SchemaDrift(ValueError):
+    """A present table has another shape than the declared one, and not one it can be brought to."""
+
+
+# What a column may be widened to without rewriting what is stored: every value keeps its meaning.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint"),
+    "smallint": ("int", "bigint"),
+    "int": ("bigint",),
+    "float": ("double",),
+    "date": ("timestamp_ntz",),
+}
+
+
+def _widens(old: T.DataType, new: T.DataType) -> bool:
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return new.simpleString() in WIDER.get(old.simpleString(), ())
+
+
+def schema_changes(present: T.StructType, declared: T.StructType) -> tuple[list[T.StructField], list[tuple[str, T.DataType]]]:
+    """(columns to add, columns to widen) that bring a table to the declared shape. Anything else raises: a column that is
+    missing from the declaration, or one whose type is no wider. Names are compared as Spark does, without case."""
+    old, new = {f.name.lower(): f for f in present.fields}, {f.name.lower(): f for f in declared.fields}
+    wrong = [f"{f.name} is not declared any more" for n, f in old.items() if n not in new]
+    wider = []
+    for n, f in new.items():
+        if n in old and old[n].dataType != f.dataType:
+            if _widens(old[n].dataType, f.dataType):
+                wider.append((old[n].name, f.dataType))
+            else:
+                wrong.append(f"{f.name} is {old[n].dataType.simpleString()}, not {f.dataType.simpleString()}")
+    if wrong:
+        raise SchemaDrift("; ".join(wrong))
+    return [f for n, f in new.items() if n not in old], wider
+
+
 def ensure_table(spark: SparkSession, table: str, ddl: str = LANDING_DDL,
                  provider: str = "parquet", location: str | None = None,
-                 partition_by: list[str] | None = None) -> str:
-    """Idempotent DDL: create the table only if it does not exist yet.
+                 partition_by: list[str] | None = None, evolve: bool = False) -> str:
+    """Idempotent DDL: create the table if it does not exist yet. One that exists must have the declared shape.
 
+    With ``evolve`` it is brought to that shape where that is safe: columns are added (old rows have NULL there) and types
+    widened. Other differences raise ``SchemaDrift``, and so does any difference without ``evolve``.
+    A table format widens by its own metadata. Plain Parquet files keep their types and are read by the wider one, so their table must
+    have a location of its own: its entry is made anew over the same files.
     ``partition_by`` is for table formats, whose own metadata tells readers of new partitions.
     """
     if location and "'" in location:
         raise ValueError("location must not contain a single quote")
     loc = f" LOCATION '{location}'" if location else ""
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {provider}{parts}{loc}")
+    create = f"CREATE TABLE IF NOT EXISTS {table} ({{ddl}}) USING {provider}{parts}{loc}"
+    if not spark.catalog.tableExists(table):
+        spark.sql(create.format(ddl=ddl))
+        return table
+    present, declared = spark.table(table).schema, T._parse_datatype_string(ddl)
+    added, wider = schema_changes(present, declared)
+    if (added or wider) and not evolve:
+        changes = [f"{f.name} is new" for f in added] + [f"{n} is now {t.simpleString()}" for n, t in wider]
+        raise SchemaDrift(f"{table} has an older shape ({'; '.join(changes)}): pass evolve=True to bring it to the declared one")
+    if wider and provider == "parquet":
+        _widen_files(spark, table, create, present, dict(wider), location)
+    else:
+        for n, t in wider:
+            spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{n}` TYPE {t.simpleString()}")
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
     return table
 
 
+def _widen_files(spark: SparkSession, table: str, create: str, present: T.StructType, wider: dict, location: str | None) -> None:
+    """Make the catalog entry anew with wider types; the files stay, as the table is external."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if told.get("Type") != "EXTERNAL" or not location:
+        raise SchemaDrift(f"{table} is managed by the catalog: its Parquet columns can only be widened with a location of their own")
+    if told["Location"].rstrip("/").split(":", 1)[-1].lstrip("/") != location.rstrip("/").split(":", 1)[-1].lstrip("/"):
+        raise SchemaDrift(f"{table} is at {told['Location']}, not at {location}")
+    columns = ", ".join(f"`{f.name}` {wider.get(f.name, f.dataType).simpleString()}" for f in present.fields)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(create.format(ddl=columns))
+
+
 def _trigger(writer, trigger: dict | None):
     """None: the production interval; an empty dict: no interval, each batch follows the last at once."""
     trigger = PRODUCTION_TRIGGER if trigger is None else trigger
