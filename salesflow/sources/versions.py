@@ -10,6 +10,9 @@ The number of a manifest can be taken once: of two writers that commit at the sa
 the newer manifest and tries again on top of it. A manifest has an entry for each partition of the layer, so its size is
 that of a folder listing.
 
+Appends add folders to a layer, and ``compact`` packs those that hold little into files of a wanted size: the manifest that
+names the packed folder drops the packed ones in the same step, so no reader sees both.
+
 The same log of manifests serves any small state that must change in one step (see ``streaming.gold``).
 """
 
@@ -23,6 +26,7 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import hadoop_path
@@ -111,28 +115,41 @@ class Staged:
     partition_by: tuple[str, ...]
 
     def read(self) -> DataFrame:
-        return _read(self.spark, self.root, {p: self.version for p in self.parts}, self.schema)
+        return _read(self.spark, self.root, {p: [self.version] for p in self.parts}, self.schema)
 
-    def publish(self, replace: str = "all", cleared: Sequence[str] = ()) -> int:
-        """Make it the layer (``all``), or its partitions part of the layer (``partitions``).
+    def publish(self, replace: str = "all", cleared: Sequence[str] = (), batch: tuple[str, int] | None = None,
+                packed: dict[str, list[str]] | None = None) -> int:
+        """Make it the layer (``all``), its partitions part of the layer (``partitions``), or its rows further rows (``nothing``).
 
-        ``cleared`` are partitions (``a=1/b=2``) that a partial rebuild covers: they go if it has no rows for them.
+        ``cleared`` are partitions (``a=1/b=2``) that a partial rebuild covers: they go if it has no rows for them. ``batch`` is a
+        stream's name and batch number: one that was published before is not published again. ``packed`` are the
+        folders, by partition, that it stands for.
         """
-        if replace not in ("all", "partitions"):
-            raise ValueError("replace is all or partitions")
+        if replace not in ("all", "partitions", "nothing"):
+            raise ValueError("replace is all, partitions or nothing")
         if replace == "partitions" and not self.partition_by:
             raise ValueError("only a partitioned layer can be rebuilt in part")
 
-        def change(last: dict | None) -> dict:
+        def change(last: dict | None) -> dict | None:
+            applied = (last or {}).get("applied", {})
+            if batch and applied.get(batch[0], -1) >= batch[1]:
+                return None
             kept = {}
-            if last and replace == "partitions":
+            if last and replace != "all":
                 if list(self.partition_by) != last["partition_by"]:
                     raise ValueError(f"the layer is partitioned by {last['partition_by']}")
                 if T.StructType.fromJson(last["schema"]).simpleString() != self.schema.simpleString():
                     raise ValueError("a partial rebuild must have the layer's columns")
-                kept = {p: v for p, v in last["parts"].items() if p not in cleared}
-            return {"parts": kept | {p: self.version for p in self.parts}, "schema": json.loads(self.schema.json()),
-                    "partition_by": list(self.partition_by)}
+                gone = set(cleared) | (set(self.parts) if replace == "partitions" else set())
+                kept = {p: v for p, v in last["parts"].items() if p not in gone}
+            for p, folders in (packed or {}).items():
+                if not set(folders) <= set(kept.get(p, [])):
+                    raise RuntimeError(f"{self.root}: what was packed has been replaced meanwhile")
+                kept[p] = [v for v in kept[p] if v not in folders]
+            for p in self.parts:
+                kept[p] = [*kept.get(p, []), self.version]
+            return {"parts": {p: v for p, v in kept.items() if v}, "schema": json.loads(self.schema.json()),
+                    "partition_by": list(self.partition_by), "applied": applied | ({batch[0]: batch[1]} if batch else {})}
 
         return commit(self.spark, self.root, change)
 
@@ -160,10 +177,14 @@ def stage(df: DataFrame, root: str, partition_by: Sequence[str] = (), observe: t
     return Staged(spark, root, version, tuple(parts), schema, tuple(partition_by))
 
 
-def _read(spark: SparkSession, root: str, parts: dict[str, str], schema: T.StructType) -> DataFrame:
+def _folder(root: str, version: str, part: str) -> str:
+    return f"{root}/{VERSION}={version}/{part}".rstrip("/")
+
+
+def _read(spark: SparkSession, root: str, parts: dict[str, list[str]], schema: T.StructType) -> DataFrame:
     if not parts:
         return spark.createDataFrame([], schema)
-    paths = [f"{root}/{VERSION}={v}/{p}".rstrip("/") for p, v in parts.items()]
+    paths = [_folder(root, v, p) for p, versions in parts.items() for v in versions]
     with_version = T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())])
     return spark.read.schema(with_version).option("basePath", root).parquet(*paths).select(*[f"`{c}`" for c in schema.names])
 
@@ -184,6 +205,77 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = (), re
     return read_layer(df.sparkSession, root)
 
 
+def append_batch(df: DataFrame, root: str, stream: str, batch: int, partition_by: Sequence[str] = ()) -> int:
+    """Add a micro-batch of a stream to a layer, once: for ``foreachBatch``. A replayed batch changes nothing."""
+    root = root.rstrip("/")
+    number, last = read_manifest(df.sparkSession, root)
+    if last and last.get("applied", {}).get(stream, -1) >= batch:
+        return number
+    return stage(df, root, partition_by).publish("nothing", batch=(stream, batch))
+
+
+def bins(sizes: dict[str, int], target: int) -> list[list[str]]:
+    """Names packed by size, the largest first, each into the first bin that has room for it; none holds more than ``target``
+    unless it is one name."""
+    packed: list[tuple[int, list[str]]] = []
+    room: list[int] = []  # bins that may still take something
+    for name, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        for i in room:
+            if packed[i][0] + size <= target:
+                packed[i] = (packed[i][0] + size, [*packed[i][1], name])
+                break
+        else:
+            packed.append((size, [name]))
+            room.append(len(packed) - 1)
+        room = [i for i in room[-64:] if packed[i][0] < target]
+    return [names for _, names in packed]
+
+
+def compact(spark: SparkSession, root: str, target_bytes: int = 256 << 20) -> int:
+    """Pack the folders of a layer that hold less than half of ``target_bytes``, those of one partition together, into one file for each
+    ``target_bytes`` about. Rows stay as they are, readers go on reading what they read, and a run that dies leaves a folder
+    that nobody reads. Returns the number of folders packed.
+
+    What is small is told from the folders' sizes in the file system; the rows of all that is to be packed are moved in one job.
+    """
+    root = root.rstrip("/")
+    _, content = read_manifest(spark, root)
+    if content is None:
+        raise ValueError(f"no layer was committed at {root}")
+    by = content["partition_by"]
+    # per partition, the small folders in bins; each bin becomes a file
+    chosen: dict[str, list[str]] = {}
+    numbered: list[tuple[str, str, int]] = []
+    n_bins = 0
+    for part, versions in content["parts"].items():
+        sizes = {}
+        for v in versions:
+            fs, path = hadoop_path(spark, _folder(root, v, part))
+            sizes[v] = fs.getContentSummary(path).getLength()
+        small = {v: n for v, n in sizes.items() if n < target_bytes / 2}
+        for names in bins(small, target_bytes):
+            if len(names) > 1:
+                chosen.setdefault(part, []).extend(names)
+                numbered += [(v, part, n_bins) for v in names]
+                n_bins += 1
+    if not numbered:
+        return 0
+    schema = T.StructType.fromJson(content["schema"])
+    with_version = T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())])
+    small = spark.read.schema(with_version).option("basePath", root).parquet(*[_folder(root, v, p) for p, folders in chosen.items() for v in folders])
+    # a row's folder is its version and partition: one row in the list for each folder that is read
+    inside = F.regexp_extract(F.col("_metadata.file_path"), rf"{VERSION}=[0-9a-f]+(?:/(.*))?/[^/]+$", 1)
+    listed = spark.createDataFrame([(v, p, b) for v, p, b in numbered], f"{VERSION} string, __part string, __bin int")
+    dealt = small.withColumn("__part", inside).join(F.broadcast(listed), [VERSION, "__part"]).repartition(n_bins, "__bin")
+    version = uuid.uuid4().hex
+    rows = dealt.select(*[f"`{c}`" for c in schema.names])
+    target = f"{root}/{VERSION}={version}"
+    (rows.write.partitionBy(*by) if by else rows.write).parquet(target)
+    parts = _folders(*hadoop_path(spark, target), len(by))
+    Staged(spark, root, version, tuple(parts), schema, tuple(by)).publish("nothing", packed=chosen)
+    return len(numbered)
+
+
 def vacuum(spark: SparkSession, root: str, keep: int = 1, older_than_s: float = 24 * 3600) -> list[str]:
     """Delete the folders that none of the last ``keep`` manifests names and that are older than ``older_than_s`` (a
     younger one may be a write under way), and the manifests before these. Returns the folders' names."""
@@ -191,7 +283,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 1, older_than_s: float =
         raise ValueError("keep is at least 1")
     root = root.rstrip("/")
     numbers = _numbers(spark, root)
-    live = {f"{VERSION}={v}" for n in numbers[-keep:] for v in read_manifest(spark, root, n)[1].get("parts", {}).values()}
+    live = {f"{VERSION}={v}" for n in numbers[-keep:] for folders in read_manifest(spark, root, n)[1].get("parts", {}).values() for v in folders}
     fs, top = hadoop_path(spark, root)
     oldest = (time.time() - older_than_s) * 1000
     gone = []

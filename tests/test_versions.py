@@ -116,3 +116,71 @@ def test_vacuum_keeps_what_the_last_manifests_name(spark):
     assert got(versions.read_layer(spark, root)) == [(3, 2024, 1)]
     local = root.replace("file:", "")
     assert sorted(n for n in os.listdir(f"{local}/_manifests") if n.endswith(".json")) == ["000000000003.json", "000000000004.json"]
+
+
+@pytest.mark.parametrize("by", [(), ("year", "month")])
+def test_compaction_changes_no_row_and_bounds_the_files(spark, by):
+    root = scratch_path(spark, "landing")
+    for i in range(12):
+        df = rows(spark, *[(100 * i + k, 2024 if k % 2 else None, k % 3) for k in range(9)], (1, 2024, 1)).repartition(3)
+        versions.append_batch(df, root, "s", i, by)
+        versions.append_batch(df, root, "s", i, by)  # replayed
+    layer = versions.read_layer(spark, root)
+    before, n_files = sorted(map(str, layer.collect())), len(layer.inputFiles())
+    assert len(before) == 120
+    total = sum(os.path.getsize(f.replace("file://", "")) for f in layer.inputFiles())
+    target = total // 4
+    assert versions.compact(spark, root, target) > 8
+    after = versions.read_layer(spark, root)
+    assert sorted(map(str, after.collect())) == before
+    n_parts = len({f.rsplit("/", 1)[0].split("layer_version=")[1].partition("/")[2] for f in after.inputFiles()})
+    assert len(after.inputFiles()) <= 2 * 4 + n_parts < n_files
+    assert sorted(map(str, layer.collect())) == before  # a reader of the manifest before
+    # appends go on, and a batch that was packed is still known
+    versions.append_batch(rows(spark, (5, 2024, 1)), root, "s", 11, by)
+    versions.append_batch(rows(spark, (6, 2024, 1)), root, "s", 12, by)
+    assert versions.read_layer(spark, root).count() == 121
+
+
+def test_compaction_that_dies_or_is_overtaken_is_harmless(spark, monkeypatch):
+    root = scratch_path(spark, "landing")
+    for i in range(4):
+        versions.append_batch(rows(spark, (i, 2024, 1)), root, "s", i)
+    publish = versions.Staged.publish
+
+    def dies(self, *a, **k):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(versions.Staged, "publish", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        versions.compact(spark, root)
+    assert sorted(r.id for r in versions.read_layer(spark, root).collect()) == [0, 1, 2, 3]
+
+    def overtaken(self, *a, **k):
+        monkeypatch.setattr(versions.Staged, "publish", publish)
+        versions.append_batch(rows(spark, (9, 2024, 1)), root, "s", 9)
+        return publish(self, *a, **k)
+
+    monkeypatch.setattr(versions.Staged, "publish", overtaken)
+    assert versions.compact(spark, root) == 4
+    assert sorted(r.id for r in versions.read_layer(spark, root).collect()) == [0, 1, 2, 3, 9]
+    assert len(versions.read_manifest(spark, root)[1]["parts"][""]) == 2
+
+    def replaced(self, *a, **k):
+        monkeypatch.setattr(versions.Staged, "publish", publish)
+        versions.write_version(rows(spark, (50, 2024, 1)), root)
+        return publish(self, *a, **k)
+
+    monkeypatch.setattr(versions.Staged, "publish", replaced)
+    with pytest.raises(RuntimeError, match="replaced meanwhile"):
+        versions.compact(spark, root)
+    assert [r.id for r in versions.read_layer(spark, root).collect()] == [50]
+    assert versions.compact(spark, root) == 0
+
+
+def test_bins():
+    sizes = {f"f{i}": s for i, s in enumerate([5, 9, 1, 1, 3, 2, 8, 10, 4])}
+    packed = versions.bins(sizes, 10)
+    assert sorted(n for b in packed for n in b) == sorted(sizes)
+    assert all(sum(sizes[n] for n in b) <= 10 for b in packed) and len(packed) == 5
+    assert versions.bins({"a": 30, "b": 1}, 10) == [["a"], ["b"]]
