@@ -91,6 +91,14 @@ def _reconcile_orders() -> str:
     return " UNION ALL ".join(cells)
 
 
+def _reconcile_few() -> str:
+    blank = "CAST(NULL AS VARCHAR) AS left_text, CAST(NULL AS VARCHAR) AS right_text"
+    return (f"SELECT o_orderkey, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS DOUBLE) AS left_value, CAST(NULL AS DOUBLE) AS right_value, {blank}, "
+            "'missing_right' AS status FROM orders WHERE o_orderkey % 500 = 3 "
+            f"UNION ALL SELECT o_orderkey, 'o_totalprice', o_totalprice, o_totalprice + 1, NULL, NULL, 'value_mismatch' FROM orders "
+            "WHERE o_orderkey % 1000 = 7 AND 1 > 1e-5 + 1e-5 * (o_totalprice + 1)")
+
+
 def _decode_quarantine() -> str:
     e = ("(SELECT event_id, ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, "
          "user_id % 100 + 1 AS store, "
@@ -221,6 +229,9 @@ def oracle_sql() -> dict[str, str]:
         "medallion_gated": gold_v1,
         "reconcile_totals": _reconcile(),
         "reconcile_orders": _reconcile_orders(),
+        "reconcile_few": _reconcile_few(),
+        "duplicate_keys_bucketed": (f"SELECT venta_id, COUNT(*) AS n_records FROM {silver(V2)} "
+                                    "WHERE venta_id IS NOT NULL GROUP BY venta_id HAVING COUNT(*) > 1"),
         "first_n_to_publish": f"SELECT * FROM {V3} ORDER BY id_transaccion LIMIT 100",
         "publish_encode": ("SELECT CAST(user_id % 100 + 1 AS VARCHAR) AS key, "
                            "CAST(to_json({'id': event_id, 'tienda_id': user_id % 100 + 1, "
@@ -242,6 +253,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_parquet_batches": decoded_events(),
         "stream_quarantine": _stream_quarantine(),
         "stream_resume": decoded_events(),
+        "stream_compacted": decoded_events(),
+        "stream_schema_drift": decoded_events(),
+        "stream_progress": ("SELECT CAST(4 AS BIGINT) AS n_batches, COUNT(*) AS n_input, COUNT(*) AS n_landed, "
+                            "COUNT(*) FILTER (WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) BETWEEN 0 AND 4) AS n_quarantined FROM events"),
         "stream_to_gold": gold(silver(V1), "CAST(tienda_id AS INTEGER)"),
         "stream_gold_incremental": gold(silver(V1), "CAST(tienda_id AS INTEGER)"),
     }

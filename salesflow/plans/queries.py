@@ -17,10 +17,10 @@ from ..functions.money import round_amount as round_money
 from ..operators import layers, messages, quality, totals
 from ..schemas import BRONZE_SALES, LANDING
 from ..session import scratch_path, unique_name
-from ..sources import files, mixed
+from ..sources import bucketed, files, mixed
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
-from ..sources.versions import read_manifest
-from ..streaming import gold, ingest, sinks
+from ..sources.versions import compact, read_layer, read_manifest
+from ..streaming import gold, ingest, progress, sinks
 from ..streaming import sources as stream_sources
 from . import inputs, models, sql_models
 from .medallion import LayerPaths, build_gold, build_silver, build_silver_version, rebuild_silver_months, run_medallion
@@ -252,6 +252,22 @@ def reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.reconcile(orders, other, "o_orderkey", atol=0.0, rtol=0.0)
 
 
+def reconcile_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a copy in which one order of a thousand has another amount and one of five hundred is missing, by digests."""
+    orders = table(spark, sf_dir, "orders")
+    other = orders.where("o_orderkey % 500 <> 3").withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 1000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return quality.reconcile_by_digest(orders, other, "o_orderkey")
+
+
+def duplicate_keys_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated sale ids of a silver layer that is stored by them: found without a shuffle."""
+    silver = layers.to_silver(sales_from_lineitem(spark, sf_dir))
+    name = unique_name("silver_by_id")
+    bucketed.write_bucketed(silver, name, "venta_id", 8, scratch_path(spark, "silver-by-id"))
+    return quality.duplicate_keys(bucketed.read_bucketed(spark, name), "venta_id")
+
+
 def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     csv_path = inputs.orders_csv(spark, sf_dir, scratch_path(spark, "orders-csv"))
     bronze_path = scratch_path(spark, "bronze-sales")
@@ -375,6 +391,55 @@ def stream_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_medallion(spark, layers.to_bronze(events), scratch_path(spark, "warehouse"))
 
 
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small batches into a versioned landing layer, packed half-way and at the end."""
+    root = scratch_path(spark, "stream-compacted")
+    msgs = inputs.event_messages(spark, sf_dir)
+    first_round = F.get_json_object("value", "$.tienda_id").cast("int") <= 50
+    for part in (msgs.filter(first_round), msgs.filter(~first_round)):
+        topic = _publish_files(spark, part.repartition(3), f"{root}/topic")
+        stream = stream_sources.message_file_stream(spark, topic, files_per_batch=1)
+        sinks.run_to_completion(ingest.ingest_to_versions(stream, f"{root}/landing", f"{root}/checkpoint", trigger=AVAILABLE_NOW))
+        compact(spark, f"{root}/landing")
+    return messages.good_events(read_layer(spark, f"{root}/landing"))
+
+
+def stream_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing table made before events had a product: a stream fills it, it is brought to today's shape, the stream goes on."""
+    root, name = scratch_path(spark, "stream-drift"), unique_name("sales_events")
+    msgs = inputs.event_messages(spark, sf_dir)
+    first_round = F.get_json_object("value", "$.tienda_id").cast("int") <= 50
+    old = [f for f in LANDING.fields if f.name != "producto_id"]
+    try:
+        sinks.ensure_table(spark, name, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in old), location=f"{root}/table")
+        topic = _publish_files(spark, msgs.filter(first_round), f"{root}/topic")
+        landing = messages.landed(stream_sources.message_file_stream(spark, topic)).select(*[f.name for f in old])
+        sinks.run_to_completion(sinks.append_to_table(landing, name, f"{root}/checkpoint", AVAILABLE_NOW))
+        sinks.ensure_table(spark, name, location=f"{root}/table", evolve=True)
+        _publish_files(spark, msgs.filter(~first_round), f"{root}/topic")
+        _stream_into_table(spark, topic, name, f"{root}/checkpoint")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return _landed_table(spark, root)
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the progress log says of a stream of good and damaged messages, added up over its batches."""
+    root = scratch_path(spark, "stream-progress")
+    topic = _publish_files(spark, inputs.damaged_event_messages(spark, sf_dir).repartition(4), f"{root}/topic")
+    log = progress.ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(log)
+    try:
+        stream = progress.watch(messages.landed(stream_sources.message_file_stream(spark, topic, files_per_batch=1)))
+        query = sinks.run_to_completion(sinks.append_to_parquet(stream, f"{root}/sales", f"{root}/checkpoint", AVAILABLE_NOW, ["route"]))
+        progress.noted(spark, log, query)
+    finally:
+        spark.streams.removeListener(log)
+    told = progress.read_progress(spark, f"{root}/progress")
+    return told.agg(F.count(F.lit(1)).alias("n_batches"), F.sum("n_input").alias("n_input"), F.sum("n_landed").alias("n_landed"),
+                    F.sum("n_quarantined").alias("n_quarantined"))
+
+
 def stream_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold kept by partial sums, batch by batch; the last batch comes a second time."""
     root = scratch_path(spark, "stream-gold")
@@ -424,6 +489,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "medallion_gated": medallion_gated,
     "reconcile_totals": reconcile_totals,
     "reconcile_orders": reconcile_orders,
+    "reconcile_few": reconcile_few,
+    "duplicate_keys_bucketed": duplicate_keys_bucketed,
     "storage_report": storage_report,
     "first_n_to_publish": first_n_to_publish,
     "publish_encode": publish_encode,
@@ -436,6 +503,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_parquet_batches": stream_parquet_batches,
     "stream_quarantine": stream_quarantine,
     "stream_resume": stream_resume,
+    "stream_compacted": stream_compacted,
+    "stream_schema_drift": stream_schema_drift,
+    "stream_progress": stream_progress,
     "stream_to_gold": stream_to_gold,
     "stream_gold_incremental": stream_gold_incremental,
 }

@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.messages import as_binary_messages, encode_messages, landed
 from ..operators.ordered import as_ordered_messages, in_order, ordered_messages
 from ..schemas import LANDING
-from .sinks import append_to_parquet, append_to_table, publish
+from ..sources.versions import append_batch
+from .sinks import append_to_parquet, append_to_table, publish, start
 from .sources import DEFAULT_TOPIC
 
 
@@ -60,6 +61,16 @@ def ingest_to_parquet(stream: DataFrame, path: str, checkpoint: str, trigger: di
     return append_to_parquet(landed(stream), path, checkpoint, trigger, partition_by=["route"])
 
 
+def ingest_to_versions(stream: DataFrame, root: str, checkpoint: str, name: str = "sales", trigger: dict | None = None) -> StreamingQuery:
+    """Decode a message stream and append every batch to the versioned landing layer at ``root``, one folder for each route, exactly
+    once. Small batches make small files: ``sources.versions.compact`` packs them while the stream runs. Read it back with
+    ``sources.versions.read_layer``. A stream with a new checkpoint must have a new name."""
+    def run(batch: DataFrame, number: int) -> None:
+        append_batch(batch, root, name, number, ["route"])
+
+    return start(landed(stream).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger)
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """The rows that ``ingest_to_parquet`` has committed; a filter on ``route`` reads that folder only."""
     return spark.read.schema(LANDING).parquet(path)

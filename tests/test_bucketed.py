@@ -1,0 +1,48 @@
+"""Layers stored by key need no exchange for questions about the key."""
+
+import pytest
+
+from salesflow.operators.quality import dq_report, duplicate_keys
+from salesflow.schemas import ColumnContract, ModelContract
+from salesflow.session import scratch_path, unique_name
+from salesflow.sources import bucketed
+
+
+@pytest.fixture
+def tables(spark):
+    names = [unique_name("bucketed") for _ in range(2)]
+    yield names
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_keys_without_an_exchange(spark, tables):
+    rows = [(i % 90 if i % 17 else None, float(i)) for i in range(150)]
+    df = spark.createDataFrame(rows, "k bigint, m double")
+    layer = bucketed.write_bucketed(df, tables[0], "k", 4, scratch_path(spark, "bucketed"))
+    repeated = duplicate_keys(layer, "k")
+    assert "Exchange" not in plan_of(repeated)
+    assert sorted(map(tuple, repeated.collect())) == sorted(map(tuple, duplicate_keys(df, "k").collect()))
+    contract = ModelContract("m", "", (ColumnContract("k", "", ("unique", "not_null")),))
+    report = dq_report(layer, contract)
+    assert "hashpartitioning(k" not in plan_of(report)
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, dq_report(df, contract).collect()))
+    assert len(layer.inputFiles()) <= 4
+
+
+def test_two_layers_are_compared_bucket_by_bucket(spark, tables):
+    a = spark.createDataFrame([(i, i * 2) for i in range(40)], "k bigint, v int")
+    b = spark.createDataFrame([(i, i * 2 + (i == 7)) for i in range(5, 45)], "k bigint, v int")
+    left, right = (bucketed.write_bucketed(df, t, ["k"], 8, scratch_path(spark, "bucketed")) for df, t in zip((a, b), tables))
+    both = bucketed.compare_bucketed(left, right, "k")
+    assert "Exchange" not in plan_of(both)
+    differing = {r.k for r in both.where("NOT (l_v <=> r_v)").collect()}
+    assert differing == {0, 1, 2, 3, 4, 7, 40, 41, 42, 43, 44}
+
+
+def test_number_of_buckets():
+    assert [bucketed.buckets_for(n << 20) for n in (0, 1, 256, 257, 1000, 100_000)] == [1, 1, 1, 2, 4, 512]
