@@ -166,7 +166,9 @@ def _phrases(template: list[str], naming: tuple[str, ...]) -> list[tuple[int, in
     """First and last place in the template of each naming phrase."""
     out = []
     for words in map(str.split, naming):
-        at = next(i for i in range(len(template)) if template[i:i + len(words)] == words)
+        at = next((i for i in range(len(template)) if template[i:i + len(words)] == words), None)
+        if at is None:
+            raise ValueError(f"the naming phrase {' '.join(words)!r} is not in its template")
         out.append((at, at + len(words) - 1))
     return out
 
@@ -175,14 +177,14 @@ class Scanner:
     """The templates, prepared once per task."""
 
     def __init__(self, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
-                 naming: Mapping[str, tuple[str, ...]] = NAMING) -> None:
+                 naming: Mapping[str, tuple[str, ...]] | None = None) -> None:
         self.threshold = threshold
         self.prepared = []
         for name, text in templates.items():
             words = words_of(text)
             count = Counter(words)
-            # naming words are for the fixed wording only, not for another template of that name
-            named = naming.get(name, ()) if text == TEMPLATES.get(name) else ()
+            # the built-in naming words are for the built-in wording only, not for another template of that name
+            named = naming.get(name, ()) if naming is not None else NAMING.get(name, ()) if text == TEMPLATES.get(name) else ()
             # long words first: the test that rejects most texts soonest
             self.prepared.append((name, words, sorted(count.items(), key=lambda x: (-len(x[0]), x[0])),
                                   sorted({w for p in named for w in p.split()}, key=lambda w: (-len(w), w)), _phrases(words, named)))
@@ -247,15 +249,17 @@ LISTED = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, license, coverage, n_aligned, first_word, last_word (places of words in the text), n_found, and
+                  id_col: str = "doc_id", text_col: str = "text", naming: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """``naming`` gives, by template, the phrases that must all be found as they are, such as a version; without it the built-in
+    ones hold for the built-in templates. A phrase must stand in its template. Per row: id, license, coverage, n_aligned, first_word, last_word (places of words in the text), n_found, and
     found: these five for every place of every license, the best license first."""
-    wording = dict(templates)
+    wording, names_of = dict(templates), None if naming is None else dict(naming)
+    Scanner(wording, threshold, names_of)  # a phrase that isn't in its template raises here
     kind = dict(docs.dtypes)[id_col]
     names = LISTED.value_type.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(wording, threshold)
+        scanner = Scanner(wording, threshold, names_of)
         for batch in batches:
             rows, listed = [], []
             for text in batch.column(1):

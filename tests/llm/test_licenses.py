@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from salesflow.llm import licenses
 from salesflow.llm.licenses import TEMPLATES, Scanner, align, words_of
 
@@ -112,3 +114,27 @@ def test_every_license_and_place_is_in_the_result(spark):
     assert (r.license, r.first_word, r.last_word) == tuple(r.found[0][k] for k in ("license", "first_word", "last_word"))
     assert r.n_found == len({x.license for x in r.found}) and len(r.found) == len(places)
     assert [len(got[i].found) for i in (2, 3)] == [0, 0]
+
+
+def test_callers_templates_with_naming_phrases(spark):
+    """A notice that differs in the named words only is another license."""
+    mine = {"house-1": "you may use this data under the house terms version 1", "house-2": "you may use this data under the house terms version 2"}
+    rows = [(1, f"x {mine['house-1']} y"), (2, f"x {mine['house-2']} y"), (3, "you may use this data under the house terms version 3"), (4, None)]
+    loose = {r.doc_id: r.license for r in licenses.scan_licenses(frame(spark, rows), mine).collect()}
+    assert loose == {1: "house-1", 2: "house-2", 3: "house-1", 4: None}
+    named = {n: (f"version {n[-1]}",) for n in mine}
+    strict = licenses.scan_licenses(frame(spark, rows), mine, naming=named).collect()
+    assert {r.doc_id: (r.license, r.n_found) for r in strict} == {1: ("house-1", 1), 2: ("house-2", 1), 3: (None, 0), 4: (None, 0)}
+    with pytest.raises(ValueError, match="not in its template"):
+        licenses.scan_licenses(frame(spark, rows), mine, naming={"house-1": ("version 9",)})
+
+
+def test_ties_and_repeated_notices(spark):
+    """Of two licenses found whole the longer wording comes first, of equal ones the first given; each place is listed once."""
+    same = {"b": "terms of the red house apply", "a": "rules of the blue yard apply", "c": "rules of the blue yard apply here always"}
+    rows = [(1, "terms of the red house apply . rules of the blue yard apply"), (2, "rules of the blue yard apply here always"),
+            (3, " and ".join([same["b"]] * 5)), (3, same["b"])]
+    got = sorted(((r.doc_id, r.license, [(f.license, f.first_word) for f in r.found]) for r in licenses.scan_licenses(frame(spark, rows), same).collect()), key=str)
+    assert got[0][:2] == (1, "b") and [x[0] for x in got[0][2]] == ["b", "a"]
+    assert got[1][:2] == (2, "c") and sorted(x[0] for x in got[1][2]) == ["a", "c"]
+    assert sorted(len(g[2]) for g in got[2:]) == [1, 5]

@@ -43,12 +43,20 @@ def test_extra_columns_and_empty_table(spark):
     df = crowded(frame(spark, rows))
     assert sorted_rows(simhash.near_duplicates(df)) == brute(rows)
     assert simhash.near_duplicates(df.limit(0)).collect() == []
-    kept = simhash.deduplicated(df)
+    kept = simhash.one_of_each(df)
     assert kept.columns == df.columns
-    want = {c for d, _, c in brute(rows) if d is not None}
-    got = [r.doc_id for r in kept.collect()]
-    assert sorted(x for x in got if x is not None) == sorted(want)
-    assert got.count(None) == sum(d is None for d, _ in rows)
+
+
+def test_the_pivot_table_discards_most_far_pairs_and_no_near_one():
+    rng = np.random.default_rng(7)
+    fps = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    fps = np.concatenate([fps, fps[:50] ^ np.uint64(1 << 5), fps[:50] ^ np.uint64(1 << 9 | 1 << 33)])
+    table = simhash.distance_table(fps, simhash.pivots())
+    i, j = np.triu_indices(len(fps), 1)
+    apart = np.abs(table[i].astype(int) - table[j]).max(1) > 2
+    near = np.bitwise_count(fps[i] ^ fps[j]) <= 2
+    assert not (apart & near).any() and near.sum() >= 100
+    assert apart[~near].mean() > 0.999
 
 
 def test_fingerprint_matches_spark_hash(spark):
