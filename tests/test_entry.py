@@ -1,0 +1,45 @@
+"""The entry module without parts of the library, and from other folders."""
+
+import json
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
+REPO = Path(__file__).resolve().parents[1]
+
+
+def run(code, cwd, **env):
+    """Output of a Python process that has nothing of this repository on its path."""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | env
+    done = subprocess.run([sys.executable, "-B", "-c", code], cwd=cwd, env=clean, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+    return done.stdout.strip().splitlines()[-1]
+
+
+def copied(tmp_path, *without):
+    to = tmp_path / "copy"
+    shutil.copytree(REPO, to, ignore=lambda d, names: [n for n in names if n in (".git", "__pycache__", "tests") or f"{d}/{n}".endswith(without)])
+    return to
+
+
+NAMES = "import sys; sys.path.insert(0, {!r}); {}; import __spark_entry__ as e, json; print(json.dumps(sorted(e.queries())))"
+
+
+def test_the_rest_works_without_the_training_data_operators(tmp_path):
+    names = json.loads(run(NAMES.format(str(copied(tmp_path, "salesflow/llm", "corpus_pipeline.py")), "pass"), tmp_path))
+    assert "gold_store_sales" in names and not [n for n in names if n.startswith("op") or n == "pipeline"]
+
+
+def test_a_missing_library_of_theirs_takes_only_them(tmp_path):
+    hide = "sys.modules['xxhash'] = None"
+    names = json.loads(run(NAMES.format(str(REPO), hide), tmp_path))
+    assert "gold_store_sales" in names and not [n for n in names if n.startswith("op")]
+
+
+def test_workers_get_the_package(tmp_path):
+    """A query with Python workers, run from a folder where they don't find the package."""
+    code = (f"import sys; sys.path.insert(0, {str(REPO)!r}); import __spark_entry__ as e; from salesflow.session import local_session; "
+            "s = local_session(2, 2, driver_memory='1g'); n = e.queries()['publish_ordered'](s, '/root/testdata/sf0.001').count(); print(n)")
+    assert int(run(code, tmp_path)) == 1000
