@@ -12,6 +12,10 @@ each job wires library functions together and prints only bounded output (a prev
     python -m salesflow.jobs stream-table --brokers host:9092 --table lake.default.ventas \\
                                           --checkpoint s3a://b/ckpt [--provider iceberg] [--trigger "30 seconds"]
     python -m salesflow.jobs stream-files --brokers host:9092 --path s3a://b/sales --checkpoint s3a://b/ckpt
+    python -m salesflow.jobs stream-landing | stream-gold --brokers host:9092 --root s3a://b/layer --checkpoint s3a://b/ckpt [--name N]
+    python -m salesflow.jobs models --project models/ --root /lake [--select a,b] [--source group.table=PATH]
+    python -m salesflow.jobs silver-months --bronze /lake/bronze/sales --root /lake/silver [--months 2024-03,2024-04]
+    python -m salesflow.jobs compact | vacuum --root /lake/landing
 """
 
 from __future__ import annotations
@@ -22,10 +26,14 @@ from pyspark.sql import SparkSession
 
 from .operators.totals import first_n, preview, store_totals
 from .plans.bronze import ingest_bronze
-from .plans.medallion import LayerPaths, run_medallion
+from .plans.medallion import LayerPaths, build_silver_version, rebuild_silver_months, run_medallion
+from .plans.models import build_models, build_report, load_project
 from .operators.layers import to_bronze
 from .sources.files import raw_sales_csv
-from .streaming.ingest import ingest_to_parquet, ingest_to_table, kafka_sink_options, publish_sales
+from .sources.versions import compact, vacuum
+from .streaming.gold import ingest_to_gold
+from .streaming.ingest import (ingest_to_parquet, ingest_to_table, ingest_to_versions, kafka_sink_options, publish_in_order,
+                               publish_sales)
 from .streaming.sinks import PRODUCTION_TRIGGER, ensure_table
 from .streaming.sources import (BATCH_MESSAGES, BATCH_WAIT, DEFAULT_TOPIC, event_stream, kafka_options,
                                 message_file_stream)
@@ -79,9 +87,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
     pub.add_argument("--topic", default=DEFAULT_TOPIC), pub.add_argument("--limit", type=int)
     pub.add_argument("--order-by", default="id_transaccion"), pub.add_argument("--format", default="kafka")
     pub.add_argument("--path", help="output folder when --format is a file format")
+    pub.add_argument("--ordered", metavar="STAGING", help="number the messages of each key by fecha and id; a new folder for the sorted runs")
 
     for name, helptext in (("stream-table", "message stream -> landing table, good and quarantined rows told apart by route"),
-                           ("stream-files", "message stream -> Parquet files, one folder each for good and quarantined rows")):
+                           ("stream-files", "message stream -> Parquet files, one folder each for good and quarantined rows"),
+                           ("stream-landing", "message stream -> versioned landing layer (see compact)"),
+                           ("stream-gold", "message stream -> gold kept up to date batch by batch")):
         s = sub.add_parser(name, help=helptext)
         s.add_argument("--brokers"), s.add_argument("--topic", default=DEFAULT_TOPIC)
         s.add_argument("--source-format", default="kafka"), s.add_argument("--source-path")
@@ -96,8 +107,25 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         if name == "stream-table":
             s.add_argument("--table", required=True), s.add_argument("--provider", default="parquet")
             s.add_argument("--location")
-        else:
+            s.add_argument("--evolve", action="store_true", help="bring a table of an older shape to today's")
+        elif files:
             s.add_argument("--path", required=True)
+        else:
+            s.add_argument("--root", required=True), s.add_argument("--name", default="sales", help="tells streams into one root apart")
+
+    mo = sub.add_parser("models", help="build a folder of SQL models in dependency order, each tested before it is published")
+    mo.add_argument("--project", required=True), mo.add_argument("--root", required=True)
+    mo.add_argument("--select", help="comma separated: these models and what they read")
+    mo.add_argument("--source", action="append", default=[], help="group.table=path, instead of what the project declares")
+
+    months = sub.add_parser("silver-months", help="silver as a versioned layer, built whole or some months of it")
+    months.add_argument("--bronze", required=True), months.add_argument("--root", required=True)
+    months.add_argument("--months", help="comma separated, as 2024-03; all without it")
+
+    c = sub.add_parser("compact", help="pack the small files of a versioned layer")
+    c.add_argument("--root", required=True), c.add_argument("--target-mb", type=int, default=256)
+    v = sub.add_parser("vacuum", help="delete the versions of a layer that its last manifests don't name")
+    v.add_argument("--root", required=True), v.add_argument("--keep", type=int, default=2), v.add_argument("--older-than-hours", type=float, default=24)
 
     args = p.parse_args(argv)
     if args.job.startswith("stream-") and args.batch_messages and args.trigger:
@@ -133,13 +161,36 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
     elif args.job == "publish":
         rows = first_n(sales_csv(spark, args.csv), args.limit, args.order_by)
         opts = kafka_sink_options(args.brokers, args.topic) if args.format == "kafka" else None
-        publish_sales(rows, fmt=args.format, options=opts, path=args.path)
+        if args.ordered:
+            publish_in_order(rows, args.ordered, fmt=args.format, options=opts, path=args.path, order_by=("fecha", "id_transaccion"))
+        else:
+            publish_sales(rows, fmt=args.format, options=opts, path=args.path)
     elif args.job == "stream-table":
         formats = ["route"] if args.provider != "parquet" else None
-        ensure_table(spark, args.table, provider=args.provider, location=args.location, partition_by=formats)
+        ensure_table(spark, args.table, provider=args.provider, location=args.location, partition_by=formats, evolve=args.evolve)
         ingest_to_table(_stream(spark, args), args.table, args.checkpoint, trigger_of(args)).awaitTermination()
     elif args.job == "stream-files":
         ingest_to_parquet(_stream(spark, args), args.path, args.checkpoint, trigger_of(args)).awaitTermination()
+    elif args.job in ("stream-landing", "stream-gold"):
+        ingest = ingest_to_gold if args.job == "stream-gold" else ingest_to_versions
+        ingest(_stream(spark, args), args.root, args.checkpoint, args.name, trigger_of(args)).awaitTermination()
+    elif args.job == "models":
+        found, sources = load_project(args.project)
+        sources |= dict(x.split("=", 1) for x in args.source)
+        outcomes = build_models(spark, found, sources, args.root, args.select.split(",") if args.select else None)
+        build_report(spark, outcomes).show(len(outcomes), truncate=False)  # a row for each model
+        if any(o.status != "built" for o in outcomes):
+            raise SystemExit(1)
+    elif args.job == "silver-months":
+        bronze = spark.read.parquet(args.bronze)
+        if args.months:
+            rebuild_silver_months(spark, bronze, args.root, [tuple(map(int, m.split("-"))) for m in args.months.split(",")])
+        else:
+            build_silver_version(spark, bronze, args.root)
+    elif args.job == "compact":
+        print(f"{compact(spark, args.root, args.target_mb << 20)} folders packed")
+    elif args.job == "vacuum":
+        print(f"{len(vacuum(spark, args.root, args.keep, args.older_than_hours * 3600))} folders deleted")
 
 
 if __name__ == "__main__":

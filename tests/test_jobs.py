@@ -66,3 +66,38 @@ def test_stream_jobs_cap_nothing(spark, monkeypatch, capsys):
     with pytest.raises(SystemExit):
         jobs.run(["stream-table", "--brokers", "b", "--table", "t", "--checkpoint", "c", "--batch-messages", "10"], spark)
     assert "caps the flow" in capsys.readouterr().err
+
+
+def test_jobs_of_layers_models_and_gold(spark, capsys, tmp_path):
+    import pytest
+    from salesflow.operators.layers import to_gold, to_silver
+    from salesflow.plans.models import read_model
+    from salesflow.sources.versions import read_layer
+    from salesflow.streaming.gold import read_gold
+    pytest.importorskip("yaml")
+    root = scratch_path(spark, "jobs")
+    csv = write_csv(sales_from_events(spark, SF), f"{root}/sales.csv")
+    jobs.run(["bronze", "--csv", csv, "--out", f"{root}/bronze"], spark)
+    jobs.run(["publish", "--csv", csv, "--format", "parquet", "--path", f"{root}/topic", "--ordered", f"{root}/runs"], spark)
+    assert "seq" in spark.read.parquet(f"{root}/topic").columns
+    files = ["--source-format", "parquet", "--source-path", f"{root}/topic", "--once", "--batch-messages", "0"]
+    jobs.run(["stream-gold", *files, "--root", f"{root}/gold", "--checkpoint", f"{root}/c1"], spark)
+    want = to_gold(to_silver(spark.read.parquet(f"{root}/bronze"))).collect()
+    assert sorted(map(tuple, read_gold(spark, f"{root}/gold").collect())) == sorted(map(tuple, want))
+    jobs.run(["stream-landing", *files, "--root", f"{root}/landing", "--checkpoint", f"{root}/c2"], spark)
+    assert read_layer(spark, f"{root}/landing").count() == 1000
+    capsys.readouterr()
+    jobs.run(["compact", "--root", f"{root}/landing"], spark)
+    jobs.run(["vacuum", "--root", f"{root}/landing"], spark)
+    assert capsys.readouterr().out == "0 folders packed\n0 folders deleted\n"
+    jobs.run(["silver-months", "--bronze", f"{root}/bronze", "--root", f"{root}/silver"], spark)
+    jobs.run(["silver-months", "--bronze", f"{root}/bronze", "--root", f"{root}/silver", "--months", "2024-01,2023-12"], spark)
+    assert read_layer(spark, f"{root}/silver").count() == to_silver(spark.read.parquet(f"{root}/bronze")).count()
+    (tmp_path / "m.sql").write_text("SELECT tienda_id, COUNT(*) AS n FROM {{ source('raw', 'sales') }} GROUP BY tienda_id")
+    (tmp_path / "m.yml").write_text("models: [{name: m, columns: [{name: tienda_id, tests: [unique]}]}]\nsources: [{name: raw, tables: [{name: sales}]}]")
+    jobs.run(["models", "--project", str(tmp_path), "--root", f"{root}/models", "--source", f"raw.sales={root}/bronze"], spark)
+    assert "built" in capsys.readouterr().out and read_model(spark, f"{root}/models", "m").count() > 5
+    (tmp_path / "m.yml").write_text("models: [{name: m, columns: [{name: n, tests: [unique]}]}]\nsources: [{name: raw, tables: [{name: sales}]}]")
+    with pytest.raises(SystemExit):
+        jobs.run(["models", "--project", str(tmp_path), "--root", f"{root}/models", "--source", f"raw.sales={root}/bronze"], spark)
+    assert "failed" in capsys.readouterr().out
