@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 WINDOW, HIDDEN, BATCH, CELLS = 128, 12, 2048, 8 << 20
 SAMPLE_PER_LANGUAGE, SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 400, 8000, 4
 TRAIN_WINDOW, TRAIN_BATCH, TRAIN_STEPS, RATE, CUT_SHORT = 64, 192, 700, 0.02, 0.4
-UNKNOWN, MIN_EXCESS = "und", 0.15
+UNKNOWN, MIN_EXCESS = "und", 0.08
 Weights = dict[str, np.ndarray]
 
 

@@ -19,8 +19,8 @@ sums of links and a spanning forest.
 Defined results: a vector that is null, of no components, zero, or holding a null or a component that is not
 finite, and a row with a null label, links with nothing and is its own component. Vectors of different length
 are never linked. Repeated rows are other vectors with cosine 1. A row of null id keeps its place
-with no links, a null component and kept = false. An empty table gives an empty result. Other
-columns are not read.
+with no links, a null component and kept = false. Ids and labels are whole numbers; text that is none raises. An empty table gives an
+empty result. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -10,6 +10,9 @@ Positions inside a bucket need no single sorted task: pieces are range-partition
 partition counts its pieces per bucket, and the running totals of these few counts give every
 partition the position at which it goes on.
 
+With ``length_col`` the sequences are measured by a column, such as the tokens that an encoder has counted, and no text is read; a
+null or negative length is none.
+
 Defined results: a document without words (null or blank text) gives one row with zero words,
 bucket 0 and no batch. Repeated rows are separate pieces. Null ids sort first. An empty table
 gives an empty result. Columns other than id and text are not read.
@@ -67,11 +70,12 @@ def bucket_bounds(histogram: dict[int, int], n_buckets: int) -> list[int]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_len: int = MAX_LEN,
-         n_buckets: int = N_BUCKETS, token_budget: int = TOKEN_BUDGET) -> DataFrame:
-    """One row per piece: doc_id, piece, n_words, bucket (padded length), batch, place in the batch."""
+         n_buckets: int = N_BUCKETS, token_budget: int = TOKEN_BUDGET, length_col: str | None = None) -> DataFrame:
+    """One row per piece: doc_id, piece, n_words (or what ``length_col`` counts), bucket (padded length), batch, place in the batch."""
     if token_budget < max_len:
         raise ValueError("token_budget must hold at least one sequence of max_len")
-    sized = docs.select(F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("words"))
+    words = word_count(F.col(text_col)) if length_col is None else F.greatest(F.coalesce(F.col(length_col).cast("bigint"), F.lit(0)), F.lit(0))
+    sized = docs.select(F.col(id_col).alias("doc_id"), words.alias("words"))
     last = F.greatest(F.lit(0), F.ceil(F.col("words") / max_len) - 1).cast("int")
     pieces = stored(
         sized.select("doc_id", "words", F.explode(F.sequence(F.lit(0), last)).alias("piece"))

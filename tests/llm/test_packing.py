@@ -59,3 +59,13 @@ def test_nulls_extra_columns_and_empty_table(spark):
     assert packing.pack(df.limit(0)).collect() == []
     with pytest.raises(ValueError):
         packing.pack(df, max_len=10, token_budget=9)
+
+
+def test_a_length_column_is_packed_like_texts_of_that_length(spark):
+    rows = [r for r in documents(6, 40) if r[0] is not None]
+    counted = [(i, len((t or "").replace("\xa0", "_").split()) if t else None) for i, t in rows]
+    df = spark.createDataFrame(counted, "doc_id long, n_tokens int")
+    by_text = packing.pack(frame(spark, rows), max_len=64, token_budget=256)
+    assert sorted_rows(packing.pack(df, max_len=64, token_budget=256, length_col="n_tokens")) == sorted_rows(by_text)
+    odd = spark.createDataFrame([(1, -5), (2, None), (3, 3)], "doc_id long, n_tokens int")
+    assert [(r.doc_id, r.n_words) for r in packing.pack(odd, length_col="n_tokens").orderBy("doc_id").collect()] == [(1, 0), (2, 0), (3, 3)]
