@@ -68,5 +68,5 @@ def test_registered_names():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(names)
