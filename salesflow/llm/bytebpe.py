@@ -3,7 +3,8 @@
 A vocabulary file lists byte strings with their ranks. Each becomes a piece of a sentencepiece BPE
 model: its bytes mapped one to one to printable characters, its score the negative rank, its id the
 rank, with identity normalisation. No tokenizer is trained. A text is cut into pre-tokens by the
-given pattern, each pre-token is encoded by itself, and decoding maps ids back to bytes.
+given pattern and each pre-token is encoded by itself. Decoding reads the pieces of the ids from the model and
+maps their characters back to bytes.
 
 A pre-token that is itself in the vocabulary is that one token, as in the tokenizer whose ranks
 these are; sentencepiece merges the others, always taking the pair of lowest rank, leftmost first.
@@ -92,11 +93,14 @@ class Codec:
         import regex
         import sentencepiece
 
-        self.tokens = tokens
         self._whole = {token: rank for rank, token in enumerate(tokens)}
         self._find = regex.compile(pattern).findall
         self._sp = sentencepiece.SentencePieceProcessor(model_proto=model or model_bytes(tokens))
-        self._table = str.maketrans(dict(zip(map(chr, range(256)), byte_characters())))
+        chars = byte_characters()
+        self._table = str.maketrans(dict(zip(map(chr, range(256)), chars)))
+        back = str.maketrans(dict(zip(chars, map(chr, range(256)))))
+        pieces = self._sp.id_to_piece(list(range(len(tokens))))
+        self._bytes = [piece.translate(back).encode("latin-1") for piece in pieces]
         self._known: dict[str, bytes] = {}
         self._held = 0
 
@@ -128,9 +132,9 @@ class Codec:
         return b"".join(self._ids(words[at:at + SLICE]) for at in range(0, len(words), SLICE))
 
     def decode(self, ids: bytes) -> bytes:
-        """The bytes of a text from its ids."""
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        """The bytes of a text from its ids: each id's piece in the model, its characters mapped back."""
+        raw = self._bytes
+        return b"".join([raw[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 def tokenize(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",

@@ -9,6 +9,13 @@ with the same speaker. Where turn numbers repeat, a part of more than ``MAX_TURN
 next piece, so no row gathers an unbounded conversation whatever the numbers are. The work is built-in
 expressions only: one shuffle of texts, by (conversation, part), to which the distinct speakers come.
 
+The rows of a speaker, taken by part and piece, join to the whole dialogue: a row's mask counts from its own
+start, which is the length of the texts before it.
+
+Only the format's own tags are tags. Where ``<`` is followed by bars in a text or a name, one bar is added (``<|`` becomes
+``<||``), so no text reads as a tag and taking one bar away gives the text back; in names a backslash is
+doubled and a line break becomes a backslash and ``n``. Spans count the text as written.
+
 Defined results: a null text is rendered as empty, a null role is the speaker ``unknown``, a null
 turn number counts as 0, equal turn numbers are ordered by role and text, repeated rows are rendered
 as often as they occur. Nothing tells what a turn of null conversation id belongs to: it is a dialogue
@@ -18,13 +25,23 @@ system turns only gives no row, an empty table no rows. Other columns are not re
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_TURNS = 256
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
+def plain(text: Column) -> Column:
+    """Text in which nothing reads as a tag."""
+    return F.regexp_replace(text, r"<(\|+)", "<|$1")
+
+
+def plain_name(name: Column) -> Column:
+    """A name on one line in which nothing reads as a tag."""
+    return plain(F.replace(F.replace(name, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+
+
 def rotate(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
     """(conv_id, part, piece, speaker, n_turns, text, mask: array of [from, to) code points, n_masked)."""
     t = turns.select(
@@ -42,11 +59,13 @@ def rotate(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
     alone = heard.where("conv_id is null").select(
         "conv_id", "part", F.lit(0).cast("bigint").alias("piece"), F.array(turn).alias("turns"), F.col("role").alias("speaker"))
     said = dialogue.join(voices, ["conv_id", "part"]).unionByName(alone)
+    said = said.withColumn("turns", F.transform(
+        "turns", lambda x: F.struct(x["turn"].alias("turn"), x["role"].alias("role"), plain(x["text"]).alias("text"))))
     said = said.withColumn("heads", F.transform("turns", lambda x: F.concat(
         F.lit(OPEN),
         F.when(x["role"] == F.col("speaker"), F.lit("assistant"))
         .when(x["role"] == "system", F.lit("system"))
-        .otherwise(F.concat(F.lit("user name="), x["role"])), F.lit("\n"))))
+        .otherwise(F.concat(F.lit("user name="), plain_name(x["role"]))), F.lit("\n"))))
     said = said.withColumn("text", F.array_join(F.transform(
         F.arrays_zip("heads", "turns"), lambda x: F.concat(x["heads"], x["turns"]["text"], F.lit(CLOSE))), ""))
     size = F.zip_with("heads", "turns", lambda h, x: F.struct(
@@ -77,12 +96,13 @@ WITH a AS (SELECT conv_id, coalesce(turn, 0) AS turn, coalesce(role, 'unknown')
 t AS (SELECT *, ((row_number() OVER (PARTITION BY conv_id, lone, part ORDER BY turn, role, text) - 1) // {MAX_TURNS})::BIGINT AS piece FROM a),
 s AS (SELECT DISTINCT conv_id AS c, lone AS l, role AS speaker FROM t WHERE role <> 'system'),
 p AS (SELECT t.*, speaker, role = speaker AS own, '{OPEN}' || CASE WHEN role = speaker THEN 'assistant'
-    WHEN role = 'system' THEN 'system' ELSE 'user name=' || role END || chr(10) AS head
+    WHEN role = 'system' THEN 'system' ELSE 'user name=' || regexp_replace(replace(replace(role, '\\', '\\\\'), chr(10), '\\n'), '<(\\|+)', '<|\\1', 'g') END || chr(10) AS head,
+    regexp_replace(text, '<(\\|+)', '<|\\1', 'g') AS body
   FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.c AND lone = l),
-q AS (SELECT *, length(head) AS hl, length(text) + {len(CLOSE)} AS bl,
-    sum(length(head) + length(text) + {len(CLOSE)}) OVER (PARTITION BY conv_id, lone, part, piece, speaker ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS till FROM p)
+q AS (SELECT *, length(head) AS hl, length(body) + {len(CLOSE)} AS bl,
+    sum(length(head) + length(body) + {len(CLOSE)}) OVER (PARTITION BY conv_id, lone, part, piece, speaker ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS till FROM p)
 SELECT conv_id, part, piece, speaker, count(*)::BIGINT AS n_turns,
-  string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text,
+  string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text,
   coalesce(string_agg((till - bl)::BIGINT::VARCHAR || '-' || till::BIGINT::VARCHAR, ',' ORDER BY turn, role, text, till) FILTER (own), '') AS mask,
   coalesce(sum(bl) FILTER (own), 0)::BIGINT AS n_masked
 FROM q GROUP BY conv_id, lone, part, piece, speaker"""

@@ -19,7 +19,8 @@ sums of links and a spanning forest.
 Defined results: a vector that is null, of no components, zero, or holding a null or a component that is not
 finite, and a row with a null label, links with nothing and is its own component. Vectors of different length
 are never linked. Repeated rows are other vectors with cosine 1. A row of null id keeps its place
-with no links, a null component and kept = false. Ids and labels are whole numbers; text that is none raises. An empty table gives an
+with no links, a null component and kept = false. Ids are whole numbers; text that is none raises. Labels
+of text are compared as they are, others as whole numbers. An empty table gives an
 empty result. Other columns are not read.
 """
 
@@ -86,6 +87,13 @@ def stretch_of(dims: int) -> float:
     return STRETCH * float(np.sqrt(dims / WIDTH))
 
 
+def _numbers(label: np.ndarray) -> np.ndarray:
+    """Labels as whole numbers for the keys of cells; texts that share a number are told apart where they meet."""
+    if label.dtype != object:
+        return label.astype(np.int64)
+    return np.array([int.from_bytes(hashlib.md5(x.encode()).digest()[:8], "little", signed=True) for x in label], np.int64)
+
+
 def cells(unit: np.ndarray, label: np.ndarray, tables: int = TABLES, probes: int = PROBES,
           stretch: float | None = None) -> np.ndarray:
     """64-bit cell keys, (rows, tables, 1 + probes); the first of each table is the home."""
@@ -99,7 +107,7 @@ def cells(unit: np.ndarray, label: np.ndarray, tables: int = TABLES, probes: int
         close = np.argsort(-((z - home) @ minimal_vectors().T), 1, kind="stable")[:, :probes]
         points = np.concatenate([home[:, None, :], home[:, None, :] + minimal_vectors()[close]], 1)
         key = (points * 2).astype(np.int64) @ weights[:DIMS]
-        key += (label.astype(np.int64) * weights[DIMS])[:, None] + (np.array([t, dims]) * weights[DIMS + 1:]).sum()
+        key += (_numbers(label) * weights[DIMS])[:, None] + (np.array([t, dims]) * weights[DIMS + 1:]).sum()
         key ^= (key >> 31) & 0x1FFFFFFFF
         key *= weights[0]
         out[:, t] = key ^ ((key >> 29) & 0x7FFFFFFFF)
@@ -107,7 +115,7 @@ def cells(unit: np.ndarray, label: np.ndarray, tables: int = TABLES, probes: int
 
 
 def _coded(df: DataFrame, id_col: str, vector_col: str, label_col: str, item: str) -> DataFrame:
-    """(vec_id, label, code, vec): vec as bytes of its numbers, both null where the vector links with nothing."""
+    """(vec_id, label, code, vec): labels of text stay text, others become whole numbers; vec as bytes of its numbers, both null where the vector links with nothing."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,10 +134,11 @@ def _coded(df: DataFrame, id_col: str, vector_col: str, label_col: str, item: st
             yield pa.RecordBatch.from_arrays(
                 [ids, labels, pa.array(code, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "label", "code", "vec"])
 
+    kind = "string" if dict(df.dtypes)[label_col] == "string" else "bigint"
     return df.select(
         F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<float>" if item == "<f4" else "array<double>"),
-        F.col(label_col).cast("bigint").alias("label"),
-    ).mapInArrow(run, "vec_id bigint, label bigint, code binary, vec binary")
+        F.col(label_col).cast(kind).alias("label"),
+    ).mapInArrow(run, f"vec_id bigint, label {kind}, code binary, vec binary")
 
 
 def _unit(raw: list[bytes], item: str) -> np.ndarray:
@@ -144,7 +153,7 @@ def _with_cells(classes: DataFrame, item: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, label = batch.column(3).to_pylist(), batch.column(1).to_numpy()
+            raw, label = batch.column(3).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
             keys: list = [None] * len(raw)
             dims = np.array([len(x) for x in raw])
             for d in np.unique(dims):
@@ -155,7 +164,7 @@ def _with_cells(classes: DataFrame, item: str) -> DataFrame:
                                              ["cid", "label", "n", "vec", "cells"])
 
     return classes.select("cid", "label", "n", "vec").mapInArrow(
-        run, "cid bigint, label bigint, n bigint, vec binary, cells array<bigint>")
+        run, f"cid bigint, label {dict(classes.dtypes)['label']}, n bigint, vec binary, cells array<bigint>")
 
 
 def _met_first(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -243,7 +252,7 @@ def _links(homes: DataFrame, threshold: float, item: str) -> DataFrame:
             raw = batch.column(7).to_pylist()
             unit = _unit(raw, item) if len(set(map(len, raw))) == 1 else None
             flat = batch.column(8).flatten().to_numpy().reshape(len(key), TABLES, width)
-            cols = {n: batch.column(c).to_numpy() for c, n in ((3, "table"), (4, "cid"), (5, "label"), (6, "n"))}
+            cols = {n: batch.column(c).to_numpy(zero_copy_only=False) for c, n in ((3, "table"), (4, "cid"), (5, "label"), (6, "n"))}
             for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
                 if b == a:
                     continue

@@ -46,3 +46,13 @@ def test_forgetting_known_words_changes_nothing(monkeypatch):
         ids = codec.encode(t or "")
         assert np.frombuffer(ids, "<u4").tolist() == REFERENCE.encode_ordinary(t or "")
         assert codec.decode(ids) == (t or "").encode()
+
+
+def test_decoding_reads_the_pieces_of_the_model():
+    swapped = list(TOKENS)
+    a, b = TOKENS.index(b"a"), TOKENS.index(b"\xff")
+    swapped[a], swapped[b] = swapped[b], swapped[a]
+    codec = bytebpe.Codec(TOKENS, PATTERN, bytebpe.model_bytes(swapped))
+    assert codec.decode(np.array([a, b], "<u4").tobytes()) == b"\xffa"
+    every = np.arange(len(TOKENS), dtype="<u4").tobytes()
+    assert bytebpe.Codec(TOKENS, PATTERN).decode(every) == b"".join(TOKENS)

@@ -73,6 +73,22 @@ def test_doubles_extra_columns_and_empty_table(spark):
     assert lattice.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_text_labels(spark):
+    rows = [(i, v, None if label is None else "eins" if label else "") for i, v, label in vectors(4, 6)]
+    got = lattice.near_duplicates(spark.createDataFrame(rows, SCHEMA.replace("label int", "label string")).repartition(3))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)[0]
+
+
+def test_texts_of_one_number_are_told_apart():
+    cell = lattice._Cell(0.93)
+    unit = np.ones((1, 1))
+    row = {"cid": np.array([1]), "label": np.array(["a"], object), "n": np.array([1]), "unit": unit,
+           "table": np.array([0]), "cells": np.zeros((1, 4, 9), np.int64)}
+    cell.settle(row)
+    assert list(cell.meet(row | {"cid": np.array([0]), "label": np.array(["b"], object)})) == []
+    assert list(cell.meet(row | {"cid": np.array([0])})) != []
+
+
 def test_recall_at_the_threshold():
     """Pairs of exactly the threshold cosine meet in at least nine of ten cases; closer ones nearly always."""
     rng = np.random.default_rng(5)
