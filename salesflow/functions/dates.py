@@ -1,4 +1,4 @@
-"""Date parts and epoch conversions, all zone-free on TIMESTAMP_NTZ."""
+"""Date parts and epoch conversions, zone-free on TIMESTAMP_NTZ; ``instant`` is the one way into a zone."""
 
 from __future__ import annotations
 
@@ -40,3 +40,10 @@ def epoch_seconds(ts: Column | str) -> Column:
 def from_epoch_seconds(seconds: Column | str) -> Column:
     """TIMESTAMP_NTZ from seconds since 1970-01-01 00:00:00 (as ``to_datetime(unit='s')``)."""
     return F.timestamp_add("SECOND", _col(seconds), F.expr(EPOCH_NTZ_SQL))
+
+
+def instant(wall: Column | str, zone: str) -> Column:
+    """TIMESTAMP of a wall-clock time in a zone. A time that clocks skip counts as the hour after, one they repeat as the first."""
+    c = _col(wall)
+    return F.make_timestamp_ltz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                                F.extract(F.lit("SECOND"), c), F.lit(zone))

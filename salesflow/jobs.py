@@ -5,7 +5,7 @@ The session comes from the launcher (master, catalog, connector jars, ``spark.ch
 each job wires library functions together and prints only bounded output (a preview, a report).
 
     python -m salesflow.jobs totals    --csv sales.csv [--min-amount 100] [--out PATH | --explain]
-    python -m salesflow.jobs bronze    --csv sales.csv --out /lake/bronze/sales [--rejects PATH]
+    python -m salesflow.jobs bronze    --csv sales.csv --out /lake/bronze/sales [--rejects PATH | --landing]
     python -m salesflow.jobs medallion --bronze /lake/bronze/sales --root /lake [--format iceberg \
                                        --silver-table lake.silver.ventas --gold-table lake.gold.tiendas]
     python -m salesflow.jobs publish   --csv sales.csv --brokers host:9092 [--topic T] [--limit N]
@@ -25,7 +25,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from .operators.totals import first_n, preview, store_totals
-from .plans.bronze import ingest_bronze
+from .plans.bronze import ingest_bronze, ingest_landing
 from .plans.medallion import LayerPaths, build_silver_version, rebuild_silver_months, run_medallion
 from .plans.models import build_models, build_report, load_project
 from .operators.layers import to_bronze
@@ -76,6 +76,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
 
     b = sub.add_parser("bronze", help="CSV landing files -> typed bronze Parquet (+ rejects)")
     b.add_argument("--csv", required=True), b.add_argument("--out", required=True), b.add_argument("--rejects")
+    b.add_argument("--landing", action="store_true", help="good and rejected rows in one table at --out, the text read once")
 
     m = sub.add_parser("medallion", help="bronze -> silver -> gold, each layer tested before the next")
     m.add_argument("--bronze", required=True), m.add_argument("--root", required=True)
@@ -153,7 +154,10 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         else:
             preview(result, ["tienda_id"], PREVIEW_ROWS).show(truncate=False)
     elif args.job == "bronze":
-        ingest_bronze(spark, args.csv, args.out, args.rejects).show(truncate=False)
+        if args.landing and args.rejects:
+            p.error("--landing keeps rejects in its own rows")
+        report = ingest_landing(spark, args.csv, args.out) if args.landing else ingest_bronze(spark, args.csv, args.out, args.rejects)
+        report.show(truncate=False)
     elif args.job == "medallion":
         paths = LayerPaths.under(args.root, args.silver_table, args.gold_table, args.format)
         gold = run_medallion(spark, spark.read.parquet(args.bronze), paths)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_timestamp, date_parts
+from ..functions.dates import as_timestamp, date_parts, instant
 from ..functions.money import exact_avg, exact_sum
 from ..schemas import BRONZE_SALES, GOLD_CONTRACT, SILVER_CONTRACT, ModelContract
 
@@ -32,19 +32,51 @@ def to_bronze(raw: DataFrame) -> DataFrame:
                       *[F.col(f"`{c}`") for c in raw.columns if c not in typed])
 
 
+def _failures(raw: DataFrame) -> tuple[Column, Column]:
+    """Whether some non-NULL text of a row did not survive typing, and the names of those columns in declared order."""
+    typed = _typed(raw)
+    failed = {name: F.col(name).isNotNull() & typed[name].isNull() for name in typed}
+    any_failed = F.lit(False)
+    for cond in failed.values():
+        any_failed = any_failed | cond
+    return any_failed, F.concat_ws(",", *[F.when(failed[n], F.lit(n)) for n in typed])
+
+
 def bronze_rejects(raw: DataFrame) -> DataFrame:
     """Raw rows where some non-NULL text did not survive typing, with the failing columns.
 
     ``failed_columns`` lists the columns in declared order, comma separated.
     """
+    any_failed, names = _failures(raw)
+    return raw.filter(any_failed).select(*[F.col(f.name) for f in BRONZE_SALES.fields], names.alias("failed_columns"))
+
+
+def bronze_landing(raw: DataFrame) -> DataFrame:
+    """Bronze with its rejects in the same rows, so that the text is read and written once.
+
+    Next to the typed columns, a row with text that did not survive typing has ``failed_columns`` and its
+    declared texts as they came in ``raw_text``; both are NULL in every other row and cost nothing there.
+    ``landing_bronze`` and ``landing_rejects`` are the two views of it.
+    """
+    clash = {"failed_columns", "raw_text"} & set(raw.columns)
+    if clash:
+        raise ValueError(f"the input has columns of the landing: {', '.join(sorted(clash))}")
+    any_failed, names = _failures(raw)
+    texts = F.struct(*[F.col(f.name) for f in BRONZE_SALES.fields])
     typed = _typed(raw)
-    failed = {name: F.col(name).isNotNull() & typed[name].isNull() for name in typed}
-    any_failed = F.lit(False)
-    for cond in failed.values():
-        any_failed = any_failed | cond
-    return (raw.filter(any_failed)
-            .select(*[F.col(f.name) for f in BRONZE_SALES.fields],
-                    F.concat_ws(",", *[F.when(failed[n], F.lit(n)) for n in typed]).alias("failed_columns")))
+    return raw.select(*[typed[f.name].alias(f.name) for f in BRONZE_SALES.fields],
+                      *[F.col(f"`{c}`") for c in raw.columns if c not in typed],
+                      F.when(any_failed, names).alias("failed_columns"), F.when(any_failed, texts).alias("raw_text"))
+
+
+def landing_bronze(landing: DataFrame) -> DataFrame:
+    """The bronze rows of a landing; the scan reads neither texts nor names of failed columns."""
+    return landing.drop("failed_columns", "raw_text")
+
+
+def landing_rejects(landing: DataFrame) -> DataFrame:
+    """The rejected rows of a landing as ``bronze_rejects`` gives them; the filter reaches the scan."""
+    return landing.filter(F.col("failed_columns").isNotNull()).select("raw_text.*", "failed_columns")
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:
@@ -59,6 +91,14 @@ def to_silver(bronze: DataFrame) -> DataFrame:
                     *[c.alias(n) for n, c in parts.items()]))
 
 
+def zoned_silver(silver: DataFrame, zone: str) -> DataFrame:
+    """Silver whose sale time is an instant: the wall clock of the text, read in a zone of the caller's choice.
+
+    The date parts stay those of the wall clock. The result doesn't depend on the session's zone.
+    """
+    return silver.withColumn("fecha_venta", instant("fecha_venta", zone))
+
+
 def to_gold(silver: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
     """Per store: exact total, number of sales with an id, exact mean amount.
 

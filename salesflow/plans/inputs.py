@@ -83,6 +83,24 @@ def orders_csv(spark: SparkSession, sf_dir: str, path: str, partitions: int | No
     return write_csv(spread(sales_from_orders(spark, sf_dir), partitions), path)
 
 
+def damaged_orders_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The damaged order text as a CSV folder with a header."""
+    return write_csv(damaged_raw_orders(spark, sf_dir), path)
+
+
+def drifted_orders_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """V3 as a later CSV that drifted: ids of urgent orders beyond INT, half stores and the word 'pending' in pending orders,
+    no date, and two more columns."""
+    o = table(spark, sf_dir, "orders")
+    pending, store = F.col("o_orderstatus") == "P", (F.col("o_custkey") % 100 + 1).cast("string")
+    return write_csv(o.select(
+        F.col("o_orderpriority").alias("prioridad"),
+        F.when(pending, F.lit("pending")).otherwise(F.col("o_totalprice").cast("string")).alias("monto"),
+        (F.col("o_orderkey") + F.when(F.col("o_orderpriority") == "1-URGENT", 3_000_000_000).otherwise(0)).alias("id_transaccion"),
+        F.when(pending, F.concat(store, F.lit(".5"))).otherwise(store).alias("tienda_id"),
+        F.col("o_custkey").alias("cliente")), path)
+
+
 def damaged_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The damaged order text, typed: pending orders have no amount, urgent finished ones no date."""
     return to_bronze(damaged_raw_orders(spark, sf_dir))

@@ -145,6 +145,31 @@ def _bronze_rejects() -> str:
             f"AS failed_columns FROM orders WHERE {bad_amount} OR {bad_date}")
 
 
+def _csv_schema_check() -> str:
+    ident = "o_orderkey + CASE WHEN o_orderpriority = '1-URGENT' THEN 3000000000 ELSE 0 END"
+
+    def row(name: str, declared: str, misfit: str, wider: str) -> str:
+        return (f"SELECT '{name}' AS column_name, '{declared}' AS declared, CASE WHEN COUNT(*) FILTER (WHERE {misfit}) > 0 THEN 'misfit' "
+                f"ELSE 'ok' END AS status, COUNT(*) AS filled, COUNT(*) FILTER (WHERE {misfit}) AS misfits, "
+                f"CASE WHEN COUNT(*) FILTER (WHERE {misfit}) > 0 THEN '{wider}' ELSE '{declared}' END AS fits FROM orders")
+
+    return " UNION ALL ".join([
+        row("id_transaccion", "int", f"{ident} > 2147483647", "bigint"),
+        row("tienda_id", "int", "o_orderstatus = 'P'", "double"),
+        row("monto", "double", "o_orderstatus = 'P'", "string"),
+        "SELECT 'fecha', 'timestamp_ntz', 'missing', 0, 0, 'timestamp_ntz'",
+        "SELECT 'prioridad', NULL, 'extra', COUNT(o_orderpriority), 0, 'string' FROM orders",
+        "SELECT 'cliente', NULL, 'extra', COUNT(o_custkey), 0, 'int' FROM orders",
+    ])
+
+
+def _csv_schema_widened() -> str:
+    return ("SELECT o_orderkey + CASE WHEN o_orderpriority = '1-URGENT' THEN 3000000000 ELSE 0 END AS id_transaccion, "
+            "CAST(o_custkey % 100 + 1 AS DOUBLE) + CASE WHEN o_orderstatus = 'P' THEN 0.5 ELSE 0 END AS tienda_id, "
+            "CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE CAST(o_totalprice AS VARCHAR) END AS monto, "
+            "CAST(NULL AS TIMESTAMP) AS fecha, o_orderpriority AS prioridad, CAST(o_custkey AS INTEGER) AS cliente FROM orders")
+
+
 # Orders as the folder of clashing files holds them: whole amounts in two of five files, text in one, no store in the last.
 CLASHING = ("(SELECT o_orderkey AS id_transaccion, CASE WHEN o_orderkey % 5 < 4 THEN CAST(o_custkey % 100 + 1 AS INTEGER) END AS tienda_id, "
             "CASE WHEN o_orderkey % 5 < 2 THEN floor(o_totalprice) ELSE o_totalprice END AS monto, o_orderdate AS fecha, "
@@ -203,6 +228,12 @@ def oracle_sql() -> dict[str, str]:
                                  "CAST(l_suppkey AS INTEGER) AS tienda_id, l_extendedprice AS monto, "
                                  "l_shipdate AS fecha, CAST(l_partkey AS VARCHAR) AS producto_id FROM lineitem"),
         "bronze_rejects": _bronze_rejects(),
+        "bronze_landing_rows": f"SELECT id_transaccion, CAST(tienda_id AS INTEGER) AS tienda_id, monto, fecha FROM {V3_DAMAGED_TYPED}",
+        "bronze_landing_rejects": _bronze_rejects(),
+        "csv_schema_check": _csv_schema_check(),
+        "csv_schema_widened": _csv_schema_widened(),
+        "silver_zoned": ("SELECT event_id AS venta_id, epoch_us(ts) + 5 * 3600000000 AS instante_us, CAST(day(ts) AS INTEGER) AS dia_venta "
+                         "FROM events WHERE event_type <> 'error' AND value > 0 OR event_type = 'error' AND value < 0"),
         "parquet_path_sql": V3_BRONZE,
         "named_source_scan": V3_BRONZE,
         "silver_sales": f"SELECT * FROM {silver(V1)}",

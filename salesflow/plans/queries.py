@@ -11,18 +11,20 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import epoch_seconds, from_epoch_seconds
 from ..functions.money import round_amount as round_money
 from ..operators import layers, messages, quality, totals
 from ..schemas import BRONZE_SALES, LANDING
 from ..session import scratch_path, unique_name
-from ..sources import bucketed, files, mixed
+from ..sources import bucketed, csvschema, files, mixed
 from ..sources.testviews import sales_from_events, sales_from_lineitem, sales_from_orders, table
 from ..sources.versions import compact, read_layer, read_manifest
 from ..streaming import gold, ingest, progress, sinks
 from ..streaming import sources as stream_sources
 from . import inputs, models, sql_models
+from .bronze import ingest_landing
 from .medallion import LayerPaths, build_gold, build_silver, build_silver_version, rebuild_silver_months, run_medallion
 from .sales_models import SALES_MODELS, SOURCE
 
@@ -114,6 +116,47 @@ def bronze_product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.to_bronze(files.raw_sales_csv(spark, path))
 
 
+def _landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    csv_path = inputs.damaged_orders_csv(spark, sf_dir, scratch_path(spark, "damaged-csv"))
+    path = scratch_path(spark, "bronze-landing")
+    ingest_landing(spark, csv_path, path)
+    return files.parquet_scan(spark, path)
+
+
+def bronze_landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze read from the landing that one pass over the CSV wrote."""
+    return layers.landing_bronze(_landing(spark, sf_dir))
+
+
+def bronze_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layers.landing_rejects(_landing(spark, sf_dir))
+
+
+FIRST_SCHEMA = "id_transaccion int, tienda_id int, monto double, fecha timestamp_ntz"
+
+
+def csv_schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drifted CSV held against the schema of the first file."""
+    path = inputs.drifted_orders_csv(spark, sf_dir, scratch_path(spark, "drifted-csv"))
+    return csvschema.check_csv(spark, path, T.StructType.fromDDL(FIRST_SCHEMA))
+
+
+def csv_schema_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drifted CSV read by the saved schema, widened by it."""
+    path, saved = inputs.drifted_orders_csv(spark, sf_dir, scratch_path(spark, "drifted-csv")), scratch_path(spark, "saved-schema")
+    csvschema.save_schema(spark, T.StructType.fromDDL(FIRST_SCHEMA), saved)
+    return csvschema.read_typed(spark, path, csvschema.update_schema(spark, path, saved))
+
+
+SALE_ZONE = "America/Bogota"
+
+
+def silver_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver's sale times as instants of a zone, in microseconds since 1970 in UTC."""
+    zoned = layers.zoned_silver(layers.to_silver(sales_from_events(spark, sf_dir)), SALE_ZONE)
+    return zoned.select("venta_id", F.unix_micros("fecha_venta").alias("instante_us"), "dia_venta")
+
+
 def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.bronze_rejects(inputs.damaged_raw_orders(spark, sf_dir))
 
@@ -469,6 +512,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_typed": bronze_typed,
     "bronze_product_sales": bronze_product_sales,
     "bronze_rejects": bronze_rejects,
+    "bronze_landing_rows": bronze_landing_rows,
+    "bronze_landing_rejects": bronze_landing_rejects,
+    "csv_schema_check": csv_schema_check,
+    "csv_schema_widened": csv_schema_widened,
+    "silver_zoned": silver_zoned,
     "parquet_path_sql": parquet_path_sql,
     "named_source_scan": named_source_scan,
     "silver_sales": silver_sales,
