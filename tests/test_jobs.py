@@ -1,6 +1,7 @@
 """The command-line jobs, run in-process on local files (a file topic stands in for the broker)."""
 
 from salesflow import jobs
+from salesflow.operators.layers import landing_bronze, landing_rejects
 from salesflow.session import scratch_path, unique_name
 from salesflow.sources.files import write_csv
 from salesflow.sources.testviews import sales_from_events
@@ -18,6 +19,9 @@ def test_jobs_end_to_end(spark, capsys):
     assert spark.read.parquet(f"{root}/totals").count() == store_totals(sales_from_events(spark, SF)).count()
     capsys.readouterr()
     jobs.run(["bronze", "--csv", csv, "--out", f"{root}/bronze", "--rejects", f"{root}/rejects"], spark)
+    jobs.run(["bronze", "--csv", csv, "--out", f"{root}/landing", "--landing"], spark)
+    assert landing_bronze(spark.read.parquet(f"{root}/landing")).count() == spark.read.parquet(f"{root}/bronze").count()
+    assert landing_rejects(spark.read.parquet(f"{root}/landing")).count() == spark.read.parquet(f"{root}/rejects").count()
     capsys.readouterr()
     jobs.run(["totals", "--parquet", f"{root}/bronze", "--explain"], spark)
     assert "PushedFilters: [IsNotNull(monto), GreaterThan(monto,100.0)]" in capsys.readouterr().out
