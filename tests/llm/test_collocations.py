@@ -2,10 +2,12 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,40 @@ def test_pointers_come_back_in_the_order_they_were_sent():
     for k, bits in zip(lists, told):
         often = [total[x] >= 4 for x in k.tolist()]
         assert (np.unpackbits(np.frombuffer(bits, np.uint8), count=len(k)).astype(bool).tolist() if bits else [False] * len(k)) == often
+
+
+def peak(run):
+    """Bytes held at most, of Python and numpy."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_task_holds_few_numbers_for_each_phrase():
+    """At the size of production: two workers of an executor stopped it at 64 bytes a phrase and 66 an entry."""
+    rng = np.random.default_rng(0)
+    vocabulary = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 9, 20000)]
+    body = " ".join(vocabulary[i] + ("" if i % 11 else ".") for i in rng.zipf(1.3, 700_000) % 20000).encode()
+    runs = np.array([[len(body)], [len(body)], [0]], np.int64)
+    key, count = collocations.Block(body, runs, ["en"]).entries()
+    phrases = int(count.sum())
+    assert phrases > 1_900_000
+    seen = []
+    assert peak(lambda: collocations.Block(body, runs, ["en"]).entries()) < 45 * phrases
+    assert peak(lambda: seen.extend(int(n.sum()) for *_, n in collocations.Block(body, runs, ["en"]).frequent(count >= 1))) < 45 * phrases
+    assert sum(seen) == phrases
+    blobs = [collocations._squeeze(x, np.ones(len(x), np.int64)) for x in np.array_split(key, 10)] * 4
+    assert peak(lambda: collocations._answers(blobs, 4)) < 50 * 4 * len(key)
+
+
+def test_workers_get_small_batches_and_the_setting_comes_back(spark):
+    before = spark.conf.get(collocations._ARROW_BYTES)
+    with pytest.raises(ZeroDivisionError), collocations._small_batches(spark):
+        texts = spark.range(0, 2000, 1, 1).selectExpr("repeat('abc ', 5000) AS s")
+        sizes = texts.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in sizes) > 40e6 and max(r.n for r in sizes) < 2 * collocations.BATCH_BYTES
+        1 / 0
+    assert spark.conf.get(collocations._ARROW_BYTES) == before
